@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sparvane.llm import packing, sharding, suffix_dedup, winnowing
 from sparvane.llm.common import documents
 from sparvane.llm.simhash import simhash_components
 
@@ -14,8 +15,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards(documents(spark, sf_dir))
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(documents(spark, sf_dir))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.fingerprints(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash}
+    return {f.__name__: f for f in (op1_simhash, op2_packing, op4_sharding, op8_suffix_dedup, op9_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
