@@ -39,6 +39,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet")
+
+
 def utf8(text: str = "text") -> Column:
     """The text's UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparvane.llm import packing, sharding, suffix_dedup, winnowing
-from sparvane.llm.common import documents
+from sparvane.llm import html_text, packing, sharding, suffix_dedup, warc, winnowing
+from sparvane.llm.common import documents, pages
 from sparvane.llm.simhash import simhash_components
 
 
@@ -25,6 +25,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(pages(spark, sf_dir))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(documents(spark, sf_dir))
 
@@ -33,8 +37,12 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.fingerprints(documents(spark, sf_dir))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digests(pages(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_packing, op4_sharding, op8_suffix_dedup, op9_fingerprints)}
+    return {f.__name__: f for f in (op1_simhash, op2_packing, op4_sharding, op5_html_text, op8_suffix_dedup, op9_fingerprints, op10_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
