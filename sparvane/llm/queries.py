@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparvane.llm import html_text, packing, sharding, suffix_dedup, warc, winnowing
+from sparvane.llm import decontaminate, html_text, packing, quality, sharding, suffix_dedup, toxicity, warc, winnowing
 from sparvane.llm.common import documents, pages
 from sparvane.llm.simhash import simhash_components
 
@@ -21,6 +21,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(documents(spark, sf_dir))
 
@@ -29,6 +33,14 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_text(pages(spark, sf_dir))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(documents(spark, sf_dir))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(documents(spark, sf_dir))
 
@@ -42,7 +54,8 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash, op2_packing, op4_sharding, op5_html_text, op8_suffix_dedup, op9_fingerprints, op10_warc)}
+    found = (op1_simhash, op2_packing, op3_decontaminate, op4_sharding, op5_html_text, op6_quality, op7_toxicity, op8_suffix_dedup, op9_fingerprints, op10_warc)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
