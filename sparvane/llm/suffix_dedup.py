@@ -124,96 +124,125 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int, k: int) -> DataFra
     return docs.join(per_doc, same).select("data", "at").mapInArrow(run, "hk long, hc long, n long, left long, data binary")
 
 
-class Bucket:
-    """Contexts of one anchor gram, sorted by what stands right and left of it."""
+class Contexts:
+    """Contexts of whole buckets, joined, with the prefix hashes of the joined bytes."""
 
     def __init__(self, data: list[bytes], left: list[int], powers: Powers, length: int, k: int) -> None:
-        self.data, self.left, self.length, self.window = data, left, length, length - k + 1
-        self.back = [d[:x][::-1] for d, x in zip(data, left, strict=True)]
+        self.length, self.window = length, length - k + 1
+        self.joined = b"".join(data)
+        self.base = np.concatenate([[0], np.cumsum([len(d) for d in data])])
+        self.left = np.array(left, np.int64)
+        #: place of each anchor, and bytes right of it
+        self.at = self.base[:-1] + self.left
+        self.right = self.base[1:] - self.at
         self.powers = powers
-        powers.ensure(2 * length + 2)
-        self.down = None
-        self.sums: dict[tuple[bool, int], list[int]] = {}
-
-    def _prefix(self, backward: bool, i: int) -> list[int]:
-        found = self.sums.get((backward, i))
-        if found is None:
-            found = self.sums[backward, i] = self.powers.prefix(np.frombuffer(self.back[i] if backward else self.data[i], np.uint8)).tolist()
-        return found
-
-    def extension(self, backward: bool, i: int, j: int) -> int:
-        """Longest common extension from the anchor, by binary search over prefix hashes, confirmed by the bytes."""
-        x, y = (self.back[i], self.back[j]) if backward else (self.data[i], self.data[j])
-        p, q = (0, 0) if backward else (self.left[i], self.left[j])
-        a, b = self._prefix(backward, i), self._prefix(backward, j)
-        if self.down is None:
-            self.down = self.powers.down[: 2 * self.length + 2].tolist()
-        dp, dq = self.down[p], self.down[q]
-        low, high = 0, min(len(x) - p, len(y) - q)
-        while low < high:
+        self.sums = powers.prefix(np.frombuffer(self.joined, np.uint8))
+        self.down = powers.down[: len(self.joined) + 1]
+
+    def _same(self, i: int, j: int, n: int, backward: bool) -> bool:
+        p, q = int(self.at[i]), int(self.at[j])
+        return self.joined[p - n : p] == self.joined[q - n : q] if backward else self.joined[p : p + n] == self.joined[q : q + n]
+
+    def extensions(self, i: np.ndarray, j: np.ndarray, backward: bool) -> np.ndarray:
+        """Longest common extensions of pairs from their anchors, all at once, by binary search over prefix hashes, confirmed by the bytes."""
+        side = self.left if backward else self.right
+        low, high = np.zeros(len(i), np.int64), np.minimum(side[i], side[j])
+        p, q = self.at[i], self.at[j]
+        while (open_ := low < high).any():
             mid = (low + high + 1) // 2
-            if ((a[p + mid] - a[p]) * dp - (b[q + mid] - b[q]) * dq) & MASK:
-                high = mid - 1
-            else:
-                low = mid
-        if x[p : p + low] != y[q : q + low]:  # hashes collided
-            low = next(n for n in range(low) if x[p + n] != y[q + n])
+            s, t = (p - mid, q - mid) if backward else (p, q)
+            equal = (self.sums[s + mid] - self.sums[s]) * self.down[s] == (self.sums[t + mid] - self.sums[t]) * self.down[t]
+            low = np.where(open_ & equal, mid, low)
+            high = np.where(open_ & ~equal, mid - 1, high)
+        for x in range(len(i)):
+            if not self._same(int(i[x]), int(j[x]), int(low[x]), backward):  # hashes collided
+                low[x] = next(n for n in range(int(low[x])) if not self._same(int(i[x]), int(j[x]), n + 1, backward))
         return low
 
-    def reach(self, backward: bool) -> list[int]:
-        """How far each context agrees with any other, from a mergesort of all of them: its neighbours in order agree the most."""
+    def reach(self, a: int, b: int, backward: bool) -> np.ndarray:
+        """How far each context of the bucket a .. b agrees with any other, from a mergesort of all of them: its neighbours in order agree the most."""
+        side, at = self.left, self.at
+        lo, hi = int(self.base[a]), int(self.base[b])
+        sums, down, joined = self.sums[lo : hi + 1].tolist(), self.down[lo : hi + 1].tolist(), self.joined
+        place = (at[a:b] - lo).tolist()
+        room = (side[a:b] if backward else self.right[a:b]).tolist()
+        sign = -1 if backward else 1
 
         def compare(i: int, j: int) -> int:
-            n = self.extension(backward, i, j)
-            x, y = (self.back[i][n:], self.back[j][n:]) if backward else (self.data[i][self.left[i] + n :], self.data[j][self.left[j] + n :])
-            return (x[:1] > y[:1]) - (x[:1] < y[:1])
-
-        order = sorted(range(len(self.data)), key=cmp_to_key(compare))
-        out = [0] * len(order)
-        for i, j in zip(order, order[1:], strict=False):
-            n = self.extension(backward, i, j)
-            out[i], out[j] = max(out[i], n), max(out[j], n)
+            p, q = place[i], place[j]
+            low, high = 0, min(room[i], room[j])
+            while low < high:
+                mid = (low + high + 1) >> 1
+                s, t = (p - mid, q - mid) if backward else (p, q)
+                if ((sums[s + mid] - sums[s]) * down[s] - (sums[t + mid] - sums[t]) * down[t]) & MASK:
+                    high = mid - 1
+                else:
+                    low = mid
+            if low == room[i] or low == room[j]:
+                return room[i] - room[j]
+            k = low if sign > 0 else -low - 1
+            return joined[lo + p + k] - joined[lo + q + k]
+
+        order = np.array(sorted(range(b - a), key=cmp_to_key(compare))) + a
+        near = self.extensions(order[:-1], order[1:], backward)
+        out = np.zeros(b - a, np.int64)
+        out[order[:-1] - a] = near
+        out[order[1:] - a] = np.maximum(out[order[1:] - a], near)
         return out
 
-    def covered(self) -> list[tuple[int, int] | None]:
-        """For each context, the bytes from the anchor that repeated strings cover, or None.
+    def windows(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """(most bytes left of the anchor, least) of strings in each context of the bucket a .. b that another of them has too; (-1, length) where there are none.
+
+        What neighbours in the sorted orders share bounds the offsets to look at.
+        """
+        most, least = np.full(b - a, -1), np.full(b - a, self.length)
+        lo = np.maximum(0, self.length - self.reach(a, b, False))
+        hi = np.minimum(self.window - 1, self.reach(a, b, True))
+        count = np.maximum(hi - lo + 1, 0)
+        if not count.any():
+            return most, least
+        row = np.repeat(np.arange(b - a), count)
+        first = np.cumsum(count) - count
+        off = np.arange(len(row)) - first[row] + lo[row]
+        start = self.at[a:b][row] - off
+        h = (self.sums[start + self.length] - self.sums[start]) * self.down[start]
+        keys = mixed(h + off.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        order = np.argsort(keys)
+        same = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
+        partner = np.full(len(row), -1)
+        partner[order[same]] = order[same + 1]
+        partner[order[same + 1]] = order[same]
+
+        def true(x: int) -> bool:
+            s, t = int(start[x]), int(start[partner[x]])
+            return self.joined[s : s + self.length] == self.joined[t : t + self.length]
+
+        hits = np.flatnonzero(partner >= 0)
+        rows = row[hits]
+        edge = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1], [True]])) if len(hits) else []
+        for x, y in zip(edge, edge[1:], strict=False):
+            own = hits[x:y].tolist()
+            up = next((h for h in reversed(own) if true(h)), None)
+            if up is not None:
+                down = next(h for h in own if true(h))
+                most[rows[x]], least[rows[x]] = off[up], off[down]
+        return most, least
+
+    def covered(self, edges: list[int]) -> Iterator[tuple[int, int, int]]:
+        """(context, lo, hi): the bytes from the anchor that strings shared with others of its bucket cover.
 
         Strings of one anchor overlap at its gram, so their union is one span.
         """
-        right, left = self.reach(False), self.reach(True)
-        if len(self.data) == 2:
-            whole = right[0] + left[0] >= self.length
-            return [(-left[0], right[0]) if whole else None] * 2
-        rows, offs = [], []
-        for i, (r, x) in enumerate(zip(right, left, strict=True)):
-            lo, hi = max(0, self.length - r), min(x, self.window - 1)
-            if lo <= hi:
-                rows.append(np.full(hi - lo + 1, i))
-                offs.append(np.arange(lo, hi + 1))
-        out: list[tuple[int, int] | None] = [None] * len(self.data)
-        if not rows:
-            return out
-        row, off = np.concatenate(rows), np.concatenate(offs)
-        joined = np.frombuffer(b"".join(self.data), np.uint8)
-        base = np.concatenate([[0], np.cumsum([len(d) for d in self.data])])
-        start = base[row] + np.array(self.left)[row] - off
-        sums = self.powers.prefix(joined)
-        h = self.powers.of(sums, start, start + self.length)
-        order = np.lexsort((h, off))
-        o, g = off[order], h[order]
-        same = np.flatnonzero((o[1:] == o[:-1]) & (g[1:] == g[:-1]))
-        hit = np.zeros(len(order), bool)
-        for s in same.tolist():
-            a, b = start[order[s]], start[order[s + 1]]
-            if (joined[a : a + self.length] == joined[b : b + self.length]).all():
-                hit[s] = hit[s + 1] = True
-        found_rows, found_offs = row[order[hit]], off[order[hit]]
-        top, bottom = np.full(len(self.data), -1), np.full(len(self.data), self.length)
-        np.maximum.at(top, found_rows, found_offs)
-        np.minimum.at(bottom, found_rows, found_offs)
-        for i in np.flatnonzero(top >= 0).tolist():
-            out[i] = (-int(top[i]), self.length - int(bottom[i]))
-        return out
+        two = np.array([a for a, b in zip(edges, edges[1:], strict=False) if b - a == 2], np.int64)
+        right, left = self.extensions(two, two + 1, False), self.extensions(two, two + 1, True)
+        for x in np.flatnonzero(right + left >= self.length).tolist():
+            yield int(two[x]), -int(left[x]), int(right[x])
+            yield int(two[x]) + 1, -int(left[x]), int(right[x])
+        for a, b in zip(edges, edges[1:], strict=False):
+            if b - a > 2:
+                most, least = self.windows(a, b)
+                for i in np.flatnonzero(most >= 0).tolist():
+                    yield a + i, -int(most[i]), self.length - int(least[i])
 
 
 def coverage(found: DataFrame, length: int, k: int, max_bucket: int) -> DataFrame:
@@ -237,15 +266,12 @@ def coverage(found: DataFrame, length: int, k: int, max_bucket: int) -> DataFram
                         none = pa.nulls(len(off), pa.int64())
                         yield table({"hk": np.full(len(off), hk[i]), "hc": np.full(len(off), hc[i]), "lo": none, "hi": none, "off": off, "h1": h1.view(np.int64), "h2": h2.view(np.int64)}, schema)
                 continue
-            out: list[tuple] = []
             edges = np.flatnonzero(np.concatenate([[True], hk[1:] != hk[:-1], [True]])).tolist()
-            for a, b in zip(edges, edges[1:], strict=False):
-                if b - a > 1:
-                    spans = Bucket(data[a:b], left[a:b], powers, length, k).covered()
-                    out += [(int(hk[a]), int(hc[a + i]), *s) for i, s in enumerate(spans) if s]
-            if out:
-                columns = dict(zip(("hk", "hc", "lo", "hi"), map(list, zip(*out, strict=True)), strict=True))
-                yield table(columns | {c: pa.nulls(len(out), pa.int64()) for c in ("off", "h1", "h2")}, schema)
+            spans = list(Contexts(data, left, powers, length, k).covered(edges))
+            if spans:
+                at = np.array([s[0] for s in spans])
+                none = pa.nulls(len(at), pa.int64())
+                yield table({"hk": hk[at], "hc": hc[at], "lo": [s[1] for s in spans], "hi": [s[2] for s in spans], "off": none, "h1": none, "h2": none}, schema)
 
     made = found.repartition("hk").sortWithinPartitions("hk").mapInArrow(run, "hk long, hc long, lo long, hi long, off long, h1 long, h2 long")
     made = materialize(made, "coverage")
@@ -327,7 +353,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM, max_buc
 
     A character that loses some of its bytes goes whole.
     """
-    names = [c for c in docs.columns if c not in ("doc_id", "text")]
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != "text"] or [F.lit(1).alias("none")]).alias("row"), F.col("doc_id").cast("long"), utf8().alias("data"), F.col("text").isNull().alias("void")).withColumn("th", F.xxhash64("data"))
     spans = repeated_spans(rows.select("doc_id", "th", "data"), length, k, max_bucket)
 
@@ -337,7 +362,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM, max_buc
 
         return pd.Series([kept(d, merged(list(s) if s is not None else None, len(d))).decode("utf-8", "ignore") for d, s in zip(data, found, strict=True)])
 
-    text = F.when(F.col("void"), F.lit(None)).when(F.col("spans").isNull(), F.decode(F.col("data"), F.lit("UTF-8"))).otherwise(cut("data", "spans"))
+    text = F.when(F.col("void"), F.lit(None)).when(F.col("spans").isNull(), F.col("data").cast("string")).otherwise(cut("data", "spans"))
     out = _with_spans(rows, spans).withColumn("new", text)
     columns = []
     for c in docs.columns:
@@ -347,5 +372,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = GRAM, max_buc
             columns.append(F.coalesce(F.length("new"), F.lit(0)).cast(docs.schema[c].dataType).alias(c))
         else:
             columns.append(F.col("row")[c].alias(c))
-    del names
     return out.select(*columns)
