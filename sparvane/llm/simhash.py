@@ -198,3 +198,48 @@ def simhash_components(docs: DataFrame, n: int = 4, seed: int = 42, max_bits: in
     named = of.groupBy("root").agg(F.min("first").alias("component_id"))
     named = of.join(named, "root").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+#: Seeds of the pipeline stage's fingerprints.
+SEEDS = (42, 1, 2, 3, 4, 5)
+
+
+def near_duplicate_groups(docs: DataFrame, seeds: tuple[int, ...] = SEEDS, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """(doc_id, component_id): groups of documents that are alike in one of several fingerprints.
+
+    At a likeness of 0.8 of five-word shingles one fingerprint of the
+    shingles differs in some ten bits. Fingerprints of the different words
+    differ in four or fewer far more often, and one of several, of different
+    seeds, nearly always does; fingerprints of unlike texts are as far apart
+    as before.
+    """
+    rows = materialize(fingerprints(docs, 1, seeds, once=True), "fingerprints")
+    groups = materialize(rows.groupBy("fps").agg(F.min("doc_id").alias("node")), "groups").where("node is not null")
+    edges = None
+    for k in range(len(seeds)):
+        of = groups.select("node", F.col("fps")[k].alias("fp"))
+        first = of.groupBy("fp").agg(F.min("node").alias("first"))
+        same = of.join(first, "fp").where("node != first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+        near = links(first.select("fp"), max_bits, max_bucket)
+        a, b = first.select(F.col("fp").alias("u"), F.col("first").alias("a")), first.select(F.col("fp").alias("v"), F.col("first").alias("b"))
+        found = same.unionByName(near.join(a, "u").join(b, "v").select(F.col("a").alias("u"), F.col("b").alias("v")))
+        edges = found if edges is None else edges.unionByName(found)
+    roots = components(edges)
+    named = groups.join(roots, "node", "left").select("fps", F.coalesce("root", "node").alias("component_id"))
+    return rows.join(named, "fps", "left").select("doc_id", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, seeds: tuple[int, ...] = SEEDS, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """One row of docs for each group, that with the smallest doc_id, with all its columns.
+
+    Of repeated rows with that doc_id one stays; rows whose doc_id is null
+    all stay, as nothing names them.
+    """
+    # a group's number depends on all texts, a row's place in the scan tells rows of one doc_id apart
+    placed = docs.withColumn("__place", F.monotonically_increasing_id())
+    groups = near_duplicate_groups(docs, seeds, max_bits, max_bucket)
+    gone = groups.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    twice = placed.where("doc_id is not null").groupBy("doc_id").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__twice"), "__first")
+    kept = placed.join(gone, placed["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    kept = kept.join(twice, kept["doc_id"] == twice["__twice"], "left").where("__first is null or __first = __place")
+    return kept.select(*docs.columns)
