@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparvane.llm.common import table
+from sparvane.llm.common import materialize, table
 
 #: HTML element names by how they are treated.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -384,5 +384,6 @@ def main_text(pages: DataFrame) -> DataFrame:
 
         return pd.Series([extract(h, set(p) if p is not None else set()) for h, p in zip(html_, paths, strict=True)])
 
-    found = rows.join(wrappers(rows), "host", "left")
+    # written first: a small table is then broadcast by its size, and a host with very many pages can be split
+    found = rows.join(materialize(wrappers(rows), "wrappers"), "host", "left")
     return found.select("page_id", "url", read("html", "paths").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
