@@ -1,15 +1,497 @@
-"""Queries over the driver tables and their DuckDB twins."""
+"""Queries over the driver tables, by the operators of this package, and their DuckDB twins.
+
+The tables stand in for the reference's inputs: events for measurements
+(entry = user, MT = event type, missing uncertainties by rule), lineitem for
+measurements with several errors, orders for reference curves, documents for
+reports, embeddings for sentence vectors. Each query reads whole tables.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from sparvane.functions import clean, text, vectors
+from sparvane.operators import impute, interp, knn, rollup, similarity
+from sparvane.plans import imputation, ingest
+
+Query = Callable[[SparkSession, str], DataFrame]
+FOUND: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        FOUND[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---- inputs --------------------------------------------------------------------------------------------------------
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements from events."""
+    k = F.regexp_extract("props", "[0-9]+", 0).cast("int")
+    df = read(spark, sf_dir, "events").withColumn("k", k)
+    missing = (F.col("user_id") % 4 == 0) & (F.col("k") < 50)
+    return df.select(
+        F.col("event_id").alias("measurement_id"),
+        F.col("user_id").alias("EXFOR_Entry"),
+        (F.col("user_id") * 10 + F.col("event_id") % 3).alias("EXFOR_Subentry"),
+        F.col("event_type").alias("MT"),
+        F.col("value").alias("Energy"),
+        (F.col("value") * 2 + 1).alias("Data"),
+        F.when(~missing, F.col("value") * (F.col("k") + 1) / 100.0).alias("dData"),
+        (F.col("user_id") % 7 + 1).cast("int").alias("Z"),
+        (F.col("user_id") * 3 % 11 + 2).cast("int").alias("A"),
+        "k",
+    )
+
+
+M = """m0 AS (SELECT *, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS kk FROM events),
+m AS (SELECT event_id AS measurement_id, user_id AS entry, user_id * 10 + event_id % 3 AS subentry, event_type AS mt, value AS energy,
+  value * 2 + 1 AS data, CASE WHEN user_id % 4 = 0 AND kk < 50 THEN NULL ELSE value * (kk + 1) / 100.0 END AS ddata,
+  CAST(user_id % 7 + 1 AS INT) AS z, CAST(user_id * 3 % 11 + 2 AS INT) AS a, kk AS k FROM m0)"""
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements with two errors from lineitem; one channel has no error at all."""
+    none = (F.col("l_returnflag") == "A") & (F.col("l_linenumber") == 7)
+    return read(spark, sf_dir, "lineitem").select(
+        "l_returnflag",
+        "l_linestatus",
+        "l_linenumber",
+        F.col("l_extendedprice").alias("data"),
+        F.when(~((F.col("l_discount") < 0.03) | none), F.col("l_discount") * F.col("l_extendedprice") * (1 + F.col("l_tax"))).alias("error"),
+        F.when(~((F.col("l_tax") < 0.02) | (F.col("l_linenumber") == 6)), F.col("l_tax")).alias("energy_error"),
+    )
+
+
+L = """l AS (SELECT l_returnflag, l_linestatus, l_linenumber, l_extendedprice AS data,
+  CASE WHEN l_discount < 0.03 OR (l_returnflag = 'A' AND l_linenumber = 7) THEN NULL ELSE l_discount * l_extendedprice * (1 + l_tax) END AS error,
+  CASE WHEN l_tax < 0.02 OR l_linenumber = 6 THEN NULL ELSE l_tax END AS energy_error FROM lineitem)"""
+CHANNEL = ["l_returnflag", "l_linestatus", "l_linenumber"]
+
+
+def curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reference curve per event type from orders: mean price by bucket of days."""
+    o = read(spark, sf_dir, "orders")
+    x = (F.datediff(F.to_date("o_orderdate"), F.lit("1990-01-01").cast("date")) % 400).cast("double")
+    kinds = F.array(*[F.lit(t) for t in ("click", "purchase", "view")])
+    return o.select(F.explode(kinds).alias("MT"), x.alias("gx"), "o_totalprice").groupBy("MT", "gx").agg(F.avg("o_totalprice").alias("gy")).withColumn("gy", F.col("gy") / 1000 + F.length("MT"))
+
+
+G = """g AS (SELECT mt, gx, avg(o_totalprice) / 1000 + length(mt) AS gy FROM (
+  SELECT unnest(['click', 'purchase', 'view']) AS mt, CAST(date_diff('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) % 400 AS DOUBLE) AS gx, o_totalprice FROM orders) GROUP BY mt, gx),
+s AS (SELECT mt, gx AS x0, gy AS y0, lead(gx) OVER (PARTITION BY mt ORDER BY gx) AS x1, lead(gy) OVER (PARTITION BY mt ORDER BY gx) AS y1 FROM g),
+e AS (SELECT mt, min(gx) AS lo, max(gx) AS hi FROM g GROUP BY mt),
+i AS (SELECT m.*, CASE WHEN e.lo IS NULL THEN NULL WHEN m.energy < e.lo OR m.energy > e.hi THEN 0.0
+  ELSE s.y0 + coalesce((m.energy - s.x0) * (s.y1 - s.y0) / nullif(s.x1 - s.x0, 0), 0.0) END AS xs
+  FROM m LEFT JOIN e ON m.mt = e.mt ASOF LEFT JOIN s ON m.mt = s.mt AND m.energy >= s.x0)"""
+
+
+def injected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the artifacts that the text rules are about."""
+    d = read(spark, sf_dir, "documents")
+    kind = F.col("doc_id") % 4
+    more = F.when(kind == 0, F.lit("\n REFERENCES \n[1] A. Author, a title of a paper")).when(kind == 1, F.lit(" cali-\nbration\n\n\nx  y\t z")).when(kind == 2, F.lit("\n12\nabcd\n  abcde\nDOI: 10.1/x\nReceived: May 3\n a = b + c = d = e of the text here")).otherwise(F.lit(""))
+    return d.select("doc_id", F.concat("text", more, F.lit("\n[12] Smith measured the final line of the text")).alias("text"))
+
+
+D = r"""d AS (SELECT doc_id, text || CASE doc_id % 4 WHEN 0 THEN E'\n REFERENCES \n[1] A. Author, a title of a paper' WHEN 1 THEN E' cali-\nbration\n\n\nx  y\t z'
+  WHEN 2 THEN E'\n12\nabcd\n  abcde\nDOI: 10.1/x\nReceived: May 3\n a = b + c = d = e of the text here' ELSE '' END || E'\n[12] Smith measured the final line of the text' AS text FROM documents)"""
+NORMALIZED = r"regexp_replace(regexp_replace(replace(text, E'-\n', ''), '\n+', E'\n', 'g'), '[ \t]+', ' ', 'g')"
+CUT = r"string_split_regex({}, '(?i)\n\s*(?:references|bibliography|acknowledgments)\s*\n')[1]"
+DROPPED = r"""array_to_string(list_filter(string_split({}, E'\n'), lambda x: NOT regexp_matches(regexp_replace(x, '^\s+|\s+$', '', 'g'), '^[0-9]{{1,4}}$')
+  AND length(regexp_replace(x, '^\s+|\s+$', '', 'g')) >= 5 AND NOT regexp_matches(x, '(?i)doi:|copyright|received:|accepted:')), E'\n')"""
+SENTENCES = rf"""t AS (SELECT doc_id, {DROPPED.format(CUT.format(NORMALIZED))} AS text FROM d),
+x AS (SELECT doc_id, unnest(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', E'\\1\u0001', 'g'), E'\u0001'), lambda v: trim(v)), lambda v: v <> '')) AS raw FROM t),
+y AS (SELECT doc_id, lower(trim(regexp_replace(raw, '\s+', ' ', 'g'))) AS s FROM x),
+z AS (SELECT *, length(regexp_replace(s, '\s', '', 'g')) AS n FROM y),
+w AS (SELECT *, length(s) < 25 AS short, length(regexp_replace(s, '[^\p{{L}}]', '', 'g')) < 0.35 * n AS few_letters, length(regexp_replace(s, '[^\p{{Nd}}\p{{No}}]', '', 'g')) > 0.45 * n AS digits,
+  length(regexp_replace(s, '[^!-/:-@\[-`{{-~]', '', 'g')) > 0.45 * n AS punctuation, length(regexp_replace(s, '[^=<>±∑√∫≈×]', '', 'g')) >= 3 AS equation FROM z)"""
+BAD = "(short OR n = 0 OR few_letters OR digits OR punctuation OR equation)"
+
+C = """v AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+c AS (SELECT label, list(v ORDER BY pos) AS mean FROM (SELECT label, pos, avg(v) AS v FROM (SELECT label, unnest(e) AS v, generate_subscripts(e, 1) AS pos FROM v) GROUP BY label, pos) GROUP BY label)"""
+
+
+def centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.mean_vectors(read(spark, sf_dir, "embeddings"), "label", "embedding", "mean")
+
+
+# ---- uncertainties ---------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {L} SELECT round(quantile_cont(error / nullif(data, 0), 0.9), 6) AS q90 FROM l")
+def global_q90(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impute.global_quantile(lines(spark, sf_dir), "data", "error").select(F.round("global_fraction", 6).alias("q90"))
+
+
+def _imputed(df: DataFrame, gate: list[str]) -> DataFrame:
+    return impute.assume_errors(df, CHANNEL, gate, "data", "error", "assumed").select(*CHANNEL, F.round("data", 6).alias("data"), F.round("assumed", 6).alias("assumed"))
+
+
+IMPUTED = """WITH {l}, q AS (SELECT quantile_cont(error / nullif(data, 0), 0.9) AS q FROM l),
+c AS (SELECT l_returnflag, l_linestatus, l_linenumber, CASE WHEN bool_or({gate}) THEN least(quantile_cont(error / nullif(data, 0), 0.9), 10) END AS f FROM l GROUP BY ALL)
+SELECT l.l_returnflag, l.l_linestatus, l.l_linenumber, round(data, 6) AS data, round(coalesce(error, data * coalesce(f, q)), 6) AS assumed
+FROM l JOIN c USING (l_returnflag, l_linestatus, l_linenumber) CROSS JOIN q"""
+
+
+@query(IMPUTED.format(l=L, gate="error IS NOT NULL"))
+def channel_q90_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _imputed(lines(spark, sf_dir), ["error"])
+
+
+@query(IMPUTED.format(l=L, gate="error IS NOT NULL AND energy_error IS NOT NULL AND data IS NOT NULL"))
+def gate_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _imputed(lines(spark, sf_dir), ["data", "error", "energy_error"])
+
+
+# ---- derivations and filters -------------------------------------------------------------------------------------------
+
+
+@query(
+    r"""WITH p AS (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'Fe-' || p_size WHEN 1 THEN 'Am-' || p_size || 'M' WHEN 2 THEN 'U' WHEN 3 THEN 'H-' || p_size * 1000 WHEN 4 THEN 'Xx-' || p_size ELSE 'li-7' END AS target FROM part),
+q AS (SELECT p_partkey, string_split(target, '-')[1] AS element, CASE WHEN regexp_matches(coalesce(string_split(target, '-')[2], ''), '^\s*-?[0-9]+\s*$') THEN coalesce(try_cast(string_split(target, '-')[2] AS SMALLINT), -1) ELSE -1 END AS a FROM p),
+r AS (SELECT *, CASE element WHEN 'Fe' THEN 26 WHEN 'Am' THEN 95 WHEN 'U' THEN 92 WHEN 'H' THEN 1 ELSE 0 END AS z FROM q)
+SELECT p_partkey, element, CAST(a AS SMALLINT) AS a, CAST(z AS SMALLINT) AS z, z || CASE WHEN a BETWEEN 0 AND 999 THEN lpad(a::VARCHAR, 3, '0') WHEN a < 0 THEN lpad(a::VARCHAR, 3, '0') ELSE a::VARCHAR END AS zaid,
+upper(element[1]) || element[2:] AS symbol, z >= 1 AND a >= 1 AS known FROM r"""
+)
+def target_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind, size = F.col("p_partkey") % 6, F.col("p_size").cast("string")
+    target = F.when(kind == 0, F.concat(F.lit("Fe-"), size)).when(kind == 1, F.concat(F.lit("Am-"), size, F.lit("M"))).when(kind == 2, F.lit("U")).when(kind == 3, F.concat(F.lit("H-"), (F.col("p_size") * 1000).cast("string"))).when(kind == 4, F.concat(F.lit("Xx-"), size)).otherwise(F.lit("li-7"))
+    df = read(spark, sf_dir, "part").select("p_partkey", target.alias("target"))
+    df = df.withColumn("element", clean.element_symbol(F.col("target"))).withColumn("a", clean.mass_number(F.col("target")))
+    df = df.withColumn("z", clean.atomic_number(F.col("element")))
+    z, a = F.col("z"), F.col("a")
+    return df.select("p_partkey", "element", "a", "z", clean.zaid(z, a).alias("zaid"), clean.capitalized(F.col("element")).alias("symbol"), clean.known_isotope(z, a).alias("known"))
+
+
+@query("SELECT c_custkey AS id, n_name || c_name AS author, lower(substr(n_name, 1, 1)) AS projectile FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def author_concat_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = read(spark, sf_dir, "customer").join(read(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    df = df.withColumn("author", F.concat("n_name", "c_name")).withColumnsRenamed({"c_custkey": "id"})
+    return df.select("id", "author", clean.projectile(F.col("n_name")).alias("projectile"))
+
+
+@query(f"WITH {M} SELECT measurement_id, entry, round(energy, 6) AS energy FROM m WHERE energy > 0 AND ddata IS NOT NULL")
+def positive_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).where("Energy > 0 and dData is not null").select("measurement_id", F.col("EXFOR_Entry").alias("entry"), F.round("Energy", 6).alias("energy"))
+
+
+@query(f"WITH {M} SELECT measurement_id, entry, z, a, mt FROM m WHERE z = 3 AND a = 7 AND mt = 'click'")
+def literal_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparvane.sources.sinks import subset
+
+    return subset(events(spark, sf_dir), Z=3, A=7, MT="click").select("measurement_id", F.col("EXFOR_Entry").alias("entry"), F.col("Z").alias("z"), F.col("A").alias("a"), F.col("MT").alias("mt"))
+
+
+@query(f"WITH {M} SELECT entry, mt, arg_min(k, measurement_id) AS k, arg_min(round(energy, 6), measurement_id) AS energy FROM m GROUP BY entry, mt")
+def distinct_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = events(spark, sf_dir).select(F.col("EXFOR_Entry").alias("entry"), F.col("MT").alias("mt"), "k", F.round("Energy", 6).alias("energy"), "measurement_id")
+    return rollup.distinct_first(df, ["entry", "mt"], ["k", "energy"], "measurement_id")
+
+
+# ---- rollups -----------------------------------------------------------------------------------------------------------
+
+
+@query(
+    f"""WITH {M}, cat AS (SELECT DISTINCT CAST(s_suppkey % 7 + 1 AS INT) AS z, CAST(s_suppkey % 11 + 2 AS INT) AS a, s_nationkey % 2 AS ev FROM supplier),
+k AS (SELECT z, a, bool_or(ev = 0) AS e0, bool_or(ev = 1) AS e1 FROM cat GROUP BY z, a)
+SELECT m.z, m.a, mt, coalesce(bool_or(e0), false) AS has_first, coalesce(bool_or(e1), false) AS has_second FROM m LEFT JOIN k ON m.z = k.z AND m.a = k.a GROUP BY m.z, m.a, mt"""
+)
+def channel_summary_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = read(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 7 + 1).cast("int").alias("Z"), (F.col("s_suppkey") % 11 + 2).cast("int").alias("A"), (F.col("s_nationkey") % 2).alias("ev"))
+    known = s.groupBy("Z", "A").agg(F.bool_or(F.col("ev") == 0).alias("e0"), F.bool_or(F.col("ev") == 1).alias("e1"))
+    df = events(spark, sf_dir).join(known, ["Z", "A"], "left")
+    return rollup.channel_summary(df, ["Z", "A", "MT"], {"has_first": F.col("e0"), "has_second": F.col("e1")}).withColumnsRenamed({"Z": "z", "A": "a", "MT": "mt"})
+
+
+@query(
+    f"""WITH {M} SELECT subentry, arg_min(z, measurement_id) AS z, arg_min(mt, measurement_id) AS mt, arg_min(entry, measurement_id) AS entry, round(min(energy), 6) AS e_min, round(max(energy), 6) AS e_max,
+round(median(energy), 6) AS e_median, count(*) AS num_measurements, count(ddata) AS num_measurements_uncertainty FROM m GROUP BY subentry"""
+)
+def subentry_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rollup.subentries(events(spark, sf_dir), "EXFOR_Subentry", ["Z", "MT", "EXFOR_Entry"], "measurement_id")
+    return out.select(F.col("EXFOR_Subentry").alias("subentry"), F.col("Z").alias("z"), F.col("MT").alias("mt"), F.col("EXFOR_Entry").alias("entry"), F.round("E_min", 6).alias("e_min"), F.round("E_max", 6).alias("e_max"), F.round("E_median", 6).alias("e_median"), "num_measurements", "num_measurements_uncertainty")
+
+
+@query(
+    f"""WITH {M}, f AS (SELECT entry, mt, min(measurement_id) AS o FROM m GROUP BY entry, mt), s AS (SELECT entry, string_agg(mt, '-' ORDER BY o) AS mt_codes FROM f GROUP BY entry)
+SELECT m.entry, any_value(mt_codes) AS mt_codes, CAST(any_value(z) AS VARCHAR) AS z_values, count(DISTINCT subentry) AS num_subentries, count(*) AS num_measurements, count(*) - count(ddata) AS num_missing, count(*) = count(ddata) AS complete FROM m JOIN s ON m.entry = s.entry GROUP BY m.entry"""
+)
+def entry_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rollup.entries(events(spark, sf_dir), "EXFOR_Entry", {"mt_codes": ("MT", "-"), "z_values": ("Z", ",")}, "EXFOR_Subentry", "measurement_id")
+    return out.select(F.col("EXFOR_Entry").alias("entry"), "mt_codes", "z_values", F.col("Num_Subentries").alias("num_subentries"), F.col("Num_Measurements").alias("num_measurements"), F.col("Num_Missing_Uncertainty").alias("num_missing"), F.col("Uncertainty_Complete").alias("complete"))
+
+
+@query(f"WITH {M} SELECT subentry, round(avg(CASE WHEN ddata IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_fraction FROM m GROUP BY subentry")
+def null_fraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.null_fraction(events(spark, sf_dir), "EXFOR_Subentry", "dData").select(F.col("EXFOR_Subentry").alias("subentry"), F.round("null_fraction", 6).alias("null_fraction"))
+
+
+@query(
+    f"""WITH {M}, f AS (SELECT subentry, avg(CASE WHEN ddata IS NULL THEN 1.0 ELSE 0.0 END) AS x FROM m GROUP BY subentry), r AS (SELECT min(x) AS lo, (max(x) - min(x)) / 10 AS w FROM f),
+b AS (SELECT CAST(CASE WHEN w = 0 THEN 1 ELSE least(greatest(ceil((x - lo) / w), 1), 10) END AS INT) AS bin, count(*) AS n FROM f CROSS JOIN r GROUP BY 1)
+SELECT CAST(i AS INT) AS bin, coalesce(n, 0) AS count FROM range(1, 11) t(i) LEFT JOIN b ON b.bin = i"""
+)
+def null_fraction_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.histogram(rollup.null_fraction(events(spark, sf_dir), "EXFOR_Subentry", "dData"), "null_fraction")
+
+
+@query(f"WITH {M} SELECT count(*) AS total, count(*) - count(ddata) AS missing, count(DISTINCT entry) AS entries, count(DISTINCT subentry) AS subentries, round((count(*) - count(ddata)) * 100.0 / count(*), 1) AS missing_percent FROM m")
+def completeness_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollup.completeness(events(spark, sf_dir), "EXFOR_Entry", "EXFOR_Subentry")
+
+
+# ---- curves ------------------------------------------------------------------------------------------------------------
+
+
+def _interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interp.interpolate(events(spark, sf_dir), curve(spark, sf_dir), ["MT"], "Energy", "gx", "gy", "xs", width=16.0)
+
+
+@query(f"WITH {M}, {G} SELECT measurement_id, mt, round(xs, 6) AS xs FROM i")
+def interp_xs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _interpolated(spark, sf_dir).select("measurement_id", F.col("MT").alias("mt"), F.round("xs", 6).alias("xs"))
+
+
+@query(f"WITH {M}, {G} SELECT measurement_id, round(power(data - xs, 2) / nullif(coalesce(ddata, data * 0.1), 0), 6) AS chi_squared, round((data - xs) / nullif(xs, 0) * 100, 6) AS relative_error FROM i")
+def interp_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _interpolated(spark, sf_dir).withColumn("dData_assumed", F.coalesce("dData", F.col("Data") * 0.1))
+    df = interp.with_metrics(df, "xs")
+    return df.select("measurement_id", F.round("xs_chi_squared", 6).alias("chi_squared"), F.round("xs_relative_error", 6).alias("relative_error"))
+
+
+@query("SELECT CAST(i AS INT) AS i, round(log10(power(10.0, -5 + 12.0 * i / 999)), 6) AS exponent FROM range(0, 1000) t(i)")
+def logspace_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = spark.range(1).select(F.posexplode(vectors.logspace(-5, 7, 1000)).alias("i", "x"))
+    return grid.select("i", F.round(F.log10("x"), 6).alias("exponent"))
+
+
+# ---- text --------------------------------------------------------------------------------------------------------------
+
+
+def _digest(c: Column) -> list[Column]:
+    return [F.length(c).cast("long").alias("n"), F.md5(c.cast("binary")).alias("md5")]
+
+
+@query(f"WITH {D}, t AS (SELECT doc_id, {NORMALIZED} AS t FROM d) SELECT doc_id, length(t) AS n, md5(t) AS md5 FROM t")
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return injected(spark, sf_dir).select("doc_id", *_digest(text.normalize(F.col("text"))))
+
+
+@query(f"WITH {D}, t AS (SELECT doc_id, {CUT.format('text')} AS t FROM d) SELECT doc_id, length(t) AS n, md5(t) AS md5 FROM t")
+def cut_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return injected(spark, sf_dir).select("doc_id", *_digest(text.cut_references(F.col("text"))))
+
+
+@query(f"WITH {D}, t AS (SELECT doc_id, {DROPPED.format('text')} AS t FROM d) SELECT doc_id, length(t) AS n, md5(t) AS md5 FROM t")
+def drop_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return injected(spark, sf_dir).select("doc_id", *_digest(text.drop_artifacts(F.col("text"))))
+
+
+@query(f"WITH {D}, {SENTENCES} SELECT doc_id, count(*) AS sentences, count(*) FILTER (NOT {BAD}) AS kept, count(*) FILTER (short) AS short FROM w GROUP BY doc_id")
+def sentence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = injected(spark, sf_dir).select("doc_id", F.explode(text.sentences(text.report_text(F.col("text")))).alias("raw")).select("doc_id", text.tidy(F.col("raw")).alias("s"))
+    return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.count_if(~text.bad_sentence(F.col("s"))).alias("kept"), F.count_if(F.length("s") < text.LEAST_CHARS).alias("short"))
+
+
+@query(
+    rf"""WITH {D}, t AS (SELECT doc_id, {DROPPED.format(CUT.format(NORMALIZED))} AS text FROM d),
+p AS (SELECT doc_id, list_transform(list_filter(list_transform(string_split(regexp_replace(text, '([.!?])\s+', E'\\1\u0001', 'g'), E'\u0001'), lambda v: trim(v)), lambda v: v <> ''), lambda v: lower(trim(regexp_replace(v, '\s+', ' ', 'g')))) AS l FROM t),
+x AS (SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS o FROM p), z AS (SELECT *, length(regexp_replace(s, '\s', '', 'g')) AS n FROM x),
+w AS (SELECT *, length(s) < 25 AS short, length(regexp_replace(s, '[^\p{{L}}]', '', 'g')) < 0.35 * n AS few_letters, length(regexp_replace(s, '[^\p{{Nd}}\p{{No}}]', '', 'g')) > 0.45 * n AS digits,
+  length(regexp_replace(s, '[^!-/:-@\[-`{{-~]', '', 'g')) > 0.45 * n AS punctuation, length(regexp_replace(s, '[^=<>±∑√∫≈×]', '', 'g')) >= 3 AS equation FROM z)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY o) AS INT) AS number, md5(s) AS md5 FROM w WHERE NOT {BAD}"""
+)
+def sentence_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparvane.plans.reports import sentences
+
+    s = sentences(injected(spark, sf_dir).withColumnRenamed("doc_id", "report_id"))
+    return s.select(F.col("EXFOR_Entry").alias("doc_id"), F.col("Sentence_Number").alias("number"), F.md5(F.col("Text").cast("binary")).alias("md5"))
+
+
+LEXICON = {"common": ["that", "with this"], "other": ["und", "pour", "para"], "odd": ["h(n,n)", "beam-off"]}
+
+
+@query(
+    f"""WITH {D}, {SENTENCES}, k AS (SELECT * FROM (VALUES ('common', '\\bthat\\b|\\bwith this\\b'), ('other', '\\bund\\b|\\bpour\\b|\\bpara\\b'), ('odd', '\\bh\\(n,n\\)\\b|\\bbeam-off\\b')) t(category, p))
+SELECT doc_id, category, count(*) AS sentences, round(sum(CASE WHEN regexp_matches(s, p) THEN CAST(1.0 AS DOUBLE) ELSE 0.9 END), 6) AS weight FROM w CROSS JOIN k WHERE NOT {BAD} GROUP BY doc_id, category"""
+)
+def keyword_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = injected(spark, sf_dir).select("doc_id", F.explode(text.clean_sentences(text.report_text(F.col("text")))).alias("Text"))
+    return similarity.gates(s, LEXICON).groupBy("doc_id", "category").agg(F.count(F.lit(1)).alias("sentences"), F.round(F.sum("gate"), 6).alias("weight"))
+
+
+# ---- vectors -----------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {C} SELECT label, CAST(pos AS INT) AS pos, round(v, 6) AS v FROM (SELECT label, unnest(mean) AS v, generate_subscripts(mean, 1) - 1 AS pos FROM c)")
+def mean_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids(spark, sf_dir).select("label", F.posexplode("mean").alias("pos", "v")).withColumn("v", F.round("v", 6))
+
+
+@query(f"WITH {C} SELECT vec_id, c.label AS template, round(list_cosine_similarity(e, mean), 6) AS sim FROM v CROSS JOIN c")
+def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v, c = read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), centroids(spark, sf_dir).withColumnRenamed("label", "template")
+    return v.crossJoin(c).select("vec_id", "template", F.round(vectors.cosine(F.col("embedding"), F.col("mean")), 6).alias("sim"))  # sentences x templates, as asked
+
+
+def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = read(spark, sf_dir, "embeddings").select(F.col("label").alias("EXFOR_Entry"), F.col("vec_id").alias("Sentence_Number"), F.col("embedding").alias("Embedding"))
+    s = v.withColumn("category", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn("gate", F.when(F.col("Sentence_Number") % 3 == F.col("category"), 1.0).otherwise(0.9))
+    t = centroids(spark, sf_dir).select((F.col("label") % 3).alias("category"), F.col("mean").alias("Template_Embedding"))
+    return similarity.category_scores(s, t)
+
+
+S = f"""{C}, k AS (SELECT unnest([0, 1, 2]) AS category),
+p AS (SELECT v.label AS report, k.category, vec_id, (CASE WHEN vec_id % 3 = k.category THEN 1.0 ELSE 0.9 END) * list_cosine_similarity(e, mean) AS sim FROM v CROSS JOIN k JOIN c ON c.label % 3 = k.category)"""
+
+
+@query(f"WITH {S} SELECT report, round(max(sim) FILTER (category = 0), 6) AS c0_max_sim, round(max(sim) FILTER (category = 1), 6) AS c1_max_sim, round(max(sim) FILTER (category = 2), 6) AS c2_max_sim FROM p GROUP BY report")
+def gated_max_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = similarity.wide_scores(_scores(spark, sf_dir).withColumn("category", F.concat(F.lit("c"), F.col("category"))), ["c0", "c1", "c2"])
+    return wide.select(F.col("EXFOR_Entry").alias("report"), *[F.round(f"c{k}_max_sim", 6).alias(f"c{k}_max_sim") for k in range(3)])
+
+
+@query(f"WITH {S} SELECT report, CAST(category AS INT) AS category, arg_max(vec_id, sim) AS closest FROM p GROUP BY report, category")
+def closest_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scores(spark, sf_dir).select(F.col("EXFOR_Entry").alias("report"), "category", "closest")
+
+
+# ---- neighbours --------------------------------------------------------------------------------------------------------
+
+
+def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as reports of the entries of their numbers, each with a label's mean vector and two scores."""
+    n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("EXFOR_Entry"), (F.col("n_nationkey") % 10).alias("label"), (F.col("n_nationkey") / 25.0).alias("s1"), (F.length("n_name") / 10.0).alias("s2"))
+    return n.join(centroids(spark, sf_dir), "label").select("EXFOR_Entry", F.col("mean").alias("mean_embedding"), "s1", "s2")
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return events(spark, sf_dir).groupBy("EXFOR_Entry").agg(F.bool_and(F.col("dData").isNotNull()).alias("Uncertainty_Complete"))
+
+
+R = f"""{C}, r AS (SELECT CAST(n_nationkey AS BIGINT) AS entry, mean, n_nationkey / 25.0 AS s1, length(n_name) / 10.0 AS s2 FROM nation JOIN c ON c.label = n_nationkey % 10),
+en AS (SELECT entry, count(*) = count(ddata) AS complete FROM m GROUP BY entry),
+rp AS (SELECT t.entry AS target_entry, k.entry AS entry, sqrt(greatest(0, 1 - list_cosine_similarity(t.mean, k.mean))) + abs(t.s1 - k.s1) + abs(t.s2 - k.s2) AS report_distance
+  FROM r t JOIN en te ON te.entry = t.entry AND NOT te.complete CROSS JOIN r k JOIN en ke ON ke.entry = k.entry AND ke.complete)"""
+STD = """st AS (SELECT avg(log10(energy)) AS em, stddev_samp(log10(energy)) AS es, avg(z) AS zm, stddev_samp(z) AS zs, avg(a) AS am, stddev_samp(a) AS asd FROM m WHERE energy > 0),
+sm AS (SELECT m.*, (log10(energy) - em) / es AS le, (z - zm) / zs AS zz, (a - am) / asd AS aa FROM m CROSS JOIN st WHERE energy > 0)"""
+NEAR = f"""{STD}, tg AS (SELECT sm.* FROM sm JOIN en ON en.entry = sm.entry AND NOT en.complete SEMI JOIN r ON r.entry = sm.entry WHERE ddata IS NULL),
+cd AS (SELECT sm.* FROM sm JOIN en ON en.entry = sm.entry AND en.complete SEMI JOIN r ON r.entry = sm.entry),
+pr AS (SELECT t.measurement_id AS target, t.entry AS target_entry, c.entry, c.measurement_id AS candidate, abs(c.le - t.le) AS de, abs(c.zz - t.zz) AS dz, abs(c.aa - t.aa) AS da,
+  0.5 * power(c.le - t.le, 2) + 1.5 * power(c.zz - t.zz, 2) + power(c.aa - t.aa, 2) AS inner_d FROM tg t JOIN cd c ON c.mt = t.mt),
+l1 AS (SELECT * FROM pr QUALIFY row_number() OVER (PARTITION BY target, entry ORDER BY inner_d, candidate) = 1)"""
+TOP = f"""{NEAR}, l2 AS (SELECT l1.*, report_distance + de + dz + da AS distance FROM l1 JOIN rp USING (target_entry, entry)),
+nb AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY distance, entry) AS rank FROM l2 QUALIFY rank <= 5)"""
+PRED = f"""{TOP}, pd AS (SELECT target, coalesce(avg(ratio) FILTER (distance = 0), sum(ratio / nullif(distance, 0)) / sum(1 / nullif(distance, 0))) AS prediction
+  FROM (SELECT nb.target, nb.distance, sm.ddata / nullif(sm.data, 0) AS ratio FROM nb JOIN sm ON sm.measurement_id = nb.candidate) WHERE ratio IS NOT NULL GROUP BY target)"""
+
+
+@query(f"WITH {M}, {STD} SELECT measurement_id, round(le, 6) AS loge_std, round(zz, 6) AS z_std, round(aa, 6) AS a_std FROM sm")
+def zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = knn.standardize(events(spark, sf_dir).where("Energy > 0"))
+    return df.select("measurement_id", F.round("logE_std", 6).alias("loge_std"), F.round("Z_std", 6).alias("z_std"), F.round("A_std", 6).alias("a_std"))
+
+
+@query(f"WITH {M}, en AS (SELECT entry, count(*) = count(ddata) AS complete FROM m GROUP BY entry) SELECT measurement_id, entry FROM m SEMI JOIN (SELECT entry FROM en WHERE complete) k ON k.entry = m.entry")
+def complete_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = events(spark, sf_dir).join(_entries(spark, sf_dir).where("Uncertainty_Complete"), "EXFOR_Entry", "left_semi")
+    return df.select("measurement_id", F.col("EXFOR_Entry").alias("entry"))
+
+
+@query(f"WITH {M}, en AS (SELECT entry, count(*) = count(ddata) AS complete FROM m GROUP BY entry) SELECT measurement_id, entry FROM m SEMI JOIN (SELECT entry FROM en WHERE NOT complete) k ON k.entry = m.entry WHERE ddata IS NULL")
+def incomplete_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = events(spark, sf_dir).where("dData is null").join(_entries(spark, sf_dir).where("not Uncertainty_Complete"), "EXFOR_Entry", "left_semi")
+    return df.select("measurement_id", F.col("EXFOR_Entry").alias("entry"))
+
+
+@query(f"WITH {M}, {R} SELECT target_entry, entry, round(report_distance, 6) AS report_distance FROM rp")
+def report_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = imputation.report_pairs(_reports(spark, sf_dir), _entries(spark, sf_dir), ["s1", "s2"])
+    return pairs.select("target_entry", "entry", F.round("report_distance", 6).alias("report_distance"))
+
+
+def _level1(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    df = knn.standardize(events(spark, sf_dir).where("Energy > 0"))
+    entries = _entries(spark, sf_dir)
+    df = df.join(_reports(spark, sf_dir).select("EXFOR_Entry"), "EXFOR_Entry", "left_semi")
+    targets = df.where("dData is null").join(entries.where("not Uncertainty_Complete"), "EXFOR_Entry", "left_semi")
+    candidates = df.join(entries.where("Uncertainty_Complete"), "EXFOR_Entry", "left_semi")
+    return knn.nearest_rows(targets, candidates, "EXFOR_Entry", "MT", "measurement_id"), targets, candidates
+
+
+@query(f"WITH {M}, {R}, {NEAR} SELECT target, entry, candidate, round(de, 6) AS dloge FROM l1")
+def knn_level1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _level1(spark, sf_dir)[0].select("target", "entry", "candidate", F.round("dlogE", 6).alias("dloge"))
+
+
+def _neighbours(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    level1, targets, candidates = _level1(spark, sf_dir)
+    pairs = imputation.report_pairs(_reports(spark, sf_dir), _entries(spark, sf_dir), ["s1", "s2"])
+    return knn.neighbours(level1, targets.select(F.col("measurement_id").alias("target"), F.col("EXFOR_Entry").alias("target_entry")), pairs), candidates
+
+
+@query(f"WITH {M}, {R}, {TOP} SELECT target, entry, candidate, round(distance, 6) AS distance, CAST(rank AS INT) AS rank FROM nb")
+def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _neighbours(spark, sf_dir)[0].select("target", "entry", "candidate", F.round("distance", 6).alias("distance"), "rank")
+
+
+@query(f"WITH {M}, {R}, {PRED} SELECT target, round(prediction, 6) AS prediction FROM pd")
+def knn_impute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near, candidates = _neighbours(spark, sf_dir)
+    out = knn.predict(near, candidates.select(F.col("measurement_id").alias("candidate"), knn.ratio().alias("ratio")))
+    return out.select("target", F.round("prediction", 6).alias("prediction"))
+
+
+@query(
+    f"""WITH {M}, {R}, {PRED} SELECT sm.measurement_id, round(CASE WHEN prediction IS NOT NULL AND ddata IS NULL THEN prediction * data ELSE coalesce(ddata, data * 0.1) END, 6) AS adopted,
+CASE WHEN prediction IS NOT NULL AND ddata IS NULL THEN 'nlp_imputed' WHEN ddata IS NOT NULL THEN 'included' ELSE 'quantile_imputed' END AS source FROM sm LEFT JOIN pd ON pd.target = sm.measurement_id"""
+)
+def adopted_uncertainty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = events(spark, sf_dir).withColumn("dData_assumed", F.coalesce("dData", F.col("Data") * 0.1))
+    out = imputation.adopted(df, _entries(spark, sf_dir), _reports(spark, sf_dir), ["s1", "s2"])
+    return out.select("measurement_id", F.round("dData_adopted", 6).alias("adopted"), F.col("uncertainty_source").alias("source"))
+
+
+# ---- sets and order ----------------------------------------------------------------------------------------------------
+
+
+@query("SELECT event_id AS id, 'event' AS kind FROM events UNION ALL SELECT o_orderkey AS id, 'order' AS kind FROM orders")
+def append_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = read(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.lit("event").alias("kind"))
+    o = read(spark, sf_dir, "orders").select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"))
+    return ingest.all_of(e, o)
+
+
+@query(f"WITH {M}, n AS (SELECT entry, count(*) AS measurements FROM m GROUP BY entry) SELECT entry, measurements FROM n ORDER BY measurements DESC, entry LIMIT 15 OFFSET 30")
+def top_entries_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = events(spark, sf_dir).groupBy(F.col("EXFOR_Entry").alias("entry")).agg(F.count(F.lit(1)).alias("measurements"))
+    return n.orderBy(F.desc("measurements"), "entry").offset(30).limit(15)
+
+
+@query(f"WITH {M} SELECT entry, measurement_id, CAST(row_number() OVER (PARTITION BY entry ORDER BY energy, measurement_id) AS INT) AS number FROM m")
+def energy_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = Window.partitionBy("EXFOR_Entry").orderBy("Energy", "measurement_id")
+    return events(spark, sf_dir).select(F.col("EXFOR_Entry").alias("entry"), "measurement_id", F.row_number().over(w).alias("number"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    return dict(FOUND)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
