@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparvane.llm.common import table, utf8
+from sparvane.llm.common import materialize, table, utf8
 from sparvane.llm.decontaminate import words
 from sparvane.llm.linear import Rows, fit, screened, sigmoid
 
@@ -43,6 +43,8 @@ DIMENSIONS = 1 << 24
 LEAST_ROWS = 5
 #: Features that a model starts from: those that depend most on its category in its training documents.
 MOST_FEATURES = 400
+#: Features that reach the driver, by category.
+POOL = 2_000
 PREFIXES = (3, 4, 5, 6, 7)
 CACHE_WORDS = 300_000
 #: Words by weak category.
@@ -133,23 +135,46 @@ class Chain:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
+    """The chain, fitted on at most ``sample`` labelled documents.
+
+    Which features depend on a category is counted in the cluster; the driver
+    gets the sample's labels and of its features only the POOL that depend
+    most on each category.
+    """
     chosen = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("data"))
-    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), *((c, pa.bool_()) for c in CATEGORIES), ("features", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.bool_()) for c in CHAIN), ("features", pa.list_(pa.int32()))])
+    ddl = "doc_id long, " + ", ".join(f"{c} boolean" for c in CHAIN) + ", features array<int>"
 
     def featurize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            toxic = [t > 0 for t in batch.column("toxic").to_pylist()]
             texts = [d.as_py() for d in batch.column("data")]
             seen = [set(words(t)) for t in texts]
-            columns = {c: [bool(s & listed) for s in seen] for c, listed in CATEGORIES.items()}
-            yield table(columns | {"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"), "features": [document_features(t) for t in texts]}, schema)
+            columns = {c: [t and bool(s & listed) for t, s in zip(toxic, seen, strict=True)] for c, listed in CATEGORIES.items()}
+            yield table(columns | {"doc_id": batch.column("doc_id"), "toxic": toxic, "features": [document_features(t) for t in texts]}, schema)
 
-    got = rows.join(F.broadcast(chosen), "doc_id").mapInArrow(featurize, "doc_id long, toxic int, " + ", ".join(f"{c} boolean" for c in CATEGORIES) + ", features array<int>").toArrow()
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")[: 4 * sample]
-    toxic = got.column("toxic").to_numpy()[order] > 0
-    if toxic.all() or not toxic.any():
+    drawn = materialize(rows.join(F.broadcast(chosen), "doc_id").mapInArrow(featurize, ddl), "features")
+    sums = drawn.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CHAIN]).first()
+    if not 0 < sums["toxic"] < sums["n"]:
         return Chain()
-    y = np.column_stack([*(got.column(c).to_numpy(zero_copy_only=False)[order] & toxic for c in CATEGORIES), toxic]).astype(float)
+    hits = drawn.select(F.explode("features").alias("f"), *CHAIN).groupBy("f").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CHAIN]).where(F.col("n") >= LEAST_ROWS)
+    hits = materialize(hits, "hits")
+    pool: set[int] = set()
+    for c in CHAIN:
+        p = sums[c] / sums["n"]
+        chi = F.try_divide(F.pow(F.col(c) - F.col("n") * p, F.lit(2.0)), F.col("n") * (1 - F.col("n") / sums["n"]))
+        pool |= {r.f for r in hits.orderBy(chi.desc_nulls_last(), "f").limit(POOL).select("f").collect()}
+    wanted = np.array(sorted(pool), np.int32)
+
+    def select(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [np.array(x.as_py(), np.int32) for x in batch.column("features")]
+            yield table({c: batch.column(c) for c in ("doc_id", *CHAIN)} | {"features": [x[np.isin(x, wanted)] for x in lists]}, schema)
+
+    got = drawn.mapInArrow(select, ddl).toArrow()
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
+    y = np.column_stack([got.column(c).to_numpy(zero_copy_only=False)[order] for c in CHAIN]).astype(float)
     lists = got.column("features").combine_chunks()
     features = [lists[int(i)].values.to_numpy().astype(np.int64) for i in order]
     return Chain.train(features, y)
