@@ -90,7 +90,7 @@ def keyword_gate(sentence: Column, keywords: list[str], gate: float = 0.9) -> Co
     """1 where the sentence has a keyword, else the gate."""
     if not keywords:
         return F.lit(gate)
-    return F.when(F.lower(sentence).rlike(keyword_pattern(keywords)), F.lit(1.0)).otherwise(F.lit(gate))
+    return F.when(F.lower(sentence).rlike("(?U)" + keyword_pattern(keywords)), F.lit(1.0)).otherwise(F.lit(gate))
 
 
 def file_id(name: Column) -> Column:

@@ -38,7 +38,7 @@ def measurements(source: DataFrame, curves: DataFrame, evaluations: tuple[str, .
     added: list[str] = []
     for ev in evaluations:
         columns = ["dData"] if gate == "uncertainty_only" else [*BASE, *added]
-        df = impute.assume_errors(df.drop("dData_assumed"), CHANNEL, columns, fallback=fallback)
+        df = impute.assume_errors(df, CHANNEL, columns, assumed="__assumed", fallback=fallback).drop("dData_assumed").withColumnRenamed("__assumed", "dData_assumed")
         grid = curves.where(F.col("evaluation") == ev).select("Z", "A", F.col("MT").alias("eval_MT"), "energy", "xs")
         df = interp.interpolate(df, grid, ["Z", "A", "eval_MT"], "Energy", "energy", "xs", ev, width=0.1, outside=outside, log=True)
         df = interp.with_metrics(df, ev)

@@ -323,12 +323,13 @@ def sentence_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.col("EXFOR_Entry").alias("doc_id"), F.col("Sentence_Number").alias("number"), F.md5(F.col("Text").cast("binary")).alias("md5"))
 
 
-LEXICON = {"common": ["that", "with this"], "other": ["und", "pour", "para"], "odd": ["h(n,n)", "beam-off"]}
+LEXICON = {"common": ["that", "with"], "other": ["und", "pour", "para"], "odd": ["h(n,n)", "beam-off"]}
 
 
 @query(
-    f"""WITH {D}, {SENTENCES}, k AS (SELECT * FROM (VALUES ('common', '\\bthat\\b|\\bwith this\\b'), ('other', '\\bund\\b|\\bpour\\b|\\bpara\\b'), ('odd', '\\bh\\(n,n\\)\\b|\\bbeam-off\\b')) t(category, p))
-SELECT doc_id, category, count(*) AS sentences, round(sum(CASE WHEN regexp_matches(s, p) THEN CAST(1.0 AS DOUBLE) ELSE 0.9 END), 6) AS weight FROM w CROSS JOIN k WHERE NOT {BAD} GROUP BY doc_id, category"""
+    rf"""WITH {D}, {SENTENCES}, p AS (SELECT doc_id, ' ' || regexp_replace(s, '[^\p{{L}}\p{{N}}_]+', ' ', 'g') || ' ' AS p, contains(s, 'h(n,n)') OR contains(s, 'beam-off') AS odd FROM w WHERE NOT {BAD}),
+k AS (SELECT doc_id, unnest(['common', 'other', 'odd']) AS category, unnest([contains(p, ' that ') OR contains(p, ' with '), contains(p, ' und ') OR contains(p, ' pour ') OR contains(p, ' para '), odd]) AS has FROM p)
+SELECT doc_id, category, count(*) AS sentences, round(sum(CASE WHEN has THEN CAST(1.0 AS DOUBLE) ELSE 0.9 END), 6) AS weight FROM k GROUP BY doc_id, category"""
 )
 def keyword_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = injected(spark, sf_dir).select("doc_id", F.explode(text.clean_sentences(text.report_text(F.col("text")))).alias("Text"))
