@@ -235,17 +235,17 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, dict[str, floa
         return Scorer({}, 0.0), {}
     accuracy, posterior, _ = estimate(np.array([r.pattern for r in counted]), np.array([r.n for r in counted], float))
     chosen = voted.groupBy("doc_id").agg(F.min("pattern").alias("pattern")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    schema = pa.schema([("pattern", pa.int64()), ("features", pa.list_(pa.int32())), ("shares", pa.list_(pa.float32()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("pattern", pa.int64()), ("features", pa.list_(pa.int32())), ("shares", pa.list_(pa.float32()))])
 
     def featurize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             made = [features(data.as_py(), words) for data in batch.column("data")]
-            yield table({"pattern": batch.column("pattern"), "features": [m[0] for m in made], "shares": [m[1] for m in made]}, schema)
+            yield table({"doc_id": batch.column("doc_id"), "pattern": batch.column("pattern"), "features": [m[0] for m in made], "shares": [m[1] for m in made]}, schema)
 
     rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("data"))
-    drawn = rows.join(F.broadcast(chosen), rows.doc_id.eqNullSafe(chosen.doc_id)).select("data", "pattern")
-    got = drawn.mapInArrow(featurize, "pattern long, features array<int>, shares array<float>").toArrow().slice(0, 4 * sample)
+    drawn = rows.join(F.broadcast(chosen), rows.doc_id.eqNullSafe(chosen.doc_id)).select(rows.doc_id, "data", "pattern")
+    got = drawn.mapInArrow(featurize, "doc_id long, pattern long, features array<int>, shares array<float>").dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
     labels = np.array([posterior[p] for p in got.column("pattern").to_pylist()])
     named = [np.array(x, np.int64) for x in got.column("features").to_pylist()]
     data = Rows(named, [np.array(x) for x in got.column("shares").to_pylist()], least_rows=3)

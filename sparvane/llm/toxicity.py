@@ -154,7 +154,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
             columns = {c: [t and bool(s & listed) for t, s in zip(toxic, seen, strict=True)] for c, listed in CATEGORIES.items()}
             yield table(columns | {"doc_id": batch.column("doc_id"), "toxic": toxic, "features": [document_features(t) for t in texts]}, schema)
 
-    drawn = materialize(rows.join(F.broadcast(chosen), "doc_id").mapInArrow(featurize, ddl), "features")
+    drawn = materialize(rows.join(F.broadcast(chosen), "doc_id").mapInArrow(featurize, ddl), "features").dropDuplicates(["doc_id"])
     sums = drawn.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CHAIN]).first()
     if not 0 < sums["toxic"] < sums["n"]:
         return Chain()
