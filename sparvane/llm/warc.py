@@ -130,7 +130,7 @@ def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes]]:
         *(f"http-header: {one_line(x)}" for x in lines),
         f"charset-detected: {name}",
         f"title: {one_line(html.unescape(title[1])) if title else ''}",
-        *(f"outlink: {one_line(html.unescape(next(x for x in m if x or x == m[-1])))}" for m in LINK.findall(page)),
+        *(f"outlink: {one_line(html.unescape(''.join(m)))}" for m in LINK.findall(page)),
     ]
     text = html_text.extract(page, set())
     payload_digest = get(headers, "WARC-Payload-Digest") or digest(payload)
