@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import duckdb
+import numpy as np
+import pytest
+
+from sparvane.llm import quality, toxicity
+from sparvane.llm.linear import Rows, fit, sigmoid
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def labels():
+    return {i: (q, t) for i, q, t in duckdb.sql(f"SELECT doc_id, quality, toxic FROM '{SF}/labels.parquet'").fetchall()}
+
+
+def test_linear_model_finds_weights():
+    rng = np.random.default_rng(0)
+    features = [np.flatnonzero(rng.random(30) < 0.3) for _ in range(600)]
+    y = np.array([float(3 in f) for f in features])
+    rows = Rows(features, None, 1)
+    w, v = fit(rows, y, np.ones(600, bool), np.zeros((600, 0)), 1e-3, 0.0)
+    assert ((sigmoid(rows.dot(w) + v[-1]) > 0.5) == (y > 0.5)).mean() > 0.99 and rows.names[np.argmax(w)] == 3
+
+
+def test_em_recovers_accuracies():
+    rng = np.random.default_rng(1)
+    n, m = 20_000, len(quality.LABELLERS)
+    good = rng.random(n) < 0.7
+    accuracy = np.linspace(0.65, 0.95, m)
+    right = rng.random((n, m)) < accuracy
+    votes = np.where(right == good[:, None], quality.GOOD, quality.BAD)
+    votes[rng.random((n, m)) < 0.3] = quality.NONE
+    patterns, counts = np.unique(votes @ 3 ** np.arange(m - 1, -1, -1), return_counts=True)
+    found, posterior, prior = quality.estimate(patterns, counts.astype(float))
+    assert np.abs(found - accuracy).max() < 0.03 and abs(prior[0] - 0.7) < 0.02
+    assert len(posterior) == len(patterns)
+
+
+def test_votes_round_trip():
+    stats = {"symbols": 0.2, "capitals": 0.0, "lone": 0.0, "stutter": 0.0, "triples": 0.0, "top": 0.0, "lines": 0.0, "endings": 0.2, "frequent": 0.3, "length": 5.0}
+    votes = dict(zip(quality.LABELLERS, quality.votes_of(np.array([quality.pattern(stats)]))[0].tolist(), strict=True))
+    assert votes["symbols"] == votes["endings"] == quality.BAD and votes["variety"] == votes["language"] == quality.GOOD and votes["form"] == quality.NONE
+
+
+def test_quality_agrees_with_held_out_labels(spark, labels):
+    rows = quality.scores(spark.read.parquet(f"{SF}/documents.parquet")).collect()
+    assert len(rows) == 1000
+    right = [r.keep == bool(labels[r.doc_id][0]) for r in rows if r.doc_id in labels]
+    kept = [r.keep for r in rows if r.doc_id in labels and labels[r.doc_id][0]]
+    assert np.mean(right) > 0.96 and np.mean(kept) > 0.98
+
+
+def test_toxicity_on_held_out_labels(spark):
+    docs, marks = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    train = marks.where("doc_id % 2 = 0")
+    truth = {r.doc_id: r.toxic for r in marks.where("doc_id % 2 = 1").collect()}
+    got = {r.doc_id: r.toxic for r in toxicity.scores(docs, train).collect()}
+    toxic = [got[i] for i, t in truth.items() if t]
+    clean = [got[i] for i, t in truth.items() if not t]
+    assert np.mean(toxic) > 0.75 and np.mean(clean) < 0.01
+
+
+def test_odd_rows(spark, odd, make, empty):
+    rows = quality.scores(odd).collect()
+    assert len(rows) == odd.count() and {(r.score, r.keep) for r in rows if r.doc_id in (0, 1, 2)} == {(0.0, False)}
+    out = quality.good(odd)
+    assert out.columns == odd.columns and out.where("doc_id = 5").count() == 1
+    assert quality.scores(empty).collect() == [] and quality.good(empty).collect() == []
+    marks = spark.createDataFrame([(3, 1, 1), (4, 1, 0), (4, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    rows = toxicity.scores(odd, marks).collect()
+    assert len(rows) == odd.count() and all(not r.toxic for r in rows if r.doc_id in (0, 1, 2))
+    assert {r.p_toxic for r in toxicity.scores(odd, marks.limit(0)).collect()} == {0.0}
+    assert toxicity.scores(empty, marks).collect() == []
