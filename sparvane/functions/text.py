@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,7 +14,9 @@ BOILERPLATE = ("doi:", "copyright", "received:", "accepted:")
 #: Limits of the sentence filter.
 LEAST_CHARS, LEAST_ALPHA, MOST_DIGITS, MOST_PUNCTUATION, MOST_OPERATORS = 25, 0.35, 0.45, 0.45, 3
 OPERATORS = "[=<>±∑√∫≈×]"
-LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85  ]"
+#: White space, as the reference rules understand it.
+SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+LINE_BREAK = "\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def normalize(text: Column) -> Column:
@@ -29,14 +32,19 @@ def cut_references(text: Column) -> Column:
     return F.get(F.split(text, heading, 2), F.lit(0))
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value computed once, also inside array functions, which share no subexpressions."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def strip(c: Column) -> Column:
+    return F.btrim(c, F.lit(SPACES))
+
+
 def drop_artifacts(text: Column) -> Column:
     """Without page numbers, lines of less than five characters and page boilerplate; kept lines keep their spaces."""
     marks = "(?i)" + "|".join(map(re.escape, BOILERPLATE))
-
-    def keep(line: Column) -> Column:
-        bare = F.regexp_replace(line, r"(?U)^\s+|\s+$", "")
-        return ~bare.rlike(r"^[0-9]{1,4}$") & (F.length(bare) >= 5) & ~bare.rlike(marks)
-
+    keep = lambda line: let(strip(line), lambda bare: (F.length(bare) >= 5) & ~bare.rlike(marks))  # noqa: E731  page numbers are shorter
     return F.array_join(F.filter(F.split(text, LINE_BREAK), keep), "\n")
 
 
@@ -47,7 +55,7 @@ def report_text(raw: Column) -> Column:
 def sentences(text: Column) -> Column:
     """Rule-based segmentation: a sentence ends at . ! or ? before white space."""
     marked = F.regexp_replace(text, r"(?U)([.!?])\s+", "$1\u0001")
-    return F.filter(F.transform(F.split(marked, "\u0001"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(marked, "\u0001"), lambda s: F.trim(s)), lambda s: s != "")
 
 
 def tidy(sentence: Column) -> Column:
@@ -55,25 +63,26 @@ def tidy(sentence: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(sentence, r"(?U)\s+", " ")))
 
 
-def _count(sentence: Column, pattern: str) -> Column:
-    return F.regexp_count(sentence, F.lit(pattern))
-
-
 def bad_sentence(sentence: Column) -> Column:
     """Too short, mostly digits, punctuation or operators, or like the head of a reference."""
-    s = F.regexp_replace(sentence, r"(?U)^\s+|\s+$", "")
-    chars = F.length(F.regexp_replace(s, r"(?U)\s", "")).cast("double")
-    share = lambda pattern: _count(s, pattern) / F.when(chars == 0, F.lit(None)).otherwise(chars)
-    return F.coalesce(
-        (F.length(s) < LEAST_CHARS)
-        | (chars == 0)
-        | (share(r"\p{L}") < LEAST_ALPHA)
-        | (share(r"[\p{Nd}\p{No}]") > MOST_DIGITS)
-        | (share(r"\p{Punct}") > MOST_PUNCTUATION)
-        | s.rlike(r"^\[?\d+\]?\s+[A-Z][A-Za-z\-]+")
-        | (_count(s, OPERATORS) >= MOST_OPERATORS),
-        F.lit(True),
-    )
+
+    def judge(v: Column) -> Column:
+        s, dense = v["s"], v["dense"]
+        n = F.length(dense)
+        # characters of a class: what is missing once they are taken out
+        count = lambda pattern: n - F.length(F.regexp_replace(dense, f"{pattern}+", ""))
+        return (
+            (F.length(s) < LEAST_CHARS)
+            | (n == 0)
+            | (count(r"\p{L}") / n < LEAST_ALPHA)
+            | (count(r"[\p{Nd}\p{No}]") / n > MOST_DIGITS)
+            | (count(r"\p{Punct}") / n > MOST_PUNCTUATION)
+            | s.rlike(r"^\[?\d+\]?\s+[A-Z][A-Za-z\-]+")
+            | (count(OPERATORS) >= MOST_OPERATORS)
+        )
+
+    bare = strip(sentence)
+    return F.coalesce(let(F.struct(bare.alias("s"), F.regexp_replace(bare, r"(?U)\s+", "").alias("dense")), judge), F.lit(True))
 
 
 def clean_sentences(text: Column) -> Column:
