@@ -288,7 +288,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = GRAM, max_buc
     window = length - k + 1
     found = materialize(anchors(docs, length, k), "anchors")
     grams = found.groupBy("hk").agg(F.count(F.lit(1)).alias("n"), F.min("hc").alias("a"), F.max("hc").alias("b")).where("n > 1")
-    found = materialize(found.join(grams.select("hk", (F.col("a") != F.col("b")).alias("several")), "hk"), "repeated")
+    # written first, so that a gram with very many anchors can be split in the join
+    grams = materialize(grams.select("hk", (F.col("a") != F.col("b")).alias("several")), "grams")
+    found = materialize(found.join(grams, "hk"), "repeated")
     each = found.where("several").groupBy("hk", "hc").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "pos")).alias("one"))
     each = each.select("hk", "hc", "n", "one.*")
     spans = coverage(contexts(docs, each, length, k), length, k, max_bucket)
