@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparvane.llm import decontaminate, html_text, packing, quality, sharding, suffix_dedup, toxicity, warc, winnowing
+from sparvane.llm import decontaminate, html_text, oracles, packing, quality, sharding, suffix_dedup, toxicity, warc, winnowing
 from sparvane.llm.common import documents, pages
 from sparvane.llm.simhash import simhash_components
 
@@ -59,4 +59,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_sharding": oracles.sharding(), "op8_suffix_dedup": oracles.suffix_dedup()}
