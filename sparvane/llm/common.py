@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -20,9 +22,18 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         named = LOCAL_SHARED
         spark.conf.set("spark.checkpoint.dir", named)
+        own = f"{named.removeprefix('file://')}/{spark.sparkContext.applicationId}"
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
     return named.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder; results not yet written elsewhere can then not be read."""
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder and read it back.
 
