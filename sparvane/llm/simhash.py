@@ -35,6 +35,9 @@ from sparvane.llm.components import components
 BITS = 64
 #: First bit and width of the three segments.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+#: Bits of the longest segment; above them a key has 6 bits for the wildcard and then the table's number.
+SEGMENT_BITS = 22
+TABLE_SHIFT = SEGMENT_BITS + 6
 MAX_BITS = 4
 MAX_BUCKET = 1024
 #: Shingles hashed at a time.
@@ -91,12 +94,15 @@ def fingerprints(docs: DataFrame, n: int = 4, seeds: tuple[int, ...] = (42,), on
     return docs.select(F.col("doc_id").cast("long"), utf8().alias("data")).mapInArrow(run, "doc_id long, fps array<long>")
 
 
-def variants(fp: Column, offset: int = 0) -> Column:
-    """The 64 one-wildcard segment variants: number of the wildcard bit above the segment without that bit."""
+def variants(fp: Column, table_number: Column | None = None) -> Column:
+    """The 64 one-wildcard segment variants: number of the wildcard bit (and of the table) above the segment without that bit."""
     keys = []
     for first, width in SEGMENTS:
         segment = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
-        keys += [segment.bitwiseAND(F.lit(((1 << width) - 1) & ~(1 << i))) + F.lit((offset + first + i) << 22) for i in range(width)]
+        keys += [segment.bitwiseAND(F.lit(((1 << width) - 1) & ~(1 << i))) + F.lit((first + i) << SEGMENT_BITS) for i in range(width)]
+    if table_number is not None:
+        above = F.shiftleft(table_number.cast("long"), TABLE_SHIFT)
+        keys = [k + above for k in keys]
     return F.array(*keys)
 
 
@@ -153,47 +159,51 @@ def _ball(max_bits: int) -> np.ndarray:
 
 
 def links(nodes: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """(fp) distinct -> (u, v): stars that have the components of all pairs at max_bits bits or fewer (even, 4 at most)."""
+    """(t, fp) distinct -> (t, u, v): stars that have the components of all pairs of a table at max_bits bits or fewer (even, 4 at most)."""
     if max_bits not in (2, 4):
         raise ValueError("three segments and a ball of half the bits need max_bits 2 or 4")
-    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    schema = pa.schema([("t", pa.int32()), ("u", pa.int64()), ("v", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, large in grouped(batches, "key", max_bucket):
-            fps = rows.column("fp").to_numpy()
+            keys, fps = rows.column("key").to_numpy(), rows.column("fp").to_numpy()
             if large:
-                u, v = np.unique(fps), None
-            else:
-                u, v = _bucket_links(rows.column("key").to_numpy(), fps, max_bits)
-            if len(u):
-                yield table({"u": u, "v": pa.nulls(len(u), pa.int64()) if v is None else v}, schema)
-
-    filed = nodes.select("fp", F.explode(variants(F.col("fp"))).alias("key"))
-    found = materialize(filed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "u long, v long").distinct(), "links")
+                u = np.unique(fps)
+                yield table({"t": np.full(len(u), keys[0] >> TABLE_SHIFT), "u": u, "v": pa.nulls(len(u), pa.int64())}, schema)
+                continue
+            tables = keys >> TABLE_SHIFT
+            for t in np.unique(tables).tolist():
+                own = tables == t
+                u, v = _bucket_links(keys[own], fps[own], max_bits)
+                if len(u):
+                    yield table({"t": np.full(len(u), t), "u": u, "v": v}, schema)
+
+    filed = nodes.select("fp", F.explode(variants(F.col("fp"), F.col("t"))).alias("key"))
+    found = materialize(filed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "t int, u long, v long").distinct(), "links")
     near = found.where("v is not null")
-    hot = found.where("v is null").select(F.col("u").alias("fp")).distinct()
+    hot = found.where("v is null").select("t", F.col("u").alias("fp")).distinct()
     if hot.isEmpty():
         return near
     masks = _ball(max_bits)
-    spread_schema = pa.schema([("fp", pa.int64()), ("point", pa.int64())])
+    spread_schema = pa.schema([("t", pa.int32()), ("fp", pa.int64()), ("point", pa.int64())])
 
     def spread(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = batch.column("fp").to_numpy()
+            numbers, fps = batch.column("t").to_numpy(), batch.column("fp").to_numpy()
             for at in range(0, len(fps), 256):
                 part = fps[at : at + 256]
-                yield table({"fp": np.repeat(part, len(masks)), "point": (part[:, None] ^ masks[None, :]).ravel()}, spread_schema)
+                yield table({"t": np.repeat(numbers[at : at + 256], len(masks)), "fp": np.repeat(part, len(masks)), "point": (part[:, None] ^ masks[None, :]).ravel()}, spread_schema)
 
-    points = hot.mapInArrow(spread, "fp long, point long")
-    roots = points.groupBy("point").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("point", "v")
-    return near.unionByName(points.join(roots, "point").where("fp != v").select(F.col("fp").alias("u"), "v").distinct())
+    points = hot.mapInArrow(spread, "t int, fp long, point long")
+    roots = points.groupBy("t", "point").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("t", "point", "v")
+    return near.unionByName(points.join(roots, ["t", "point"]).where("fp != v").select("t", F.col("fp").alias("u"), "v").distinct())
 
 
 def simhash_components(docs: DataFrame, n: int = 4, seed: int = 42, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs."""
     rows = materialize(fingerprints(docs, n, (seed,)).select("doc_id", F.col("fps")[0].alias("fp")), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(nodes.select("fp"), max_bits, max_bucket))
+    roots = components(links(nodes.select(F.lit(0).alias("t"), "fp"), max_bits, max_bucket).select("u", "v"))
     of = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = of.groupBy("root").agg(F.min("first").alias("component_id"))
     named = of.join(named, "root").select("fp", "component_id")
@@ -215,15 +225,12 @@ def near_duplicate_groups(docs: DataFrame, seeds: tuple[int, ...] = SEEDS, max_b
     """
     rows = materialize(fingerprints(docs, 1, seeds, once=True), "fingerprints")
     groups = materialize(rows.groupBy("fps").agg(F.min("doc_id").alias("node")), "groups").where("node is not null")
-    edges = None
-    for k in range(len(seeds)):
-        of = groups.select("node", F.col("fps")[k].alias("fp"))
-        first = of.groupBy("fp").agg(F.min("node").alias("first"))
-        same = of.join(first, "fp").where("node != first").select(F.col("node").alias("u"), F.col("first").alias("v"))
-        near = links(first.select("fp"), max_bits, max_bucket)
-        a, b = first.select(F.col("fp").alias("u"), F.col("first").alias("a")), first.select(F.col("fp").alias("v"), F.col("first").alias("b"))
-        found = same.unionByName(near.join(a, "u").join(b, "v").select(F.col("a").alias("u"), F.col("b").alias("v")))
-        edges = found if edges is None else edges.unionByName(found)
+    of = groups.select("node", F.posexplode("fps").alias("t", "fp"))
+    first = materialize(of.groupBy("t", "fp").agg(F.min("node").alias("first")), "first")
+    same = of.join(first, ["t", "fp"]).where("node != first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    near = links(first.select("t", "fp"), max_bits, max_bucket)
+    a, b = first.select("t", F.col("fp").alias("u"), F.col("first").alias("a")), first.select("t", F.col("fp").alias("v"), F.col("first").alias("b"))
+    edges = same.unionByName(near.join(a, ["t", "u"]).join(b, ["t", "v"]).select(F.col("a").alias("u"), F.col("b").alias("v")))
     roots = components(edges)
     named = groups.join(roots, "node", "left").select("fps", F.coalesce("root", "node").alias("component_id"))
     return rows.join(named, "fps", "left").select("doc_id", "component_id")

@@ -76,8 +76,10 @@ def test_links_find_all_near_fingerprints(spark, bucket):
             fps.add(y)
     fps = sorted(fps)
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    nodes = spark.createDataFrame([(s,) for s in signed], "fp long")
-    roots = {r.node: r.root for r in components(simhash.links(nodes, max_bucket=bucket)).collect()}
+    nodes = spark.createDataFrame([(0, s) for s in signed] + [(5, s) for s in signed[::2]], "t int, fp long")
+    found = simhash.links(nodes, max_bucket=bucket)
+    assert {r.t for r in found.select("t").distinct().collect()} == {0, 5}
+    roots = {r.node: r.root for r in components(found.where("t = 0").select("u", "v")).collect()}
     expected = slow_components(fps, signed)
     assert [roots.get(s, s) for s in signed] == expected
 
