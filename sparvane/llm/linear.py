@@ -47,12 +47,15 @@ def fit(rows: Rows, y: np.ndarray, sample: np.ndarray, dense: np.ndarray, l1: fl
         new_v = vy - rate * (x.T @ r)
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
         wy, vy = new_w + (t - 1) / t2 * (new_w - w), new_v + (t - 1) / t2 * (new_v - v)
+        still = max(np.abs(new_w - w).max(initial=0.0), np.abs(new_v - v).max(initial=0.0))
         w, v, t = new_w, new_v, t2
+        if still < 1e-5:
+            break
     return w, v
 
 
-def screened(rows: Rows, y: np.ndarray, sample: np.ndarray, most: int) -> Rows:
-    """rows with the ``most`` features that depend most on y (chi-squared of presence) over the rows where sample is true."""
+def screened(rows: Rows, y: np.ndarray, sample: np.ndarray, most: int, least: float) -> Rows:
+    """rows with the ``most`` features that depend most on y (chi-squared of presence, ``least`` or more) over the rows where sample is true."""
     inside = sample[rows.row]
     with_feature = np.bincount(rows.column[inside], minlength=len(rows.names)).astype(float)
     hits = np.bincount(rows.column[inside], y[rows.row[inside]], minlength=len(rows.names))
@@ -61,7 +64,7 @@ def screened(rows: Rows, y: np.ndarray, sample: np.ndarray, most: int) -> Rows:
     chi = np.where(spread > 1e-12, (hits - with_feature * p) ** 2 / np.maximum(spread, 1e-12), 0.0)
     keep = np.zeros(len(chi), bool)
     keep[np.argsort(-chi, kind="stable")[:most]] = True
-    keep &= chi > 0
+    keep &= chi >= least
     out = Rows([], None, 1)
     mask = keep[rows.column]
     new = np.cumsum(keep) - 1

@@ -43,6 +43,8 @@ DIMENSIONS = 1 << 24
 LEAST_ROWS = 5
 #: Features that a model starts from: those that depend most on its category in its training documents.
 MOST_FEATURES = 400
+#: Least chi-squared of a model's feature: less is common among so many features by chance.
+LEAST_CHI = 25.0
 #: Features that reach the driver, by category.
 POOL = 2_000
 PREFIXES = (3, 4, 5, 6, 7)
@@ -88,8 +90,8 @@ class Chain:
         everyone = np.ones(rows.n, bool)
 
         def model(y: np.ndarray, inside: np.ndarray, earlier: np.ndarray) -> tuple[Rows, np.ndarray, np.ndarray]:
-            few = screened(rows, y, inside, most)
-            return few, *fit(few, y, inside, earlier, l1, 0.0, steps=300)
+            few = screened(rows, y, inside, most, LEAST_CHI)
+            return few, *fit(few, y, inside, earlier, l1, 0.0, steps=200)
 
         fold = np.arange(rows.n) % folds
         earlier = np.zeros((rows.n, 0))
