@@ -64,11 +64,9 @@ def shingles(found: list[bytes], n: int) -> Iterator[list[bytes]]:
         yield [joined[s:e] for s, e in zip(first[at : at + CHUNK], last[at : at + CHUNK], strict=True)]
 
 
-def fingerprint(data: bytes, n: int = 4, seed: int = 42, once: bool = False) -> int:
-    """64-bit SimHash; a bit is 1 if set in over half the shingle hashes. once: repeated shingles count once."""
+def fingerprint(data: bytes, n: int = 4, seed: int = 42) -> int:
+    """64-bit SimHash; a bit is 1 if set in over half the shingle hashes."""
     found = words(data)
-    if once:
-        found = list(dict.fromkeys(found)) if n == 1 else found
     ones, total = np.zeros(BITS, np.int64), 0
     digest = xxhash.xxh64_digest
     for part in shingles(found, n):
@@ -82,14 +80,14 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def fingerprints(docs: DataFrame, n: int = 4, seeds: tuple[int, ...] = (42,), once: bool = False) -> DataFrame:
+def fingerprints(docs: DataFrame, n: int = 4, seeds: tuple[int, ...] = (42,)) -> DataFrame:
     """(doc_id, fps): one fingerprint per seed, as signed longs."""
     schema = pa.schema([("doc_id", pa.int64()), ("fps", pa.list_(pa.int64()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("data")
-            yield table({"doc_id": batch.column("doc_id"), "fps": [[_signed(fingerprint(t.as_py(), n, s, once)) for s in seeds] for t in texts]}, schema)
+            yield table({"doc_id": batch.column("doc_id"), "fps": [[_signed(fingerprint(t.as_py(), n, s)) for s in seeds] for t in texts]}, schema)
 
     return docs.select(F.col("doc_id").cast("long"), utf8().alias("data")).mapInArrow(run, "doc_id long, fps array<long>")
 
@@ -210,33 +208,159 @@ def simhash_components(docs: DataFrame, n: int = 4, seed: int = 42, max_bits: in
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Seeds of the pipeline stage's fingerprints.
-SEEDS = (42, 1, 2, 3, 4, 5)
+#: The pipeline stage: words of a shingle, and the least Jaccard index of near-duplicates as a fraction.
+STAGE_SHINGLE = 5
+ALIKE = (4, 5)
+#: Bands of MinHash values, and values of a band: a pair at an index of 0.8 meets in none with a chance of (1 - 0.8 ** 4) ** 28 = 4e-7.
+BANDS, ROWS = 28, 4
+#: Shingles of a cell in which all pairs of different groups are compared.
+CELL = 1 << 21
 
+_random = np.random.default_rng(20)
+_FACTORS = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+_MIX = (_random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).reshape(BANDS, ROWS)
 
-def near_duplicate_groups(docs: DataFrame, seeds: tuple[int, ...] = SEEDS, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
-    """(doc_id, component_id): groups of documents that are alike in one of several fingerprints.
 
-    At a likeness of 0.8 of five-word shingles one fingerprint of the
-    shingles differs in some ten bits. Fingerprints of the different words
-    differ in four or fewer far more often, and one of several, of different
-    seeds, nearly always does; fingerprints of unlike texts are as far apart
-    as before.
+def shingle_set(data: bytes, n: int = STAGE_SHINGLE) -> np.ndarray:
+    """Sorted different 64-bit hashes of the n-word shingles."""
+    parts = [np.frombuffer(b"".join([xxhash.xxh64_digest(s) for s in part]), dtype=">u8").astype(np.uint64) for part in shingles(words(data), n)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def set_id(found: np.ndarray) -> int:
+    """A signed long that equal sets share."""
+    return _signed(xxhash.xxh3_64_intdigest(found.tobytes()))
+
+
+def band_keys(found: np.ndarray) -> np.ndarray:
+    """One key for each band; the empty set has none."""
+    if not len(found):
+        return np.zeros(0, np.int64)
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(found), 4096):
+        least = np.minimum(least, (found[at : at + 4096, None] * _FACTORS + _SHIFTS).min(axis=0))
+    return (least.reshape(BANDS, ROWS) * _MIX).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def signatures(docs: DataFrame) -> DataFrame:
+    """(doc_id, set, keys): the id of the text's shingle set and its band keys."""
+    schema = pa.schema([("doc_id", pa.int64()), ("set", pa.int64()), ("keys", pa.list_(pa.int64()))])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = [], []
+            for t in batch.column("data"):
+                found = shingle_set(t.as_py())
+                ids.append(set_id(found))
+                keys.append(band_keys(found))
+            yield table({"doc_id": batch.column("doc_id"), "set": ids, "keys": keys}, schema)
+
+    return docs.select(F.col("doc_id").cast("long"), utf8().alias("data")).mapInArrow(run, "doc_id long, set long, keys array<long>")
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set, size, hashes) of the wanted (set, first), from the text of the document first."""
+    schema = pa.schema([("set", pa.int64()), ("size", pa.int64()), ("hashes", pa.list_(pa.int64()))])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for want, t in zip(batch.column("set").to_pylist(), batch.column("data"), strict=True):
+                found = shingle_set(t.as_py())
+                if set_id(found) == want:  # a doc_id may have several texts
+                    yield table({"set": [want], "size": [len(found)], "hashes": [found.view(np.int64)]}, schema)
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("first"), utf8().alias("data")).join(wanted, "first").select("set", "data")
+    return texts.mapInArrow(run, "set long, size long, hashes array<long>").dropDuplicates(["set"])
+
+
+def _alike(both: np.ndarray, a: int, b: np.ndarray) -> np.ndarray:
+    """both / (a + b - both) >= ALIKE, in whole numbers."""
+    part, whole = ALIKE
+    return (part + whole) * both >= part * (a + b)
+
+
+def _cell_links(roots: list[int], sides: list[bool], sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Pairs of places that join the groups of a cell as all its pairs of alike sets do; with both sides present, pairs across them only."""
+    root, side = np.unique(np.array(roots), return_inverse=True)[1], np.array(sides)
+    across, sizes = bool(side.any() and not side.all()), np.array([len(s) for s in sets])
+    out = []
+    for x in range(len(sets)):
+        # sets whose sizes alone put them below ALIKE cannot be alike
+        other = (root != root[x]) & (np.minimum(sizes, sizes[x]) * ALIKE[1] >= np.maximum(sizes, sizes[x]) * ALIKE[0])
+        if across:
+            other &= side != side[x]
+        other[: x + 1] = False
+        at = np.flatnonzero(other)
+        if not len(at):
+            continue
+        joined = np.concatenate([sets[y] for y in at])
+        place = np.minimum(np.searchsorted(sets[x], joined), len(sets[x]) - 1)
+        starts = np.concatenate([[0], np.cumsum(sizes[at])[:-1]])
+        both = np.add.reduceat((sets[x][place] == joined).astype(np.int64), starts)
+        for y in at[_alike(both, sizes[x], sizes[at])].tolist():
+            if root[y] != root[x]:
+                out.append((x, y))
+                root[root == root[y]] = root[x]
+    return out
+
+
+def alike_edges(docs: DataFrame, groups: DataFrame, cell: int = CELL) -> DataFrame:
+    """(set, first, keys) distinct -> (u, v): pairs of alike sets that have the components of all alike pairs that share a band key.
+
+    Each set of a bucket is held against the bucket's least one, which is
+    linear and joins a large group of near copies. Sets of a bucket that are
+    in different components after that are compared pair by pair; those of
+    a large bucket in cells of some ``cell`` shingles, so that no task holds more.
+    No edge is made without an exact comparison of the sets.
+    """
+    filed = groups.select("set", F.explode("keys").alias("key"))
+    least = filed.groupBy("key").agg(F.min("set").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "least")
+    met = materialize(filed.join(least, "key").where("set != least"), "met")
+    pairs = met.select("set", "least").distinct()
+    wanted = pairs.select("set").union(pairs.select("least")).distinct().join(groups.select("set", "first"), "set")
+    sets = materialize(_sets(docs, wanted), "sets")
+    a, b = sets.select("set", F.col("size").alias("a"), F.col("hashes").alias("x")), sets.select(F.col("set").alias("least"), F.col("size").alias("b"), F.col("hashes").alias("y"))
+    part, whole = ALIKE
+    close = pairs.join(a.select("set", "a"), "set").join(b.select("least", "b"), "least").where(F.least("a", "b") * whole >= F.greatest("a", "b") * part).select("set", "least")
+    both = F.size(F.array_intersect("x", "y"))
+    near = materialize(close.join(a, "set").join(b, "least").where(both * (part + whole) >= (F.col("a") + F.col("b")) * part).select(F.col("set").alias("u"), F.col("least").alias("v")), "near")
+
+    placed = met.join(components(near).withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")).select("key", "set", "root")
+    placed = placed.join(sets.select("set", "size"), "set")
+    still = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.sum("size").alias("total")).where("lo != hi")
+    still = still.select("key", F.ceil(F.col("total") / cell).cast("int").alias("blocks"))
+    dealt = placed.join(still, "key").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).alias("side"), "set", "root")
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def compare(rows: pa.Table) -> pa.Table:
+        ids = rows.column("set").to_pylist()
+        sets = [x.values.to_numpy().view(np.uint64) for x in rows.column("hashes")]
+        found = _cell_links(rows.column("root").to_pylist(), rows.column("side").to_pylist(), sets)
+        return pa.table({"u": pa.array([ids[x] for x, _ in found], pa.int64()), "v": pa.array([ids[y] for _, y in found], pa.int64())}, schema=schema)
+
+    rest = dealt.join(sets.select("set", "hashes"), "set").groupBy("key", "i", "j").applyInArrow(compare, "u long, v long")
+    return near.unionByName(materialize(rest.distinct(), "rest"))
+
+
+def near_duplicate_groups(docs: DataFrame, cell: int = CELL) -> DataFrame:
+    """(doc_id, component_id): groups of documents linked by a Jaccard index of five-word shingles of 0.8 or more.
+
+    Candidates meet in bands of MinHash values, whose chance depends on the
+    index alone, whatever the edit; each edge is an exact comparison of two
+    sets. A row whose doc_id is null has no part in it.
     """
-    rows = materialize(fingerprints(docs, 1, seeds, once=True), "fingerprints")
-    groups = materialize(rows.groupBy("fps").agg(F.min("doc_id").alias("node")), "groups").where("node is not null")
-    of = groups.select("node", F.posexplode("fps").alias("t", "fp"))
-    first = materialize(of.groupBy("t", "fp").agg(F.min("node").alias("first")), "first")
-    same = of.join(first, ["t", "fp"]).where("node != first").select(F.col("node").alias("u"), F.col("first").alias("v"))
-    near = links(first.select("t", "fp"), max_bits, max_bucket)
-    a, b = first.select("t", F.col("fp").alias("u"), F.col("first").alias("a")), first.select("t", F.col("fp").alias("v"), F.col("first").alias("b"))
-    edges = same.unionByName(near.join(a, ["t", "u"]).join(b, ["t", "v"]).select(F.col("a").alias("u"), F.col("b").alias("v")))
-    roots = components(edges)
-    named = groups.join(roots, "node", "left").select("fps", F.coalesce("root", "node").alias("component_id"))
-    return rows.join(named, "fps", "left").select("doc_id", "component_id")
-
-
-def without_near_duplicates(docs: DataFrame, seeds: tuple[int, ...] = SEEDS, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    rows = materialize(signatures(docs).where("doc_id is not null"), "signatures")
+    groups = materialize(rows.groupBy("set", "keys").agg(F.min("doc_id").alias("first")), "groups")
+    roots = components(alike_edges(docs, groups, cell))
+    of = groups.join(roots, groups.set == roots.node, "left").select("set", "first", F.coalesce("root", "set").alias("root"))
+    named = of.join(of.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("set", "component_id")
+    return rows.join(named, "set").select("doc_id", "component_id")
+
+
+def without_near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     """One row of docs for each group, that with the smallest doc_id, with all its columns.
 
     Of repeated rows with that doc_id one stays; rows whose doc_id is null
@@ -244,7 +368,7 @@ def without_near_duplicates(docs: DataFrame, seeds: tuple[int, ...] = SEEDS, max
     """
     # a group's number depends on all texts, a row's place in the scan tells rows of one doc_id apart
     placed = docs.withColumn("__place", F.monotonically_increasing_id())
-    groups = near_duplicate_groups(docs, seeds, max_bits, max_bucket)
+    groups = near_duplicate_groups(docs, cell)
     gone = groups.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
     twice = placed.where("doc_id is not null").groupBy("doc_id").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__twice"), "__first")
     kept = placed.join(gone, placed["doc_id"].cast("long") == gone["__gone"], "left_anti")

@@ -140,3 +140,25 @@ def test_stage_finds_near_copies_and_keeps_the_rest(make, odd, empty):
 def test_ball():
     masks = simhash._ball(4).view(np.uint64)
     assert len(masks) == 2081 == len(set(masks.tolist())) and np.bitwise_count(masks).max() == 2
+
+
+def five_words(text: str) -> set[bytes]:
+    w = text.encode().lower().split()
+    return {b" ".join(w[i : i + 5]) for i in range(len(w) - 4)} or ({b" ".join(w)} if w else set())
+
+
+def jaccard(a: set, b: set) -> float:
+    return 1.0 if a == b else len(a & b) / len(a | b)
+
+
+def test_stage_finds_appended_and_cut_copies(make):
+    texts, copies = [], {}
+    for k in range(60):
+        base = prose(150 + 10 * k, 3000 + k).split()
+        n = len(base)
+        edit = [base + prose(n // 10, 4000 + k).split(), base + prose(n * 15 // 100, 4000 + k).split(), base + prose(n * 20 // 100, 4000 + k).split(), base[: n * 90 // 100], base[: n * 83 // 100]][k % 5]
+        copies[60 + k] = k
+        texts.append((" ".join(base), " ".join(edit)))
+    assert all(jaccard(five_words(a), five_words(b)) >= 0.8 for a, b in texts)
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(make([a for a, _ in texts] + [b for _, b in texts])).collect()}
+    assert got == {**{k: k for k in range(60)}, **copies}
