@@ -162,3 +162,28 @@ def test_stage_finds_appended_and_cut_copies(make):
     assert all(jaccard(five_words(a), five_words(b)) >= 0.8 for a, b in texts)
     got = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(make([a for a, _ in texts] + [b for _, b in texts])).collect()}
     assert got == {**{k: k for k in range(60)}, **copies}
+
+
+def test_stage_keeps_what_is_below_the_rule(make):
+    base = prose(300, 50).split()
+    reordered = [" ".join(random.Random(k).sample(base, len(base))) for k in range(3)]
+    repeated = " ".join(base + base[::-1])
+    far = " ".join(base + prose(120, 51).split())
+    texts = [" ".join(base), *reordered, repeated, far]
+    assert all(jaccard(five_words(texts[0]), five_words(t)) < 0.8 for t in texts[1:])
+    assert simhash.without_near_duplicates(make(texts)).count() == len(texts)
+
+
+@pytest.mark.parametrize("cell", [simhash.CELL, 300])
+def test_stage_is_brute_force(make, cell):
+    texts = [edited(prose(120, b), n, 100 * n + k) for b in range(4) for n in (0, 2, 4, 6, 8) for k in range(5)] + ["", " ", "x y", "X  y"]
+    sets = [five_words(t) for t in texts]
+    root = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if root[a] != root[b] and jaccard(sets[a], sets[b]) >= 0.8:
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if r == old else r for r in root]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(make(texts), cell).collect()}
+    assert got == dict(enumerate(root))
+    assert 8 < len(set(root)) < len(texts) - 20
