@@ -43,11 +43,15 @@ from sparvane.llm.common import materialize, table
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript iframe svg math object canvas audio video head title".split())
+#: Elements that leave head open; any other, and text, ends it.
+HEAD_ONLY = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 PLAIN = frozenset("script style textarea title".split())
 BOILERPLATE_TAGS = frozenset("nav header footer aside form button select textarea fieldset dialog menu".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 #: Words in class, id or role that mark what is not the article, and what is.
 BOILERPLATE_WORDS = frozenset("ad ads adv advert adverts advertisement advertisements adsense banner breadcrumb breadcrumbs byline-links comment comments commentlist consent cookie cookies disqus footer form gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split())
+#: Elements that hold the article or all of the page; their words say nothing of their text.
+WHOLE_TAGS = frozenset("html body main article".split())
 MAIN_WORDS = frozenset("article articlebody entry main maincontent post postbody story".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z|(?=<))|([^<]+|<)", re.S)
@@ -101,9 +105,13 @@ def events(page: str) -> Iterator[tuple[str, str | None, tuple[str, ...]]]:
 
     for kind, value, words in tokens(page):
         if kind == "text":
+            if names and names[-1] == "head" and value.strip():
+                pop(names.index("head"))
             if not raw:
                 yield "text", value, tuple(stack)
             continue
+        if kind == "open" and "head" in names and (value == "body" or names[-1] == "head" and value not in HEAD_ONLY):
+            pop(names.index("head"))
         if value in INLINE and not (kind == "open" and words and set(WORDS.findall(words)) & BOILERPLATE_WORDS):
             if kind == "close" and value in names:  # an inline element that was kept for its words
                 pop(len(names) - 1 - names[::-1].index(value))
@@ -283,7 +291,7 @@ def slots(wrapper: list[Node]) -> dict[str, bool]:
 def boilerplate(path: str) -> bool:
     for step in path.split("/"):
         name, _, words = step.partition(".")
-        if name in BOILERPLATE_TAGS or words and set(WORDS.findall(words)) & BOILERPLATE_WORDS:
+        if name in BOILERPLATE_TAGS or words and name not in WHOLE_TAGS and set(WORDS.findall(words)) & BOILERPLATE_WORDS:
             return not (name == "header" and "article" in path.split("/")[: path.split("/").index(step)])
     return False
 

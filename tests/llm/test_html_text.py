@@ -24,6 +24,20 @@ def test_broken_pages():
     assert h.extract("<article><p title='x > y'>a</p></article", set()) == "a"
 
 
+def test_words_of_the_whole_page_are_no_boilerplate():
+    page = "<html class='no-js cookie'><body class='has-sidebar'><main id=main class=widget><article class='post with-comments'><p>Text.</p><div class=comments>Reader</div></article></main><div class=sidebar>side</div></body></html>"
+    assert h.extract(page, set()) == "Text."
+    pages = [page.replace("Text.", t) for t in ("one", "two")]
+    wrapper = h.align(h.stream(pages[0]), h.stream(pages[1]))
+    assert h.extract(pages[1], set(h.article_paths(wrapper, 2))) == "two"
+
+
+def test_head_without_end_tag():
+    head = "<html><head><meta charset=utf-8><title>T</title><link href=x><style>p{}</style><noscript><link href=y></noscript>\n"
+    for rest in ("<body><p>Text.</p></body>", "<p>Text.</p>", "<div><p>Text.</p></div>", "<a href=z>Text.</a>", "Text."):
+        assert h.extract(head + rest + "</html>", set()) == "Text."
+
+
 def test_wrappers_generalise():
     pages = [HEAD + "<article><h1>%s</h1>%s</article>" % (t, "".join(f"<p>{t}{i}</p>" for i in range(n))) + TAIL for t, n in (("a", 1), ("b", 4), ("c", 2))]
     wrapper = h.stream(pages[0])
