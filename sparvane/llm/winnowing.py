@@ -4,7 +4,9 @@ Every k-gram of a text's code points has a rolling hash; of each window of
 ``window`` neighbouring k-grams the least hash is kept, the rightmost of
 equal ones, with its position. Two texts that share a stretch of
 ``window + k - 1`` code points therefore share a kept hash, and the
-positions say where. The likeness of two fingerprints is the Jaccard index
+positions say where. In a short text the window is narrower, so that any
+half of a text of ``2 * k`` code points or more holds a kept hash; what a wide window
+keeps a narrower one keeps too, so texts with different windows compare. The likeness of two fingerprints is the Jaccard index
 of their sets of hashes.
 
 A text's follower is the next document in order of doc_id, after the last
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from sparvane.llm.common import table
 from sparvane.llm.polyhash import Powers, minimizers
 
-K = 24
+K = 8
 WINDOW = 64
 #: Code points hashed at a time.
 PART = 1 << 20
@@ -44,6 +46,7 @@ def winnow(text: str, powers: Powers, k: int = K, window: int = WINDOW) -> tuple
     if not text:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    window = min(window, max(1, len(points) // 2 - k + 1))
     hashes, places = [], []
     for at in range(0, max(1, len(points) - k - window + 2), PART):
         h = powers.grams(points[at : at + PART + k + window - 2], k)

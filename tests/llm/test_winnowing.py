@@ -31,6 +31,20 @@ def test_shared_stretches_share_a_hash():
     assert set(a[0]) & set(b[0])
 
 
+def test_half_of_a_short_text_is_found():
+    for n in range(2 * winnowing.K, 300):
+        text = prose(120, n)[:n]
+        for following in (prose(120, 900 + n), "end"):
+            other = winnowing.edited(text, following)
+            sets = [np.unique(winnowing.winnow(t, Powers())[0]) for t in (text, other)]
+            assert winnowing.likeness(*sets) > 0, n
+
+
+def test_half_of_a_text_of_fifty_is_found():
+    text, following = prose(120, 1)[:50], prose(120, 2)
+    assert set(winnowing.winnow(text, Powers())[0]) & set(winnowing.winnow(winnowing.edited(text, following), Powers())[0])
+
+
 def test_parts_of_long_texts(monkeypatch):
     text = prose(3000, 8)
     whole = winnowing.winnow(text, Powers())
