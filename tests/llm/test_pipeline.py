@@ -37,6 +37,14 @@ def test_stages(spark, make, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).drop("sequence_id", "offset", "start", "length", "ids_crc32").distinct().collect())) == sorted(map(tuple, seen["pack"].select("doc_id", "doc_tokens").distinct().collect()))
 
 
+def test_short_words_are_cut_too(spark, make):
+    passage = " ".join(sorted(prose(400, 70).replace(".", "").split(), key=len)[200:251])
+    assert len(passage.split()) == 51 and 200 <= len(passage.encode()) < 250
+    docs = make([prose(90, 71) + " " + passage + " " + prose(90, 72), prose(90, 73) + " " + passage + " " + prose(90, 74), prose(90, 75)])
+    left = [r.text for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()]
+    assert len(left) == 3 and not any(passage in t for t in left)
+
+
 def test_names():
     assert [n.split("_")[0] for n in queries.queries()] == [f"op{k}" for k in range(1, 11)]
     assert len(corpus_pipeline.STAGES) == 5
