@@ -7,20 +7,24 @@ Every such string holds ``length - k + 1`` neighbouring k-grams, and the one
 with the least hash (an anchor) is the same in all its copies. So only
 suffixes at anchors are sorted: they meet in buckets of equal k-grams, each
 with its context, the bytes that strings with this anchor can cover. Equal
-contexts are collapsed by hash before any bytes are moved: a bucket with one
-context that occurs twice is covered whole, a context that occurs once in
-the corpus goes no further. In a bucket with several contexts, the suffixes
-to the right of the anchor, and the reversed prefixes to its left, are
-sorted by mergesort; two are compared by their longest common extension,
-which binary search finds from prefix polynomial hashes in logarithmically
-many steps and the bytes themselves confirm. Neighbours in the two orders
-bound how far any common string reaches; within these bounds the strings of
-``length`` bytes are compared by hash, offset by offset, and equal hashes
-are confirmed by their bytes.
-
-Buckets of more than ``max_bucket`` different contexts are not gathered: each
-of their strings becomes a row keyed by offset and hash, counted by a partial
-aggregate. That is exact as well (with two 64-bit hashes in place of bytes).
+contexts are collapsed before any bytes are moved, by 128 bits of the SHA-256
+of their bytes (the polynomial hash, for which collisions can be made, never
+decides that two strings are equal): a bucket with one context that occurs
+twice is covered whole, a context that occurs once in the corpus goes no
+further. In a bucket with several contexts, the suffixes to the right of the
+anchor, and the reversed prefixes to its left, are sorted by mergesort; two
+are compared by their longest common extension, which binary search finds
+from prefix polynomial hashes in logarithmically many steps and the bytes
+themselves confirm, or correct. Neighbours in the two orders bound how far
+any common string reaches; within these bounds the strings of ``length``
+bytes are compared by hash, offset by offset, and the outermost ones that
+agree are confirmed by their bytes. A collision costs time, never a byte.
+
+A bucket of more than ``max_bucket`` different contexts is not gathered. Its
+strings are counted in two passes, by SHA-256 again: first the stretch that
+all strings of a range of offsets have in common, then each string of the
+ranges whose stretch another context has too. Both are partial aggregates
+without a hot key, and the result is the same.
 
 Cases: null text is empty; texts shorter than ``length`` keep all; repeated
 rows remove each other; a null doc_id is matched like any other value; an
@@ -43,10 +47,21 @@ from sparvane.llm.polyhash import MASK, Powers, minimizers, mixed
 
 LENGTH = 400
 GRAM = 100
-MAX_BUCKET = 8192
+#: Contexts of a bucket that are sorted in one task; larger buckets are counted string by string.
+MAX_BUCKET = 2048
+#: Ranges of offsets in which a large bucket is looked at first.
+RANGES = 8
 #: Bytes of a document hashed at a time.
 PART = 1 << 20
+#: Bytes of contexts that a task holds with their prefix hashes (nine times as much), above one bucket.
+HELD = 2 << 20
 KEY = ["doc_id", "th"]
+CONTEXT = ["hk", "h1", "h2"]
+
+
+def exact(parts: Iterable[bytes]) -> np.ndarray:
+    """128 bits of the SHA-256 of each string, as two longs."""
+    return np.frombuffer(b"".join([hashlib.sha256(x).digest()[:16] for x in parts]), "<i8").reshape(-1, 2)
 
 
 def anchors_of(data: np.ndarray, powers: Powers, length: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -60,7 +75,8 @@ def anchors_of(data: np.ndarray, powers: Powers, length: int, k: int) -> tuple[n
         h = mixed((sums[k:] - sums[: len(sums) - k]) * powers.down[: len(part) - k + 1])
         found = minimizers(h[at - lo : at - lo + PART + window - 1], window) + (at - lo)
         start, end = np.maximum(found - (window - 1), 0), np.minimum(found + length, len(part))
-        context = mixed(powers.of(sums, start, end) ^ ((found - start).astype(np.uint64) << np.uint64(32)) ^ (end - start).astype(np.uint64))
+        raw = part.tobytes()
+        context = exact(b"%d " % (p - s) + raw[s:e] for p, s, e in zip(found.tolist(), start.tolist(), end.tolist(), strict=True))
         out.append((found + lo, h[found], context))
     if len(out) == 1:
         return out[0]
@@ -70,8 +86,8 @@ def anchors_of(data: np.ndarray, powers: Powers, length: int, k: int) -> tuple[n
 
 
 def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """(doc_id, th, pos, hk, hc) of every anchor."""
-    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pos", pa.int64()), ("hk", pa.int64()), ("hc", pa.int64())])
+    """(doc_id, th, pos, hk, h1, h2) of every anchor."""
+    schema = pa.schema([(c, pa.int64()) for c in (*KEY, "pos", *CONTEXT)])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -83,45 +99,51 @@ def anchors(docs: DataFrame, length: int, k: int) -> DataFrame:
                 counts = [len(p[0]) for p in parts]
                 at = pa.array(np.repeat(np.array(rows), counts))
                 columns = {c: batch.column(c).take(at) for c in KEY}
-                pos, hk, hc = (np.concatenate([p[i] for p in parts]) for i in range(3))
-                return table(columns | {"pos": pos, "hk": hk.view(np.int64), "hc": hc.view(np.int64)}, schema)
+                pos, hk, h = (np.concatenate([p[i] for p in parts]) for i in range(3))
+                return table(columns | {"pos": pos, "hk": hk.view(np.int64), "h1": h[:, 0], "h2": h[:, 1]}, schema)
 
             for i in range(batch.num_rows):
                 if offsets[i + 1] - offsets[i] >= length:
                     rows.append(i)
                     parts.append(anchors_of(data[offsets[i] : offsets[i + 1]], powers, length, k))
                     held += len(parts[-1][0])
-                    if held > 200_000:
+                    if held > 100_000:
                         yield emit()
                         rows, parts, held = [], [], 0
             if rows:
                 yield emit()
 
-    return docs.select("doc_id", "th", "data").mapInArrow(run, "doc_id long, th long, pos long, hk long, hc long")
+    return docs.select("doc_id", "th", "data").mapInArrow(run, ", ".join(f"{c} long" for c in schema.names))
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, length: int, k: int) -> DataFrame:
-    """(hk, hc, n, left, data): the bytes around one occurrence of each wanted context, left of them before the anchor."""
+    """(hk, h1, h2, large, left, data): the bytes around one occurrence of each wanted context, left of them before the anchor."""
     window = length - k + 1
-    schema = pa.schema([("hk", pa.int64()), ("hc", pa.int64()), ("n", pa.int64()), ("left", pa.int64()), ("data", pa.binary())])
-    per_doc = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "hk", "hc", "n")).alias("at"))
+    schema = pa.schema([*((c, pa.int64()) for c in CONTEXT), ("large", pa.bool_()), ("left", pa.int64()), ("data", pa.binary())])
+    per_doc = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("pos", *CONTEXT, "large")).alias("at"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+
+        def emit() -> pa.RecordBatch:
+            made = table(dict(zip(schema.names, map(list, zip(*out, strict=True)), strict=True)), schema)
+            out.clear()
+            return made
+
         for batch in batches:
-            out: list[tuple] = []
             for data, at in zip(batch.column("data"), batch.column("at"), strict=True):
                 data = data.as_py()
                 for x in at.as_py():
                     start = max(0, x["pos"] - window + 1)
-                    out.append((x["hk"], x["hc"], x["n"], x["pos"] - start, data[start : x["pos"] + length]))
-                if len(out) >= 5_000:
-                    yield table(dict(zip(schema.names, map(list, zip(*out, strict=True)), strict=True)), schema)
-                    out = []
-            if out:
-                yield table(dict(zip(schema.names, map(list, zip(*out, strict=True)), strict=True)), schema)
+                    out.append((*(x[c] for c in CONTEXT), x["large"], x["pos"] - start, data[start : x["pos"] + length]))
+                    if len(out) >= 4_000:
+                        yield emit()
+        if out:
+            yield emit()
 
     same = docs["th"].eqNullSafe(per_doc["th"]) & docs["doc_id"].eqNullSafe(per_doc["doc_id"])
-    return docs.join(per_doc, same).select("data", "at").mapInArrow(run, "hk long, hc long, n long, left long, data binary")
+    once = docs.join(per_doc, same).select(*[docs[c] for c in KEY], "data", "at")
+    return once.select("data", "at").mapInArrow(run, "hk long, h1 long, h2 long, large boolean, left long, data binary")
 
 
 class Contexts:
@@ -139,8 +161,7 @@ class Contexts:
         self.sums = powers.prefix(np.frombuffer(self.joined, np.uint8))
         self.down = powers.down[: len(self.joined) + 1]
 
-    def _same(self, i: int, j: int, n: int, backward: bool) -> bool:
-        p, q = int(self.at[i]), int(self.at[j])
+    def _same(self, p: int, q: int, n: int, backward: bool) -> bool:
         return self.joined[p - n : p] == self.joined[q - n : q] if backward else self.joined[p : p + n] == self.joined[q : q + n]
 
     def extensions(self, i: np.ndarray, j: np.ndarray, backward: bool) -> np.ndarray:
@@ -155,18 +176,26 @@ class Contexts:
             low = np.where(open_ & equal, mid, low)
             high = np.where(open_ & ~equal, mid - 1, high)
         for x in range(len(i)):
-            if not self._same(int(i[x]), int(j[x]), int(low[x]), backward):  # hashes collided
-                low[x] = next(n for n in range(int(low[x])) if not self._same(int(i[x]), int(j[x]), n + 1, backward))
+            if not self._same(int(p[x]), int(q[x]), int(low[x]), backward):  # hashes collided
+                low[x] = self._extension(int(p[x]), int(q[x]), int(low[x]), backward)
+        return low
+
+    def _extension(self, p: int, q: int, most: int, backward: bool) -> int:
+        """The longest common extension by the bytes alone."""
+        low, high = 0, most
+        while low < high:
+            mid = (low + high + 1) >> 1
+            if self._same(p, q, mid, backward):
+                low = mid
+            else:
+                high = mid - 1
         return low
 
     def reach(self, a: int, b: int, backward: bool) -> np.ndarray:
         """How far each context of the bucket a .. b agrees with any other, from a mergesort of all of them: its neighbours in order agree the most."""
-        side, at = self.left, self.at
-        lo, hi = int(self.base[a]), int(self.base[b])
-        sums, down, joined = self.sums[lo : hi + 1].tolist(), self.down[lo : hi + 1].tolist(), self.joined
-        place = (at[a:b] - lo).tolist()
-        room = (side[a:b] if backward else self.right[a:b]).tolist()
-        sign = -1 if backward else 1
+        sums, down, joined, same = memoryview(self.sums), memoryview(self.down), self.joined, self._same
+        place = self.at[a:b].tolist()
+        room = (self.left[a:b] if backward else self.right[a:b]).tolist()
 
         def compare(i: int, j: int) -> int:
             p, q = place[i], place[j]
@@ -178,10 +207,12 @@ class Contexts:
                     high = mid - 1
                 else:
                     low = mid
+            if not same(p, q, low, backward):  # hashes collided
+                low = self._extension(p, q, low, backward)
             if low == room[i] or low == room[j]:
                 return room[i] - room[j]
-            k = low if sign > 0 else -low - 1
-            return joined[lo + p + k] - joined[lo + q + k]
+            k = -low - 1 if backward else low
+            return joined[p + k] - joined[q + k]
 
         order = np.array(sorted(range(b - a), key=cmp_to_key(compare))) + a
         near = self.extensions(order[:-1], order[1:], backward)
@@ -202,30 +233,33 @@ class Contexts:
         if not count.any():
             return most, least
         row = np.repeat(np.arange(b - a), count)
-        first = np.cumsum(count) - count
-        off = np.arange(len(row)) - first[row] + lo[row]
+        off = np.arange(len(row)) - (np.cumsum(count) - count)[row] + lo[row]
         start = self.at[a:b][row] - off
-        h = (self.sums[start + self.length] - self.sums[start]) * self.down[start]
-        keys = mixed(h + off.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        keys = mixed((self.sums[start + self.length] - self.sums[start]) * self.down[start] + off.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         order = np.argsort(keys)
-        same = np.flatnonzero(keys[order[1:]] == keys[order[:-1]])
-        partner = np.full(len(row), -1)
-        partner[order[same]] = order[same + 1]
-        partner[order[same + 1]] = order[same]
+        ordered = keys[order]
+        twice = np.zeros(len(keys), bool)
+        equal = ordered[1:] == ordered[:-1]
+        twice[order[1:][equal]] = twice[order[:-1][equal]] = True
+        hits = np.flatnonzero(twice)
+        if not len(hits):
+            return most, least
+        run, end = np.searchsorted(ordered, keys[hits], "left").tolist(), np.searchsorted(ordered, keys[hits], "right").tolist()
+        joined, length = self.joined, self.length
 
         def true(x: int) -> bool:
-            s, t = int(start[x]), int(start[partner[x]])
-            return self.joined[s : s + self.length] == self.joined[t : t + self.length]
+            """Whether another string of the same hash and offset has the same bytes."""
+            s = int(start[hits[x]])
+            own = joined[s : s + length]
+            return any(joined[t : t + length] == own for t in start[order[run[x] : end[x]]].tolist() if t != s)
 
-        hits = np.flatnonzero(partner >= 0)
         rows = row[hits]
-        edge = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1], [True]])) if len(hits) else []
+        edge = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1], [True]])).tolist()
         for x, y in zip(edge, edge[1:], strict=False):
-            own = hits[x:y].tolist()
-            up = next((h for h in reversed(own) if true(h)), None)
+            up = next((h for h in range(y - 1, x - 1, -1) if true(h)), None)
             if up is not None:
-                down = next(h for h in own if true(h))
-                most[rows[x]], least[rows[x]] = off[up], off[down]
+                down = next(h for h in range(x, y) if true(h))
+                most[rows[x]], least[rows[x]] = off[hits[up]], off[hits[down]]
         return most, least
 
     def covered(self, edges: list[int]) -> Iterator[tuple[int, int, int]]:
@@ -245,61 +279,117 @@ class Contexts:
                     yield a + i, -int(most[i]), self.length - int(least[i])
 
 
-def coverage(found: DataFrame, length: int, k: int, max_bucket: int) -> DataFrame:
-    """(hk, hc, lo, hi): bytes from the anchor that each context has covered by strings shared with another context."""
-    schema = pa.schema([("hk", pa.int64()), ("hc", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64()), ("off", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64())])
-    window = length - k + 1
+def _small(rows: DataFrame, length: int, k: int, max_bucket: int) -> DataFrame:
+    """(hk, h1, h2, lo, hi) of buckets that a task sorts."""
+    schema = pa.schema([(c, pa.int64()) for c in (*CONTEXT, "lo", "hi")])
+    at_a_time = max(64, HELD // (2 * length))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
-        for rows, large in grouped(batches, "hk", max_bucket):
-            hk, hc = rows.column("hk").to_numpy(), rows.column("hc").to_numpy()
-            left, data = rows.column("left").to_pylist(), rows.column("data").to_pylist()
-            if large:
-                for i in range(len(hk)):
-                    values = np.frombuffer(data[i], np.uint8)
-                    off = np.arange(max(0, length - (len(values) - left[i])), min(left[i], window - 1) + 1)
-                    if len(off):
-                        start = left[i] - off
-                        h1 = mixed(powers.of(powers.prefix(values), start, start + length))
-                        h2 = mixed(powers.of(powers.prefix(values[::-1]), len(values) - start - length, len(values) - start))
-                        none = pa.nulls(len(off), pa.int64())
-                        yield table({"hk": np.full(len(off), hk[i]), "hc": np.full(len(off), hc[i]), "lo": none, "hi": none, "off": off, "h1": h1.view(np.int64), "h2": h2.view(np.int64)}, schema)
-                continue
+        parts = (b.slice(at, at_a_time) for b in batches for at in range(0, b.num_rows, at_a_time))
+        for rows, _ in grouped(parts, "hk", max_bucket):
+            hk = rows.column("hk").to_numpy()
             edges = np.flatnonzero(np.concatenate([[True], hk[1:] != hk[:-1], [True]])).tolist()
-            spans = list(Contexts(data, left, powers, length, k).covered(edges))
+            spans = list(Contexts(rows.column("data").to_pylist(), rows.column("left").to_pylist(), powers, length, k).covered(edges))
             if spans:
                 at = np.array([s[0] for s in spans])
-                none = pa.nulls(len(at), pa.int64())
-                yield table({"hk": hk[at], "hc": hc[at], "lo": [s[1] for s in spans], "hi": [s[2] for s in spans], "off": none, "h1": none, "h2": none}, schema)
+                yield table({c: rows.column(c).to_numpy()[at] for c in CONTEXT} | {"lo": [s[1] for s in spans], "hi": [s[2] for s in spans]}, schema)
+
+    return rows.repartition("hk").sortWithinPartitions("hk").mapInArrow(run, ", ".join(f"{c} long" for c in schema.names))
+
 
-    made = found.repartition("hk").sortWithinPartitions("hk").mapInArrow(run, "hk long, hc long, lo long, hi long, off long, h1 long, h2 long")
-    made = materialize(made, "coverage")
-    near, rest = made.where("lo is not null").select("hk", "hc", "lo", "hi"), made.where("lo is null")
-    if rest.isEmpty():
-        return near
-    shared = rest.groupBy("hk", "off", "h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    spans = rest.join(shared, ["hk", "off", "h1", "h2"]).groupBy("hk", "hc").agg((-F.max("off")).alias("lo"), (F.lit(length) - F.min("off")).alias("hi"))
-    return near.unionByName(spans)
+def _large(rows: DataFrame, length: int, k: int) -> DataFrame:
+    """(hk, h1, h2, lo, hi) of buckets of any size, string by string.
+
+    All strings of a range of offsets a .. b have the stretch from a bytes
+    left to length - b bytes right of the anchor. Only where another context
+    has this stretch too are the range's strings made and counted.
+    """
+    window = length - k + 1
+    step = -(-window // RANGES)
+    ranges = [(a, min(window, a + step) - 1) for a in range(0, window, step)]
+    names = [*CONTEXT, "part", "s1", "s2"]
+    ddl = "hk long, h1 long, h2 long, part long, s1 long, s2 long"
+    schema = pa.schema([(c, pa.int64()) for c in names])
+
+    def hashed(found: list[tuple], strings: list[bytes]) -> pa.RecordBatch:
+        h = exact(strings)
+        columns = [list(c) for c in zip(*found, strict=True)]
+        return table(dict(zip(names[:4], columns, strict=True)) | {"s1": h[:, 0], "s2": h[:, 1]}, schema)
+
+    def made(batches: Iterable[pa.RecordBatch], of_row) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+        found: list[tuple] = []
+        strings: list[bytes] = []
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in batch.schema.names]
+            for x in zip(*columns, strict=True):
+                for part, string in of_row(dict(zip(batch.schema.names, x, strict=True))):
+                    found.append((x[0], x[1], x[2], part))
+                    strings.append(string)
+                if len(found) >= 5_000:
+                    yield hashed(found, strings)
+                    found, strings = [], []
+        if found:
+            yield hashed(found, strings)
+
+    def stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def of_row(x: dict) -> Iterator[tuple[int, bytes]]:
+            for i, (a, b) in enumerate(ranges):
+                if a <= x["left"] and length - b <= len(x["data"]) - x["left"]:
+                    yield i, x["data"][x["left"] - a : x["left"] + length - b]
+
+        return made(batches, of_row)
+
+    def strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def of_row(x: dict) -> Iterator[tuple[int, bytes]]:
+            a, b = ranges[x["part"]]
+            for off in range(a, b + 1):
+                if off <= x["left"] and length - off <= len(x["data"]) - x["left"]:
+                    yield off, x["data"][x["left"] - off : x["left"] - off + length]
+
+        return made(batches, of_row)
+
+    def shared(found: DataFrame) -> DataFrame:
+        """Contexts whose string another one of the bucket has too; a context has a string once."""
+        found = materialize(found, "strings")
+        twice = found.groupBy("hk", "part", "s1", "s2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        # written first, so that a string with very many contexts can be split in the join
+        return found.join(materialize(twice, "twice"), ["hk", "part", "s1", "s2"]).select(*CONTEXT, "part")
+
+    first = shared(rows.select(*CONTEXT, "left", "data").mapInArrow(stretches, ddl))
+    second = shared(first.join(rows, CONTEXT).select(*CONTEXT, "part", "left", "data").mapInArrow(strings, ddl))
+    return second.groupBy(*CONTEXT).agg((-F.max("part")).alias("lo"), (F.lit(length) - F.min("part")).alias("hi"))
+
+
+def coverage(docs: DataFrame, wanted: DataFrame, length: int, k: int, max_bucket: int) -> DataFrame:
+    """(hk, h1, h2, lo, hi): bytes from the anchor that each context has covered by strings shared with another context of its bucket."""
+    sizes = wanted.groupBy("hk").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_bucket).select("hk", F.lit(True).alias("large"))
+    sizes = materialize(sizes, "large")
+    if sizes.isEmpty():
+        return _small(contexts(docs, wanted.withColumn("large", F.lit(False)), length, k), length, k, max_bucket)
+    found = contexts(docs, wanted.join(sizes, "hk", "left").withColumn("large", F.col("large").isNotNull()), length, k)
+    found = materialize(found, "contexts")
+    return _small(found.where("not large"), length, k, max_bucket).unionByName(_large(found.where("large"), length, k))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = GRAM, max_bucket: int = MAX_BUCKET) -> DataFrame:
     """(doc_id, th, spans): for documents that have any, byte ranges whose union is to be removed."""
     window = length - k + 1
+    whole = [F.lit(1 - window).cast("long").alias("lo"), F.lit(length).cast("long").alias("hi")]
     found = materialize(anchors(docs, length, k), "anchors")
-    grams = found.groupBy("hk").agg(F.count(F.lit(1)).alias("n"), F.min("hc").alias("a"), F.max("hc").alias("b")).where("n > 1")
+    grams = found.groupBy("hk").agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{f.__name__}_{c}") for c in ("h1", "h2") for f in (F.min, F.max)]).where("n > 1")
     # written first, so that a gram with very many anchors can be split in the join
-    grams = materialize(grams.select("hk", (F.col("a") != F.col("b")).alias("several")), "grams")
+    grams = materialize(grams.select("hk", F.expr("min_h1 != max_h1 or min_h2 != max_h2").alias("several")), "grams")
     found = materialize(found.join(grams, "hk"), "repeated")
-    each = found.where("several").groupBy("hk", "hc").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "pos")).alias("one"))
-    each = each.select("hk", "hc", "n", "one.*")
-    spans = coverage(contexts(docs, each, length, k), length, k, max_bucket)
+    each = found.where("several").groupBy(*CONTEXT).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "pos")).alias("one"))
+    each = materialize(each.select(*CONTEXT, "n", "one.*"), "each")
+    spans = coverage(docs, each, length, k, max_bucket)
     # a context that stands at two places is covered as far as it goes
-    whole = each.where("n > 1").select("hk", "hc", F.lit(1 - window).cast("long").alias("lo"), F.lit(length).cast("long").alias("hi"))
-    spans = spans.unionByName(whole).groupBy("hk", "hc").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    single = found.where("not several").select(*KEY, "pos", F.lit(1 - window).cast("long").alias("lo"), F.lit(length).cast("long").alias("hi"))
-    placed = found.where("several").join(spans, ["hk", "hc"]).select(*KEY, "pos", "lo", "hi").unionByName(single)
-    return placed.groupBy(*KEY).agg(F.collect_list(F.struct((F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi"))).alias("spans"))
+    spans = spans.unionByName(each.where("n > 1").select(*CONTEXT, *whole)).groupBy(*CONTEXT).agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    placed = found.where("several").join(materialize(spans, "coverage"), CONTEXT).select(*KEY, "pos", "lo", "hi")
+    placed = placed.unionByName(found.where("not several").select(*KEY, "pos", *whole))
+    # rows equal in id and text have the same spans: each is gathered once
+    return placed.groupBy(*KEY).agg(F.collect_set(F.struct((F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi"))).alias("spans"))
 
 
 def merged(spans: list[dict] | None, size: int) -> list[tuple[int, int]]:
