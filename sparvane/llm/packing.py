@@ -20,7 +20,8 @@ last window of a partition may have much padding. Nothing is shuffled, and a
 lost task gives the same windows again.
 
 Cases: null text is an empty document, one end token long; repeated rows are
-packed each; very long documents span windows; an empty table gives an empty
+packed each; very long documents span windows; the string of an added token
+is that token; an empty table gives an empty
 result; other columns are ignored.
 """
 
@@ -64,17 +65,19 @@ class Vocabulary:
     """Ids of texts under a byte-level tokenizer file.
 
     The file's merges are run by the faster of two encoders of one
-    vocabulary; a file whose ids do not follow its merges is refused.
-    Special tokens' strings are ordinary text. Most of a text is cut at
-    single spaces, where its pieces are independent, and chunks met before
-    are looked up.
+    vocabulary; a file whose ids do not follow its merges is refused. The
+    strings of the file's added tokens stand for these tokens wherever they
+    occur in a text, as the file's library reads them by default. Most of
+    a text is cut at single spaces, where its pieces are independent, and
+    chunks met before are looked up.
     """
 
     def __init__(self, path: str) -> None:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            file = json.load(f)
+        model = file["model"]
         chars = byte_chars()
         as_bytes = lambda token: bytes(chars[c] for c in token)
         ranks = {as_bytes(t): i for t, i in model["vocab"].items() if all(c in chars for c in t) and not t.startswith("<|")}
@@ -82,18 +85,30 @@ class Vocabulary:
         if any(model["vocab"][a + b] != 256 + k for k, (a, b) in enumerate(merges)):
             raise ValueError(f"{path}: ids do not follow the merges")
         self.ordinary = tiktoken.Encoding("packing", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.ends = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        added = {x["content"]: x["id"] for x in file.get("added_tokens") or []}
+        if any(x[k] for x in file.get("added_tokens") or [] for k in ("single_word", "lstrip", "rstrip", "normalized") if k in x and not (k == "normalized" and file.get("normalizer") is None)):
+            raise ValueError(f"{path}: added tokens that are not plain strings")
+        self.added = {x: np.array([i], dtype="<u4").tobytes() for x, i in added.items()}
+        self.split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.ends = np.zeros(max([*ranks.values(), *added.values()]) + 1, dtype=bool)
         for token, i in ranks.items():
             self.ends[i] = token.endswith((b".", b"!", b"?", b"\n"))
+        self.ends[list(added.values())] = True
         self.chunks: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.ordinary(text), dtype="<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
+        if self.split is None or not self.split.search(text):
+            return np.frombuffer(self._plain(text), dtype="<u4")
+        return np.frombuffer(b"".join(self.added.get(x) or self._plain(x) for x in self.split.split(text) if x), dtype="<u4")
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         parts = text.split(" ")
         if "" in parts or UNEVEN.search(text) or text[:1].isspace() or text[-1:].isspace():
-            return np.frombuffer(self._ids(text), dtype="<u4")
+            return self._ids(text)
         known = self.chunks
         out = [self._ids(parts[0])]
         try:
@@ -109,7 +124,7 @@ class Vocabulary:
                             known.clear()
                         known[x] = found
                 out.append(found)
-        return np.frombuffer(b"".join(out), dtype="<u4")
+        return b"".join(out)
 
 
 def cuts(at: np.ndarray, penalty: np.ndarray, size: int, least: int) -> list[int]:

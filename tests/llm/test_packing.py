@@ -16,14 +16,12 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def test_ids_are_the_tokenizers(tokenizer):
     words = packing.Vocabulary(PATH)
-    texts = ["", " ", "a", " a b", "a ", "a  b", "a\n b", "a \nb", "it's  x", "x ² y ½", "a\x1cb c", "a b c", "<|endoftext|> x", "\U0001f600 é ", "a\tb c\t", prose(500, 1), "x" * 5000, "1234 56, 7!? -- \n\n z"]
+    texts = ["", " ", "a", " a b", "a ", "a  b", "a\n b", "a \nb", "it's  x", "x ² y ½", "a\x1cb c", "a b c", "<|endoftext|> x", "a <|endoftext|> b", "a b<|endoftext|>", "<|endoftext|>", "<|endoftext|><|endoftext|>  x <|endoftext|>\n", "<|endof text|> <|endoftext| >", "\U0001f600 é ", "a\tb c\t", prose(500, 1), "x" * 5000, "1234 56, 7!? -- \n\n z"]
     for _ in range(2):  # from the tokenizer, then from what is kept
         for t in texts:
             assert words.encode(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
@@ -55,7 +53,7 @@ def check(rows, texts, tokenizer, size):
 @pytest.mark.parametrize("block", [packing.BLOCK_TOKENS, 3000])
 def test_every_id_is_packed_once(make, tokenizer, block):
     rng = random.Random(2)
-    texts = dict(enumerate([None, "", "a b", "x" * 9000, prose(5000, 1)] + [prose(rng.randint(1, 600), k) for k in range(150)]))
+    texts = dict(enumerate([None, "", "a b", "<|endoftext|>", "x <|endoftext|> y<|endoftext|>" * 400, "x" * 9000, prose(5000, 1)] + [prose(rng.randint(1, 600), k) for k in range(150)]))
     rows = packing.pack(make(list(texts.values())).coalesce(1), PATH, 1024, block).collect()
     padding, total = check(rows, texts, tokenizer, 1024)
     assert padding < 0.05 * total
