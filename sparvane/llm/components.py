@@ -13,6 +13,18 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row.n, row.h or 0
 
 
+def thin(edges: DataFrame) -> DataFrame:
+    """Edges with the same components, some two for each node: each node with its least neighbour, and that with its other smaller ones.
+
+    For edges of which a node has a bounded number of smaller neighbours (one
+    for each key it was filed under). Different keys of a group of copies name
+    few different least members, so the pairs of these collapse before they move.
+    """
+    less = edges.where("u != v").groupBy(F.greatest("u", "v").alias("u")).agg(F.collect_set(F.least("u", "v")).alias("vs"))
+    out = less.select(F.array_min("vs").alias("v"), F.explode(F.array_append("vs", F.col("u"))).alias("u"))
+    return out.where("u != v").select("u", "v").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(u, v) long pairs -> (node, root): every node that has an edge, with the smallest node it reaches.
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparvane.llm.common import grouped, materialize, table, utf8
-from sparvane.llm.components import components
+from sparvane.llm.components import components, thin
 
 BITS = 64
 #: First bit and width of the three segments.
@@ -201,7 +201,7 @@ def simhash_components(docs: DataFrame, n: int = 4, seed: int = 42, max_bits: in
     """(doc_id, fingerprint, component_id) for every row of docs."""
     rows = materialize(fingerprints(docs, n, (seed,)).select("doc_id", F.col("fps")[0].alias("fp")), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(links(nodes.select(F.lit(0).alias("t"), "fp"), max_bits, max_bucket).select("u", "v"))
+    roots = components(thin(links(nodes.select(F.lit(0).alias("t"), "fp"), max_bits, max_bucket).select("u", "v")))
     of = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = of.groupBy("root").agg(F.min("first").alias("component_id"))
     named = of.join(named, "root").select("fp", "component_id")
@@ -325,6 +325,7 @@ def alike_edges(docs: DataFrame, groups: DataFrame, cell: int = CELL) -> DataFra
     close = pairs.join(a.select("set", "a"), "set").join(b.select("least", "b"), "least").where(F.least("a", "b") * whole >= F.greatest("a", "b") * part).select("set", "least")
     both = F.size(F.array_intersect("x", "y"))
     near = materialize(close.join(a, "set").join(b, "least").where(both * (part + whole) >= (F.col("a") + F.col("b")) * part).select(F.col("set").alias("u"), F.col("least").alias("v")), "near")
+    near = materialize(thin(near), "near")  # a set has a least one for each band
 
     placed = met.join(components(near).withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set")).select("key", "set", "root")
     placed = placed.join(sets.select("set", "size"), "set")
@@ -366,11 +367,10 @@ def without_near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:
     Of repeated rows with that doc_id one stays; rows whose doc_id is null
     all stay, as nothing names them.
     """
-    # a group's number depends on all texts, a row's place in the scan tells rows of one doc_id apart
-    placed = docs.withColumn("__place", F.monotonically_increasing_id())
+    # a row's place in the scan tells rows of one doc_id apart
+    placed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), F.monotonically_increasing_id().alias("place"))
     groups = near_duplicate_groups(docs, cell)
-    gone = groups.where("doc_id is not null and doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    twice = placed.where("doc_id is not null").groupBy("doc_id").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n")).where("__n > 1").select(F.col("doc_id").alias("__twice"), "__first")
-    kept = placed.join(gone, placed["doc_id"].cast("long") == gone["__gone"], "left_anti")
-    kept = kept.join(twice, kept["doc_id"] == twice["__twice"], "left").where("__first is null or __first = __place")
-    return kept.select(*docs.columns)
+    gone = groups.where("doc_id != component_id").select(F.col("doc_id").alias("id")).distinct()
+    twice = placed.where("id is not null").groupBy("id").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("id", "first")
+    kept = placed.join(gone, "id", "left_anti").join(twice, "id", "left").where("first is null or first = place")
+    return kept.select("row.*")

@@ -134,6 +134,8 @@ def test_stage_finds_near_copies_and_keeps_the_rest(make, odd, empty):
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == [0, 3, 4, 5, 7, 8, 9, 10]
     assert kept.where("doc_id is null").count() == 2
+    given = {tuple(r) for r in odd.collect()}
+    assert all(tuple(r) in given for r in kept.collect())  # every column keeps its values, whatever its name
     assert simhash.without_near_duplicates(empty).collect() == []
 
 
@@ -187,3 +189,13 @@ def test_stage_is_brute_force(make, cell):
     got = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(make(texts), cell).collect()}
     assert got == dict(enumerate(root))
     assert 8 < len(set(root)) < len(texts) - 20
+
+
+def test_thin_keeps_components(spark):
+    rng = random.Random(5)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(300)] + [(k, k % 7) for k in range(400, 900)] + [(k, k % 5) for k in range(400, 900)]
+    edges = spark.createDataFrame(pairs, "u long, v long")
+    few = simhash.thin(edges)
+    roots = lambda e: sorted(tuple(r) for r in simhash.components(e).collect())
+    assert roots(few) == roots(edges)
+    assert few.count() < 900 + 100 < len(pairs)
