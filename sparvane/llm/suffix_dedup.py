@@ -48,11 +48,13 @@ from sparvane.llm.polyhash import MASK, Powers, minimizers, mixed
 LENGTH = 400
 GRAM = 100
 #: Contexts of a bucket that are sorted in one task; larger buckets are counted string by string.
-MAX_BUCKET = 2048
+MAX_BUCKET = 8192
 #: Ranges of offsets in which a large bucket is looked at first.
 RANGES = 8
 #: Bytes of a document hashed at a time.
 PART = 1 << 20
+#: Strings of a bucket that are compared at a time.
+STRINGS = 1 << 18
 #: Bytes of contexts that a task holds with their prefix hashes (nine times as much), above one bucket.
 HELD = 2 << 20
 KEY = ["doc_id", "th"]
@@ -157,9 +159,12 @@ class Contexts:
         #: place of each anchor, and bytes right of it
         self.at = self.base[:-1] + self.left
         self.right = self.base[1:] - self.at
-        self.powers = powers
-        self.sums = powers.prefix(np.frombuffer(self.joined, np.uint8))
-        self.down = powers.down[: len(self.joined) + 1]
+        # exponents begin anew in each context, so that few powers are needed
+        powers.ensure(int(np.diff(self.base).max(initial=0)) + 1)
+        self.sums = np.zeros(len(self.joined) + 1, np.uint64)
+        inside = np.arange(len(self.joined), dtype=np.int64) - np.repeat(self.base[:-1], np.diff(self.base))
+        np.cumsum(powers.up[inside] * (np.frombuffer(self.joined, np.uint8) + np.uint64(1)), out=self.sums[1:])
+        self.down = powers.down
 
     def _same(self, p: int, q: int, n: int, backward: bool) -> bool:
         return self.joined[p - n : p] == self.joined[q - n : q] if backward else self.joined[p : p + n] == self.joined[q : q + n]
@@ -171,8 +176,9 @@ class Contexts:
         p, q = self.at[i], self.at[j]
         while (open_ := low < high).any():
             mid = (low + high + 1) // 2
-            s, t = (p - mid, q - mid) if backward else (p, q)
-            equal = (self.sums[s + mid] - self.sums[s]) * self.down[s] == (self.sums[t + mid] - self.sums[t]) * self.down[t]
+            back = mid if backward else 0
+            s, t = p - back, q - back
+            equal = (self.sums[s + mid] - self.sums[s]) * self.down[self.left[i] - back] == (self.sums[t + mid] - self.sums[t]) * self.down[self.left[j] - back]
             low = np.where(open_ & equal, mid, low)
             high = np.where(open_ & ~equal, mid - 1, high)
         for x in range(len(i)):
@@ -194,7 +200,7 @@ class Contexts:
     def reach(self, a: int, b: int, backward: bool) -> np.ndarray:
         """How far each context of the bucket a .. b agrees with any other, from a mergesort of all of them: its neighbours in order agree the most."""
         sums, down, joined, same = memoryview(self.sums), memoryview(self.down), self.joined, self._same
-        place = self.at[a:b].tolist()
+        place, own = self.at[a:b].tolist(), self.left[a:b].tolist()
         room = (self.left[a:b] if backward else self.right[a:b]).tolist()
 
         def compare(i: int, j: int) -> int:
@@ -202,8 +208,9 @@ class Contexts:
             low, high = 0, min(room[i], room[j])
             while low < high:
                 mid = (low + high + 1) >> 1
-                s, t = (p - mid, q - mid) if backward else (p, q)
-                if ((sums[s + mid] - sums[s]) * down[s] - (sums[t + mid] - sums[t]) * down[t]) & MASK:
+                back = mid if backward else 0
+                s, t = p - back, q - back
+                if ((sums[s + mid] - sums[s]) * down[own[i] - back] - (sums[t + mid] - sums[t]) * down[own[j] - back]) & MASK:
                     high = mid - 1
                 else:
                     low = mid
@@ -229,13 +236,18 @@ class Contexts:
         most, least = np.full(b - a, -1), np.full(b - a, self.length)
         lo = np.maximum(0, self.length - self.reach(a, b, False))
         hi = np.minimum(self.window - 1, self.reach(a, b, True))
+        step = max(1, STRINGS // (b - a))
+        for top in range(int(hi.max(initial=-1)), int(lo.min(initial=0)) - 1, -step):  # offsets from the greatest down, some at a time
+            self._outermost(a, b, np.maximum(lo, top - step + 1), np.minimum(hi, top), most, least)
+        return most, least
+
+    def _outermost(self, a: int, b: int, lo: np.ndarray, hi: np.ndarray, most: np.ndarray, least: np.ndarray) -> None:
+        """Set most, where it is not, and least from the strings at offsets lo .. hi of each context."""
         count = np.maximum(hi - lo + 1, 0)
-        if not count.any():
-            return most, least
         row = np.repeat(np.arange(b - a), count)
         off = np.arange(len(row)) - (np.cumsum(count) - count)[row] + lo[row]
         start = self.at[a:b][row] - off
-        keys = mixed((self.sums[start + self.length] - self.sums[start]) * self.down[start] + off.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        keys = mixed((self.sums[start + self.length] - self.sums[start]) * self.down[self.left[a:b][row] - off] + off.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         order = np.argsort(keys)
         ordered = keys[order]
         twice = np.zeros(len(keys), bool)
@@ -243,7 +255,7 @@ class Contexts:
         twice[order[1:][equal]] = twice[order[:-1][equal]] = True
         hits = np.flatnonzero(twice)
         if not len(hits):
-            return most, least
+            return
         run, end = np.searchsorted(ordered, keys[hits], "left").tolist(), np.searchsorted(ordered, keys[hits], "right").tolist()
         joined, length = self.joined, self.length
 
@@ -251,16 +263,17 @@ class Contexts:
             """Whether another string of the same hash and offset has the same bytes."""
             s = int(start[hits[x]])
             own = joined[s : s + length]
-            return any(joined[t : t + length] == own for t in start[order[run[x] : end[x]]].tolist() if t != s)
+            return any(t != s and joined[t : t + length] == own for t in map(start.item, order[run[x] : end[x]]))
 
         rows = row[hits]
         edge = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1], [True]])).tolist()
         for x, y in zip(edge, edge[1:], strict=False):
-            up = next((h for h in range(y - 1, x - 1, -1) if true(h)), None)
-            if up is not None:
-                down = next(h for h in range(x, y) if true(h))
-                most[rows[x]], least[rows[x]] = off[hits[up]], off[hits[down]]
-        return most, least
+            down = next((h for h in range(x, y) if true(h)), None)
+            if down is not None:
+                r = rows[x]
+                least[r] = off[hits[down]]
+                if most[r] < 0:
+                    most[r] = off[hits[next(h for h in range(y - 1, x - 1, -1) if true(h))]]
 
     def covered(self, edges: list[int]) -> Iterator[tuple[int, int, int]]:
         """(context, lo, hi): the bytes from the anchor that strings shared with others of its bucket cover.
