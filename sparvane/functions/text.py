@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Headings that begin the references, and marks of page boilerplate.
@@ -63,26 +63,26 @@ def tidy(sentence: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(sentence, r"(?U)\s+", " ")))
 
 
-def bad_sentence(sentence: Column) -> Column:
-    """Too short, mostly digits, punctuation or operators, or like the head of a reference."""
+def _judge(s: Column, dense: Column) -> Column:
+    """The sentence filter on a stripped sentence and the same without white space; cheap tests first."""
+    n = F.length(dense)
+    # characters of a class: what is left once all others are taken out, or missing once they are
+    count = lambda pattern: n - F.length(F.regexp_replace(dense, f"{pattern}+", ""))
+    return (
+        (F.length(s) < LEAST_CHARS)
+        | (n == 0)
+        | (F.length(F.regexp_replace(dense, r"\P{L}+", "")) / n < LEAST_ALPHA)
+        | (count(r"[\p{Nd}\p{No}]") / n > MOST_DIGITS)
+        | (count(r"\p{Punct}") / n > MOST_PUNCTUATION)
+        | s.rlike(r"^\[?\d+\]?\s+[A-Z][A-Za-z\-]+")
+        | (count(OPERATORS) >= MOST_OPERATORS)
+    )
 
-    def judge(v: Column) -> Column:
-        s, dense = v["s"], v["dense"]
-        n = F.length(dense)
-        # characters of a class: what is missing once they are taken out
-        count = lambda pattern: n - F.length(F.regexp_replace(dense, f"{pattern}+", ""))
-        return (
-            (F.length(s) < LEAST_CHARS)
-            | (n == 0)
-            | (count(r"\p{L}") / n < LEAST_ALPHA)
-            | (count(r"[\p{Nd}\p{No}]") / n > MOST_DIGITS)
-            | (count(r"\p{Punct}") / n > MOST_PUNCTUATION)
-            | s.rlike(r"^\[?\d+\]?\s+[A-Z][A-Za-z\-]+")
-            | (count(OPERATORS) >= MOST_OPERATORS)
-        )
 
+def bad_sentence(sentence: Column) -> Column:
+    """Too short, mostly digits, punctuation or operators, or like the head of a reference."""
     bare = strip(sentence)
-    return F.coalesce(let(F.struct(bare.alias("s"), F.regexp_replace(bare, r"(?U)\s+", "").alias("dense")), judge), F.lit(True))
+    return F.coalesce(let(F.struct(bare.alias("s"), F.regexp_replace(bare, r"(?U)\s+", "").alias("dense")), lambda v: _judge(v["s"], v["dense"])), F.lit(True))
 
 
 def clean_sentences(text: Column) -> Column:
@@ -90,6 +90,19 @@ def clean_sentences(text: Column) -> Column:
     return F.filter(F.transform(sentences(text), tidy), lambda s: ~bad_sentence(s))
 
 
+def judged_sentences(df: DataFrame, keys: list[str], text: Column) -> DataFrame:
+    """(keys, s, bad): a row for each tidied sentence, with what the filter says of it.
+
+    The same rules as in clean_sentences, but on rows: they are compiled,
+    where those inside array functions are interpreted. Text that passes
+    tidy has no other white space than single spaces.
+    """
+    found = df.select(*keys, F.explode(sentences(text)).alias("s")).select(*keys, tidy(F.col("s")).alias("s"))
+    found = found.select(*keys, "s", strip(F.col("s")).alias("bare"))
+    found = found.select(*keys, "s", "bare", F.replace("bare", F.lit(" "), F.lit("")).alias("dense"))
+    return found.select(*keys, "s", F.coalesce(_judge(F.col("bare"), F.col("dense")), F.lit(True)).alias("bad"))
+
+
 def keyword_pattern(keywords: list[str]) -> str:
     """One alternation of whole words for a category's keywords."""
     return "|".join(rf"\b{re.sub(r'([^A-Za-z0-9_ ])', r'\\\1', k.lower())}\b" for k in keywords)

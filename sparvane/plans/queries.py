@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from sparvane.functions import clean, text, vectors
 from sparvane.operators import impute, interp, knn, rollup, similarity
 from sparvane.plans import imputation, ingest
+from sparvane.sources.readers import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 FOUND: dict[str, Query] = {}
@@ -102,7 +103,7 @@ i AS (SELECT m.*, CASE WHEN e.lo IS NULL THEN NULL WHEN m.energy < e.lo OR m.ene
 
 def injected(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the artifacts that the text rules are about."""
-    d = read(spark, sf_dir, "documents")
+    d = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
     kind = F.col("doc_id") % 4
     more = F.when(kind == 0, F.lit("\n REFERENCES \n[1] A. Author, a title of a paper")).when(kind == 1, F.lit(" cali-\nbration\n\n\nx  y\t z")).when(kind == 2, F.lit("\n12\nabcd\n  abcde\nDOI: 10.1/x\nReceived: May 3\n a = b + c = d = e of the text here")).otherwise(F.lit(""))
     return d.select("doc_id", F.concat("text", more, F.lit("\n[12] Smith measured the final line of the text")).alias("text"))
@@ -304,8 +305,8 @@ def drop_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {D}, {SENTENCES} SELECT doc_id, count(*) AS sentences, count(*) FILTER (NOT {BAD}) AS kept, count(*) FILTER (short) AS short FROM w GROUP BY doc_id")
 def sentence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = injected(spark, sf_dir).select("doc_id", F.explode(text.sentences(text.report_text(F.col("text")))).alias("raw")).select("doc_id", text.tidy(F.col("raw")).alias("s"))
-    return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.count_if(~text.bad_sentence(F.col("s"))).alias("kept"), F.count_if(F.length("s") < text.LEAST_CHARS).alias("short"))
+    s = text.judged_sentences(injected(spark, sf_dir), ["doc_id"], text.report_text(F.col("text")))
+    return s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.count_if(~F.col("bad")).alias("kept"), F.count_if(F.length("s") < text.LEAST_CHARS).alias("short"))
 
 
 @query(
@@ -376,8 +377,10 @@ def closest_sentence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nations as reports of the entries of their numbers, each with a label's mean vector and two scores."""
-    n = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("EXFOR_Entry"), (F.col("n_nationkey") % 10).alias("label"), (F.col("n_nationkey") / 25.0).alias("s1"), (F.length("n_name") / 10.0).alias("s2"))
+    """A report for every entry of events, with a label's mean vector and two scores."""
+    n = events(spark, sf_dir).select("EXFOR_Entry").distinct()
+    e = F.col("EXFOR_Entry")
+    n = n.select("EXFOR_Entry", (e % 10).cast("int").alias("label"), (e % 25 / 25.0).alias("s1"), (e % 7 / 10.0).alias("s2"))
     return n.join(centroids(spark, sf_dir), "label").select("EXFOR_Entry", F.col("mean").alias("mean_embedding"), "s1", "s2")
 
 
@@ -385,9 +388,9 @@ def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events(spark, sf_dir).groupBy("EXFOR_Entry").agg(F.bool_and(F.col("dData").isNotNull()).alias("Uncertainty_Complete"))
 
 
-R = f"""{C}, r AS (SELECT CAST(n_nationkey AS BIGINT) AS entry, mean, n_nationkey / 25.0 AS s1, length(n_name) / 10.0 AS s2 FROM nation JOIN c ON c.label = n_nationkey % 10),
+R = f"""{C}, r AS (SELECT entry, mean, sqrt(list_dot_product(mean, mean)) AS norm, entry % 25 / 25.0 AS s1, entry % 7 / 10.0 AS s2 FROM (SELECT DISTINCT entry FROM m) JOIN c ON c.label = entry % 10),
 en AS (SELECT entry, count(*) = count(ddata) AS complete FROM m GROUP BY entry),
-rp AS (SELECT t.entry AS target_entry, k.entry AS entry, sqrt(greatest(0, 1 - list_cosine_similarity(t.mean, k.mean))) + abs(t.s1 - k.s1) + abs(t.s2 - k.s2) AS report_distance
+rp AS (SELECT t.entry AS target_entry, k.entry AS entry, sqrt(list_sum(list_transform(list_zip(t.mean, k.mean), lambda p: power(p[1] / t.norm - p[2] / k.norm, 2))) / 2) + abs(t.s1 - k.s1) + abs(t.s2 - k.s2) AS report_distance
   FROM r t JOIN en te ON te.entry = t.entry AND NOT te.complete CROSS JOIN r k JOIN en ke ON ke.entry = k.entry AND ke.complete)"""
 STD = """st AS (SELECT avg(log10(energy)) AS em, stddev_samp(log10(energy)) AS es, avg(z) AS zm, stddev_samp(z) AS zs, avg(a) AS am, stddev_samp(a) AS asd FROM m WHERE energy > 0),
 sm AS (SELECT m.*, (log10(energy) - em) / es AS le, (z - zm) / zs AS zz, (a - am) / asd AS aa FROM m CROSS JOIN st WHERE energy > 0)"""
@@ -426,24 +429,25 @@ def report_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("target_entry", "entry", F.round("report_distance", 6).alias("report_distance"))
 
 
-def _level1(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Targets, candidates and report pairs."""
     df = knn.standardize(events(spark, sf_dir).where("Energy > 0"))
-    entries = _entries(spark, sf_dir)
-    df = df.join(_reports(spark, sf_dir).select("EXFOR_Entry"), "EXFOR_Entry", "left_semi")
+    entries, reports = _entries(spark, sf_dir), _reports(spark, sf_dir)
+    df = df.join(reports.select("EXFOR_Entry"), "EXFOR_Entry", "left_semi")
     targets = df.where("dData is null").join(entries.where("not Uncertainty_Complete"), "EXFOR_Entry", "left_semi")
     candidates = df.join(entries.where("Uncertainty_Complete"), "EXFOR_Entry", "left_semi")
-    return knn.nearest_rows(targets, candidates, "EXFOR_Entry", "MT", "measurement_id"), targets, candidates
+    return targets, candidates, imputation.report_pairs(reports, entries, ["s1", "s2"])
 
 
 @query(f"WITH {M}, {R}, {NEAR} SELECT target, entry, candidate, round(de, 6) AS dloge FROM l1")
 def knn_level1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _level1(spark, sf_dir)[0].select("target", "entry", "candidate", F.round("dlogE", 6).alias("dloge"))
+    found = knn.nearest_rows(*_sides(spark, sf_dir), "EXFOR_Entry", "MT", "measurement_id")
+    return found.select("target", "entry", "candidate", F.round("dlogE", 6).alias("dloge"))
 
 
 def _neighbours(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    level1, targets, candidates = _level1(spark, sf_dir)
-    pairs = imputation.report_pairs(_reports(spark, sf_dir), _entries(spark, sf_dir), ["s1", "s2"])
-    return knn.neighbours(level1, targets.select(F.col("measurement_id").alias("target"), F.col("EXFOR_Entry").alias("target_entry")), pairs), candidates
+    targets, candidates, pairs = _sides(spark, sf_dir)
+    return knn.search(targets, candidates, pairs, "EXFOR_Entry", "MT", "measurement_id"), candidates
 
 
 @query(f"WITH {M}, {R}, {TOP} SELECT target, entry, candidate, round(distance, 6) AS distance, CAST(rank AS INT) AS rank FROM nb")

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparvane.functions import vectors
 from sparvane.operators import impute, interp, knn, rollup, similarity
 
 MEASURED = "channel string, Data double, dData double, dEnergy double"
@@ -115,10 +116,28 @@ def test_level1_is_brute_force(spark):
                 d = 0.5 * (c[3] - t[3]) ** 2 + 1.5 * (c[4] - t[4]) ** 2 + (c[5] - t[5]) ** 2
                 k = (t[0], c[1])
                 expected[k] = min(expected.get(k, (9e9, 0)), (d, c[0]))
-    got = knn.nearest_rows(spark.createDataFrame(targets, schema), spark.createDataFrame(candidates, schema), "e", "mt", "measurement_id").collect()
+    pairs = spark.createDataFrame([("A", e, 0.1) for e in "BCD"], "target_entry string, entry string, report_distance double")
+    got = knn.nearest_rows(spark.createDataFrame(targets, schema), spark.createDataFrame(candidates, schema), pairs, "e", "mt", "measurement_id").collect()
     assert {(r.target, r.entry): r.candidate for r in got} == {k: v[1] for k, v in expected.items()}
 
 
+def test_pruned_search_is_the_whole_search(spark):
+    rng = random.Random(6)
+    schema = "measurement_id int, e int, mt string, logE_std double, Z_std double, A_std double"
+    rows = [(i, rng.randrange(40), rng.choice("xyz"), rng.random(), float(rng.randint(0, 2)), float(rng.randint(0, 2))) for i in range(400)]
+    targets, candidates = spark.createDataFrame([r for r in rows if r[1] < 8], schema), spark.createDataFrame([r for r in rows if r[1] >= 8], schema)
+    pairs = spark.createDataFrame([(t, e, rng.choice([0.1, 0.5, 3 * rng.random()])) for t in range(8) for e in range(8, 40)], "target_entry int, entry int, report_distance double")
+    whole = knn.neighbours(knn.nearest_rows(targets, candidates, pairs, "e", "mt", "measurement_id"), pairs, 3)
+    pruned = knn.search(targets, candidates, pairs, "e", "mt", "measurement_id", 3, 4)
+    assert sorted(map(tuple, pruned.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+
+
+def test_cosine_term(spark):
+    df = spark.createDataFrame([([1.0, 0.0], [0.6, 0.8]), ([3.0, 4.0], [3.0, 4.0]), ([0.0, 0.0], [1.0, 0.0]), (None, [1.0, 0.0])], "a array<double>, b array<double>")
+    got = [r.d for r in df.select(vectors.cosine_term(F.col("a"), F.col("b")).alias("d")).collect()]
+    assert math.isclose(got[0], 0.632455532, rel_tol=1e-8) and got[1] == 0.0 and got[2] == 1.0 and got[3] is None
+
+
 def test_adopt(spark):
     df = spark.createDataFrame([(1, 12.0, None, 1.0), (2, 12.0, 3.0, 3.0), (3, 12.0, None, 1.0)], "i int, Data double, dData double, dData_assumed double")
     p = spark.createDataFrame([(1, 0.5), (2, 0.5)], "target int, prediction double")
