@@ -17,9 +17,11 @@ LOCAL_SHARED = "file:///tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or LOCAL_SHARED where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or LOCAL_SHARED where that is unset and all run on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = LOCAL_SHARED
         spark.conf.set("spark.checkpoint.dir", named)
         own = f"{named.removeprefix('file://')}/{spark.sparkContext.applicationId}"
