@@ -25,14 +25,6 @@ class Rows:
         self.names = self.names[keep]
         self.row, self.column, self.value = row[mask], new[column[mask]], value[mask]
 
-    def dense(self, most: int = 16_000_000) -> np.ndarray | None:
-        """The rows as a matrix, where that has few enough entries: products with it are several times as fast."""
-        if self.n * len(self.names) > most:
-            return None
-        x = np.zeros((self.n, len(self.names)), np.float32)
-        x[self.row, self.column] = self.value
-        return x
-
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, self.value * w[self.column], minlength=self.n)
 
@@ -48,12 +40,9 @@ def fit(rows: Rows, y: np.ndarray, sample: np.ndarray, dense: np.ndarray, l1: fl
     wy, vy, t = w.copy(), v.copy(), 1.0
     norms = np.bincount(rows.row, rows.value**2, minlength=rows.n) + (x**2).sum(axis=1)
     rate = 4.0 / max(1e-9, float(np.percentile(norms, 90))) if rows.n else 1.0
-    matrix = rows.dense()
     for _ in range(steps):
-        scores = rows.dot(wy) if matrix is None else matrix @ wy.astype(np.float32)
-        r = np.where(sample, sigmoid(scores + x @ vy) - y, 0.0) / m
-        slope = rows.transposed_dot(r) if matrix is None else r.astype(np.float32) @ matrix
-        new_w = wy - rate * (slope + l2 * wy)
+        r = np.where(sample, sigmoid(rows.dot(wy) + x @ vy) - y, 0.0) / m
+        new_w = wy - rate * (rows.transposed_dot(r) + l2 * wy)
         new_w = np.sign(new_w) * np.maximum(np.abs(new_w) - rate * l1, 0)
         new_v = vy - rate * (x.T @ r)
         t2 = (1 + (1 + 4 * t * t) ** 0.5) / 2
@@ -65,17 +54,14 @@ def fit(rows: Rows, y: np.ndarray, sample: np.ndarray, dense: np.ndarray, l1: fl
     return w, v
 
 
-def screened(rows: Rows, y: np.ndarray, sample: np.ndarray, most: int, least: float) -> Rows:
-    """rows with the ``most`` features that depend most on y (chi-squared of presence, ``least`` or more) over the rows where sample is true."""
+def screened(rows: Rows, y: np.ndarray, sample: np.ndarray, least: float) -> Rows:
+    """rows with the features that depend on y, by a chi-squared of presence of ``least`` or more over the rows where sample is true."""
     inside = sample[rows.row]
     with_feature = np.bincount(rows.column[inside], minlength=len(rows.names)).astype(float)
     hits = np.bincount(rows.column[inside], y[rows.row[inside]], minlength=len(rows.names))
     n, p = float(sample.sum()), float(y[sample].mean()) if sample.any() else 0.0
     spread = p * (1 - p) * with_feature * (1 - with_feature / max(n, 1.0))
-    chi = np.where(spread > 1e-12, (hits - with_feature * p) ** 2 / np.maximum(spread, 1e-12), 0.0)
-    keep = np.zeros(len(chi), bool)
-    keep[np.argsort(-chi, kind="stable")[:most]] = True
-    keep &= chi >= least
+    keep = np.where(spread > 1e-12, (hits - with_feature * p) ** 2 / np.maximum(spread, 1e-12), 0.0) >= least
     out = Rows([], None, 1)
     mask = keep[rows.column]
     new = np.cumsum(keep) - 1

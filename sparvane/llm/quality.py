@@ -7,10 +7,10 @@ labeller is right and the share of good documents. The posterior of a
 document's pattern is its label, and a linear scorer on hashed features
 (shapes and endings of words, levels of the document's statistics) is fitted
 to the labels of ``sample`` documents, those first in order of a hash of
-their id, and applied to all.
+their id and text, and applied to all.
 
 Cases: null and wordless texts are rejected, with score 0; repeated rows get
-the same score; very long texts are read whole; ties of the score with the
+the same score; different texts of one doc_id are judged each; very long texts are read whole; ties of the score with the
 threshold are kept; an empty table gives an empty result; other columns are
 ignored (``good`` keeps them).
 """
@@ -68,7 +68,10 @@ class Words:
         return found
 
     def statistics(self, data: bytes) -> tuple[dict[str, float], float] | None:
-        """Shares that the labellers judge, and the mean weight of a word; None of a text without words."""
+        """Shares that the labellers judge, and the mean weight of a word; None of a text without words.
+
+        Shares that a few words say little of are drawn towards an inconspicuous value by some words more.
+        """
         words = data.split()
         n = len(words)
         if not n:
@@ -89,14 +92,14 @@ class Words:
         lines = [x for x in data.split(b"\n") if x.strip()]
         return {
             "symbols": (size - len(data.translate(None, SYMBOLS))) / size,
-            "capitals": (size - len(data.translate(None, CAPITALS))) / letters if letters > 40 else 0.0,
-            "lone": lone / n,
-            "stutter": sum(map(eq, words, words[1:])) / n if n > 5 else 0.0,
-            "triples": 1 - triples / (n - 2) if n > 10 else 0.0,
-            "top": max(counts.values()) / n if n > 20 else 0.0,
-            "lines": 1 - len(set(lines)) / len(lines) if len(lines) > 3 else 0.0,
-            "endings": clean / n if n >= 8 else 1.0,
-            "frequent": frequent / n if n >= 20 else 0.25,  # a few words may well have none
+            "capitals": (size - len(data.translate(None, CAPITALS))) / (letters + 20),
+            "lone": lone / (n + 1),
+            "stutter": sum(map(eq, words, words[1:])) / (n + 2),
+            "triples": (max(n - 2, 0) - triples) / (n + 4),
+            "top": (max(counts.values()) - 1) / (n + 4),
+            "lines": (len(lines) - len(set(lines))) / (len(lines) + 2),
+            "endings": (clean + 4) / (n + 4),
+            "frequent": (frequent + 2) / (n + 8),
             "length": sum(map(len, words)) / n,
         }, weight / n
 
@@ -159,7 +162,7 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tup
 
 def word_shape(word: str) -> str:
     out = []
-    for c in word[:12]:
+    for c in word:
         kind = "X" if c.isupper() else "x" if c.isalpha() else "0" if c.isdigit() else c
         if not out or out[-1] != kind:
             out.append(kind)
@@ -214,41 +217,49 @@ class Scorer:
 
 
 def patterns(docs: DataFrame) -> DataFrame:
-    """(doc_id, pattern) of every row; no pattern for a text without words."""
-    schema = pa.schema([("doc_id", pa.int64()), ("pattern", pa.int64())])
+    """(doc_id, th, pattern) of every row; no pattern for a text without words."""
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pattern", pa.int64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             judged = [words.statistics(data.as_py()) for data in batch.column("data")]
             found = [pattern(x[0]) if x else None for x in judged]
-            yield table({"doc_id": batch.column("doc_id"), "pattern": found}, schema)
+            yield table({"doc_id": batch.column("doc_id"), "th": batch.column("th"), "pattern": found}, schema)
+
+    return _keyed(docs).mapInArrow(run, "doc_id long, th long, pattern long")
 
-    return docs.select(F.col("doc_id").cast("long"), utf8().alias("data")).mapInArrow(run, "doc_id long, pattern long")
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, data): a doc_id may have several texts, told apart by their hash."""
+    return docs.select(F.col("doc_id").cast("long"), utf8().alias("data")).select("doc_id", F.xxhash64("data").alias("th"), "data")
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, dict[str, float]]:
-    """The scorer, and each labeller's estimated accuracy."""
+    """The scorer, and each labeller's estimated accuracy.
+
+    Equal rows count each in the votes and once in the scorer's sample.
+    """
     voted = materialize(patterns(docs), "votes").where("pattern is not null")
     counted = voted.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()
     if not counted:
         return Scorer({}, 0.0), {}
     accuracy, posterior, _ = estimate(np.array([r.pattern for r in counted]), np.array([r.n for r in counted], float))
-    chosen = voted.groupBy("doc_id").agg(F.min("pattern").alias("pattern")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    schema = pa.schema([("doc_id", pa.int64()), ("pattern", pa.int64()), ("features", pa.list_(pa.int32())), ("shares", pa.list_(pa.float32()))])
+    chosen = voted.groupBy("doc_id", "th").agg(F.min("pattern").alias("pattern")).orderBy(F.xxhash64("doc_id", "th"), "doc_id", "th").limit(sample)
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("pattern", pa.int64()), ("features", pa.list_(pa.int32())), ("shares", pa.list_(pa.float32()))])
 
     def featurize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
             made = [features(data.as_py(), words) for data in batch.column("data")]
-            yield table({"doc_id": batch.column("doc_id"), "pattern": batch.column("pattern"), "features": [m[0] for m in made], "shares": [m[1] for m in made]}, schema)
+            yield table({c: batch.column(c) for c in ("doc_id", "th", "pattern")} | {"features": [m[0] for m in made], "shares": [m[1] for m in made]}, schema)
 
-    rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("data"))
-    drawn = rows.join(F.broadcast(chosen), rows.doc_id.eqNullSafe(chosen.doc_id)).select(rows.doc_id, "data", "pattern")
-    got = drawn.mapInArrow(featurize, "doc_id long, pattern long, features array<int>, shares array<float>").dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    rows = _keyed(docs)
+    drawn = rows.join(F.broadcast(chosen), rows.doc_id.eqNullSafe(chosen.doc_id) & (rows.th == chosen.th)).select(rows.doc_id, rows.th, "data", "pattern")
+    got = drawn.mapInArrow(featurize, "doc_id long, th long, pattern long, features array<int>, shares array<float>").dropDuplicates(["doc_id", "th"]).orderBy("doc_id", "th").toArrow()
     labels = np.array([posterior[p] for p in got.column("pattern").to_pylist()])
     named = [np.array(x, np.int64) for x in got.column("features").to_pylist()]
-    data = Rows(named, [np.array(x) for x in got.column("shares").to_pylist()], least_rows=3)
+    data = Rows(named, [np.array(x) for x in got.column("shares").to_pylist()], least_rows=1)
     w, v = fit(data, labels, np.ones(data.n, bool), np.zeros((data.n, 0)), l1=2e-5, l2=1e-5, steps=300)
     weights = {int(f): float(x) for f, x in zip(data.names, w, strict=True) if x}
     return Scorer(weights, float(v[-1])), dict(zip(LABELLERS, accuracy.tolist(), strict=True))

@@ -10,14 +10,15 @@ degradation and disgust, which are weak labels (a labelled toxic document
 with a word of the category's list), and ends with the labelled toxicity.
 
 Models are fitted on ``sample`` labelled documents, those first in order of
-a hash of their id, with features that at least ``least_rows`` of them have
-and an L1 penalty that leaves few weights; they are applied to the whole of
-every text. A text's features are the different ones it has, so its length
+a hash of their id, each with the features that depend on its category beyond
+chance in its own training documents and an L1 penalty that leaves few
+weights; they are applied to the whole of every text. A text's features are the different ones it has, so its length
 alone adds little.
 
 Cases: null and wordless texts are not toxic (probabilities 0); documents
 with contradictory labels count as toxic; without labels of both kinds all
-probabilities are 0; repeated rows get the same result; an empty table gives
+probabilities are 0; repeated rows get the same result; different texts of
+one doc_id all have its label in training and are judged each; an empty table gives
 an empty result; other columns are ignored.
 """
 
@@ -41,12 +42,8 @@ THRESHOLD = 0.5
 FOLDS = 3
 DIMENSIONS = 1 << 24
 LEAST_ROWS = 5
-#: Features that a model starts from: those that depend most on its category in its training documents.
-MOST_FEATURES = 400
-#: Least chi-squared of a model's feature: less is common among so many features by chance.
+#: Least chi-squared of a model's feature over its training documents: less is common among so many features by chance.
 LEAST_CHI = 25.0
-#: Features that reach the driver, by category.
-POOL = 2_000
 PREFIXES = (3, 4, 5, 6, 7)
 CACHE_WORDS = 300_000
 #: Words by weak category.
@@ -83,17 +80,16 @@ class Chain:
         self.known: dict[bytes, tuple[int, ...]] = {}
 
     @classmethod
-    def train(cls, features: list[np.ndarray], labels: np.ndarray, least_rows: int = LEAST_ROWS, most: int = MOST_FEATURES, l1: float = 1e-4, folds: int = FOLDS) -> Chain:
-        """labels: a column for each model of the chain."""
+    def train(cls, features: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, least_rows: int = LEAST_ROWS, l1: float = 1e-4, folds: int = FOLDS) -> Chain:
+        """labels: a column for each model of the chain; fold: each document's, from 0 on."""
         self = cls()
         rows = Rows(features, None, least_rows)
         everyone = np.ones(rows.n, bool)
 
         def model(y: np.ndarray, inside: np.ndarray, earlier: np.ndarray) -> tuple[Rows, np.ndarray, np.ndarray]:
-            few = screened(rows, y, inside, most, LEAST_CHI)
+            few = screened(rows, y, inside, LEAST_CHI)
             return few, *fit(few, y, inside, earlier, l1, 0.0, steps=200)
 
-        fold = np.arange(rows.n) % folds
         earlier = np.zeros((rows.n, 0))
         columns = []
         for k in range(labels.shape[1]):
@@ -139,14 +135,16 @@ class Chain:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     """The chain, fitted on at most ``sample`` labelled documents.
 
-    Which features depend on a category is counted in the cluster; the driver
-    gets the sample's labels and of its features only the POOL that depend
-    most on each category.
+    Equal texts are in one fold. Which features depend on a category is
+    counted in the cluster, once for each fold left out and once over all;
+    the driver gets the sample's labels and of its features those that some
+    model may start from, judged by that model's own training documents.
     """
-    chosen = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("data"))
-    schema = pa.schema([("doc_id", pa.int64()), *((c, pa.bool_()) for c in CHAIN), ("features", pa.list_(pa.int32()))])
-    ddl = "doc_id long, " + ", ".join(f"{c} boolean" for c in CHAIN) + ", features array<int>"
+    known = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.select(F.col("doc_id").cast("long"), utf8().alias("data")).withColumn("th", F.xxhash64("data"))
+    schema = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), *((c, pa.bool_()) for c in CHAIN), ("features", pa.list_(pa.int32()))])
+    ddl = "doc_id long, th long, " + ", ".join(f"{c} boolean" for c in CHAIN) + ", features array<int>"
 
     def featurize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,32 +152,41 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
             texts = [d.as_py() for d in batch.column("data")]
             seen = [set(words(t)) for t in texts]
             columns = {c: [t and bool(s & listed) for t, s in zip(toxic, seen, strict=True)] for c, listed in CATEGORIES.items()}
-            yield table(columns | {"doc_id": batch.column("doc_id"), "toxic": toxic, "features": [document_features(t) for t in texts]}, schema)
-
-    drawn = materialize(rows.join(F.broadcast(chosen), "doc_id").mapInArrow(featurize, ddl), "features").dropDuplicates(["doc_id"])
-    sums = drawn.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CHAIN]).first()
-    if not 0 < sums["toxic"] < sums["n"]:
+            yield table(columns | {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "toxic": toxic, "features": [document_features(t) for t in texts]}, schema)
+
+    # a doc_id may have several texts: the bound holds for rows, in an order that does not depend on how they are stored
+    drawn = rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "th"]).orderBy(F.xxhash64("doc_id", "th"), "doc_id", "th").limit(sample)
+    drawn = materialize(drawn.select("doc_id", "th", "toxic", "data").mapInArrow(featurize, ddl), "features")
+    drawn = drawn.withColumn("fold", F.pmod("th", F.lit(FOLDS)).cast("int"))
+    parts = drawn.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CHAIN]).collect()
+    total = {x: sum(r[x] for r in parts) for x in ("n", *CHAIN)}
+    if not 0 < total["toxic"] < total["n"]:
         return Chain()
-    hits = drawn.select(F.explode("features").alias("f"), *CHAIN).groupBy("f").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CHAIN]).where(F.col("n") >= LEAST_ROWS)
-    hits = materialize(hits, "hits")
-    pool: set[int] = set()
-    for c in CHAIN:
-        p = sums[c] / sums["n"]
-        chi = F.try_divide(F.pow(F.col(c) - F.col("n") * p, F.lit(2.0)), F.col("n") * (1 - F.col("n") / sums["n"]))
-        pool |= {r.f for r in hits.orderBy(chi.desc_nulls_last(), "f").limit(POOL).select("f").collect()}
-    wanted = np.array(sorted(pool), np.int32)
+    hits = drawn.select(F.explode("features").alias("f"), "fold", *CHAIN).groupBy("f", "fold").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CHAIN])
+    chosen_by = F.lit(False)
+    kept = []
+    for out in (None, *range(FOLDS)):
+        size = {x: total[x] - sum(r[x] for r in parts if r.fold == out) for x in total}
+        kept += [F.sum(F.when(F.col("fold") != (-1 if out is None else out), F.col(x))).alias(f"{x}_{out}") for x in total]
+        n = F.coalesce(F.col(f"n_{out}"), F.lit(0))
+        for c in CHAIN:
+            p = size[c] / size["n"] if size["n"] else 0.0
+            spread = F.lit(p * (1 - p)) * n * (1 - n / max(size["n"], 1))
+            chi = F.try_divide(F.pow(F.coalesce(F.col(f"{c}_{out}"), F.lit(0)) - n * p, F.lit(2.0)), spread)
+            chosen_by = chosen_by | F.coalesce(chi >= LEAST_CHI * 0.999, F.lit(False))  # the model itself decides at the level
+    pool = hits.groupBy("f").agg(*kept).where(F.col("n_None") >= LEAST_ROWS).where(chosen_by).select("f")
+    wanted = np.sort(pool.toArrow().column("f").to_numpy())
 
     def select(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = [np.array(x.as_py(), np.int32) for x in batch.column("features")]
-            yield table({c: batch.column(c) for c in ("doc_id", *CHAIN)} | {"features": [x[np.isin(x, wanted)] for x in lists]}, schema)
+            yield table({c: batch.column(c) for c in ("doc_id", "th", *CHAIN)} | {"features": [x[np.isin(x, wanted)] for x in lists]}, schema)
 
-    got = drawn.mapInArrow(select, ddl).toArrow()
-    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
-    y = np.column_stack([got.column(c).to_numpy(zero_copy_only=False)[order] for c in CHAIN]).astype(float)
+    got = drawn.drop("fold").mapInArrow(select, ddl).orderBy("doc_id", "th").toArrow()
+    y = np.column_stack([got.column(c).to_numpy(zero_copy_only=False) for c in CHAIN]).astype(float)
     lists = got.column("features").combine_chunks()
-    features = [lists[int(i)].values.to_numpy().astype(np.int64) for i in order]
-    return Chain.train(features, y)
+    features = [lists[i].values.to_numpy().astype(np.int64) for i in range(len(lists))]
+    return Chain.train(features, y, got.column("th").to_numpy() % FOLDS)
 
 
 def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
