@@ -88,7 +88,7 @@ class Block:
                 self.vocabulary.setdefault(w, len(self.vocabulary))
         self.base = len(self.vocabulary) + 1
         if self.base**n >= 1 << 62:
-            raise ValueError("too many different words in a block")
+            raise OverflowError("too many different words in a block")
         self.items = [np.array([self.vocabulary[w] for w in t], np.int64) for t in texts]
         self.sizes = sorted({min(n, len(x)) for x in self.items} - {0})
         self.grams = {m: np.unique(np.concatenate([codes(x, m, self.base) for x in self.items if min(n, len(x)) == m])) for m in self.sizes}
@@ -170,26 +170,39 @@ def blocks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES
     total = items.agg(F.sum(F.length("data"))).first()[0] or 0
     count = max(1, -(-total // block_bytes))
     texts = docs.select(utf8().alias("data"))
-    schema = pa.schema([("m", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
     for number in range(count):
         part = items.where(F.pmod(F.xxhash64("item_id", "data"), F.lit(count)) == number).orderBy("item_id", "data").collect()
-        block = Block([(r.item_id, bytes(r.data)) for r in part])
-        if not block.sizes:
-            continue
+        todo = [[(r.item_id, bytes(r.data)) for r in part]]
+        while todo:
+            items_ = todo.pop()
+            try:
+                block = Block(items_)
+            except OverflowError:
+                if len(items_) < 2:
+                    raise
+                todo += [items_[: len(items_) // 2], items_[len(items_) // 2 :]]
+                continue
+            if block.sizes:
+                block.choose(_frequencies(texts, block))
+                yield block
+
+
+def _frequencies(texts: DataFrame, block: Block) -> dict[tuple[int, int], int]:
+    """(size, index of the n-gram) -> documents that have it."""
+    schema = pa.schema([("m", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
 
-        def count_in(batches: Iterable[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
-            sums = {m: np.zeros(len(g), np.int64) for m, g in block.grams.items()}
-            for batch in batches:
-                for data in batch.column("data"):
-                    for m, at in block.present(data.as_py()):
-                        sums[m][at] += 1
-            for m, s in sums.items():
-                at = np.flatnonzero(s)
-                yield table({"m": np.full(len(at), m, np.int32), "gram": at, "n": s[at]}, schema)
-
-        counted = texts.mapInArrow(count_in, "m int, gram long, n long").groupBy("m", "gram").agg(F.sum("n").alias("n")).collect()
-        block.choose({(r.m, r.gram): r.n for r in counted})
-        yield block
+    def count_in(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {m: np.zeros(len(g), np.int64) for m, g in block.grams.items()}
+        for batch in batches:
+            for data in batch.column("data"):
+                for m, at in block.present(data.as_py()):
+                    sums[m][at] += 1
+        for m, s in sums.items():
+            at = np.flatnonzero(s)
+            yield table({"m": np.full(len(at), m, np.int32), "gram": at, "n": s[at]}, schema)
+
+    counted = texts.mapInArrow(count_in, "m int, gram long, n long").groupBy("m", "gram").agg(F.sum("n").alias("n")).toArrow()
+    return dict(zip(zip(counted.column("m").to_pylist(), counted.column("gram").to_pylist(), strict=True), counted.column("n").to_pylist(), strict=True))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, least: float = LEAST, block_bytes: int = BLOCK_BYTES) -> DataFrame:
