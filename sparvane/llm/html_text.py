@@ -9,10 +9,17 @@ aligned with the next page. Aligning two wrappers works the same way, so
 every task infers wrappers of the pages it reads and these are merged per
 host: a host with a third of all pages costs a few rows per task.
 
-A wrapper's slots, with the elements they stand in, say which of them hold
-the article: those inside an article (or main) element if the host has one,
-and otherwise all outside menus, headers, footers, sidebars, notices,
-adverts, forms and comments whose text is not the same on the host's pages.
+Long streams are first cut at keys that occur once in both, so that
+aligning takes time in proportion to their length, but for a logarithm.
+
+A wrapper's slots say which texts are the article: at the best level the
+host has (an article inside main, main, an article, an element named as
+content, any other), those whose text varies between the host's pages.
+A slot whose text is the same on all pages is part of the template, at every
+level, as is a text that stands at its place on each of ``LEAST_PAGES`` pages
+or more. Menus, headers, footers, sidebars, notices, adverts, forms and
+comments vary too; their elements, and words in the class, id or role of
+containers, tell them apart; a paragraph's own class does not.
 Each page's text is then read through its host's slots.
 
 Blocks: a tag that is not inline ends a block. Character references are
@@ -30,10 +37,13 @@ from __future__ import annotations
 import html
 import json
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +62,12 @@ CLOSES_P = frozenset("address article aside blockquote details div dl fieldset f
 BOILERPLATE_WORDS = frozenset("ad ads adv advert adverts advertisement advertisements adsense banner breadcrumb breadcrumbs byline-links comment comments commentlist consent cookie cookies disqus footer form gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification overlay pagination pager popup promo promoted promotion recommended related reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget".split())
 #: Elements that hold the article or all of the page; their words say nothing of their text.
 WHOLE_TAGS = frozenset("html body main article".split())
+#: Elements of running text: their own class, id and role do not make them boilerplate inside an article.
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dd dt".split())
+#: Pages of a host from which on what all of them have is its template.
+LEAST_PAGES = 3
+#: Product of the lengths of two streams up to which they are aligned without cutting them first.
+SMALL = 250_000
 MAIN_WORDS = frozenset("article articlebody entry main maincontent post postbody story".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z|(?=<))|([^<]+|<)", re.S)
@@ -182,8 +198,8 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
     if x == y:
         return [_merge(m, n) for m, n in zip(a, b, strict=True)]
     out: list[Node] = []
-    for op, i, j, p, q in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
-        if op == "equal":
+    for equal, i, j, p, q in _matches(x, y):
+        if equal:
             out += [_merge(m, n) for m, n in zip(a[i:j], b[p:q], strict=True)]
         else:
             for rest in (a[i:j], b[p:q]):
@@ -192,6 +208,65 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
     return fold(out)
 
 
+def _matches(x: list[str], y: list[str], i: int = 0, p: int = 0) -> Iterator[tuple[bool, int, int, int, int]]:
+    """(equal, i, j, p, q): stretches of x and y that match or not, in order.
+
+    Long streams are cut at the longest ascending row of keys that occur
+    once in each; a stretch that stays long and has none is a mismatch.
+    """
+    same = 0
+    while same < min(len(x), len(y)) and x[same] == y[same]:
+        same += 1
+    if same:
+        yield True, i, i + same, p, p + same
+        x, y, i, p = x[same:], y[same:], i + same, p + same
+    if not x or not y:
+        if x or y:
+            yield False, i, i + len(x), p, p + len(y)
+        return
+    if len(x) * len(y) <= SMALL:
+        for op, j, k, q, r in SequenceMatcher(None, x, y, autojunk=False).get_opcodes():
+            yield op == "equal", i + j, i + k, p + q, p + r
+        return
+    once_x, once_y = _once(x), _once(y)
+    row = _ascending([(k, once_y[v]) for v, k in sorted(once_x.items(), key=lambda kv: kv[1]) if v in once_y])
+    if not row:
+        yield False, i, i + len(x), p, p + len(y)
+        return
+    j = q = 0
+    for k, r in [*row, (len(x), len(y))]:
+        yield from _matches(x[j:k], y[q:r], i + j, p + q)
+        if k < len(x):
+            yield True, i + k, i + k + 1, p + r, p + r + 1
+        j, q = k + 1, r + 1
+
+
+def _once(keys: list[str]) -> dict[str, int]:
+    """Keys that occur once, and where."""
+    counts = Counter(keys)
+    return {k: i for i, k in enumerate(keys) if counts[k] == 1}
+
+
+def _ascending(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """A longest row of pairs whose second members ascend; the first ones do already."""
+    ends: list[int] = []
+    last: list[int] = []
+    before: list[int] = []
+    for n, (_, v) in enumerate(pairs):
+        at = bisect_left(ends, v)
+        before.append(last[at - 1] if at else -1)
+        if at == len(ends):
+            ends.append(v)
+            last.append(n)
+        else:
+            ends[at], last[at] = v, n
+    out, n = [], last[-1] if last else -1
+    while n >= 0:
+        out.append(pairs[n])
+        n = before[n]
+    return out[::-1]
+
+
 def _key(node: Node) -> str:
     """What may match: repeated and optional groups match by what they hold."""
     return "(" + " ".join(sorted({k for n in node[1] for k in _leaves(n)})) + ")" if node[0] in "or" else shape(node)
@@ -244,7 +319,7 @@ def _any_order(groups: list[Node]) -> Node:
     return ["r", [["o", parts[k]] for k in sorted(parts)]]
 
 
-def fold(nodes: list[Node], longest: int = 12) -> list[Node]:
+def fold(nodes: list[Node], longest: int = 64) -> list[Node]:
     """Turn what stands several times in a row into repeated groups, and groups in a row into one."""
     shapes = _shapes(nodes)
     out: list[Node] = []
@@ -289,40 +364,55 @@ def slots(wrapper: list[Node]) -> dict[str, bool]:
 
 
 def boilerplate(path: str) -> bool:
-    for step in path.split("/"):
+    steps = path.split("/")
+    for at, step in enumerate(steps):
         name, _, words = step.partition(".")
-        if name in BOILERPLATE_TAGS or words and name not in WHOLE_TAGS and set(WORDS.findall(words)) & BOILERPLATE_WORDS:
-            return not (name == "header" and "article" in path.split("/")[: path.split("/").index(step)])
+        inside = any(x.partition(".")[0] in ("article", "main") for x in steps[:at])
+        if name in BOILERPLATE_TAGS and not (name == "header" and any(x.partition(".")[0] == "article" for x in steps[:at])):
+            return True
+        if words and name not in WHOLE_TAGS and not (inside and name in TEXT_TAGS) and name != "header" and set(WORDS.findall(words)) & BOILERPLATE_WORDS:
+            return True
     return False
 
 
 def level(path: str) -> int:
-    """3: inside an article; 2: inside main; 1: inside an element named as content; 0: elsewhere."""
-    best = 0
+    """4: in an article inside main; 3: in main; 2: in an article; 1: in an element named as content; 0: elsewhere."""
+    found, best = False, 0
     for step in path.split("/"):
         name, _, words = step.partition(".")
-        best = max(best, 3 if name == "article" else 2 if name == "main" or words == "main" else 1 if words and set(WORDS.findall(words)) & MAIN_WORDS else 0)
+        if name == "main" or words == "main":
+            found, best = True, max(best, 3)
+        elif name == "article":
+            best = 4 if found else max(best, 2)
+        elif words and set(WORDS.findall(words)) & MAIN_WORDS:
+            best = max(best, 1)
     return best
 
 
 def article_paths(wrapper: list[Node], pages: int) -> list[str]:
-    """The slots that hold the article: of the best level there is; at level 0 those whose text differs between pages."""
+    """The slots that hold the article: of the best level there is, those whose text differs between pages, where there are pages to compare."""
     found = {p: v for p, v in slots(wrapper).items() if not boilerplate(p)}
-    if not found:
-        return []
-    best = max(map(level, found))
-    return sorted(p for p, varies in found.items() if level(p) == best and (best or varies or pages < 2))
+    if pages >= LEAST_PAGES and any(found.values()):
+        found = {p: v for p, v in found.items() if v}
+    best = max(map(level, found), default=0)
+    return sorted(p for p in found if level(p) == best)
+
 
+def literals(blocks: list[tuple[str, str]]) -> set[str]:
+    """Places with their texts, of one page."""
+    return {f"{p}\x1f{v}" for v, p in blocks}
 
-def extract(page: str, paths: set[str]) -> str:
-    """The page's text in these slots; where it has none of them, by the general rule."""
-    own = [(v, p) for k, v, p in _blocks(page)]
-    blocks = [v for v, p in own if p in paths]
+
+def extract(page: str, paths: set[str], template: set[str] = frozenset()) -> str:
+    """The page's text in these slots, without the template's own; where it has none of them, by the general rule."""
+    own = [(v, p) for _, v, p in _blocks(page)]
+    blocks = [(v, p) for v, p in own if p in paths]
     if not blocks:
         rest = [(v, p) for v, p in own if not boilerplate(p)]
         best = max((level(p) for _, p in rest), default=0)
-        blocks = [v for v, p in rest if level(p) == best]
-    return "\n".join(blocks)
+        blocks = [(v, p) for v, p in rest if level(p) == best]
+    varied = [(v, p) for v, p in blocks if f"{p}\x1f{v}" not in template]
+    return "\n".join(v for v, _ in varied or blocks)
 
 
 def _blocks(page: str) -> Iterator[tuple[str, str, str]]:
@@ -348,38 +438,71 @@ def _blocks(page: str) -> Iterator[tuple[str, str, str]]:
 HOSTS_HELD = 2_000
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, paths): the article's slots of each host's wrapper."""
-    schema = pa.schema([("host", pa.string()), ("wrapper", pa.string()), ("pages", pa.int64())])
+#: Wrappers that one task merges, at most, of tasks whose numbers are near.
+MERGED = 128
 
-    def infer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {}
 
-        def emit() -> pa.RecordBatch:
-            return table({"host": list(held), "wrapper": [json.dumps(w) for w, _ in held.values()], "pages": [n for _, n in held.values()]}, schema)
+class Inferred:
+    """A host's wrapper so far, its pages, and the texts that all of them have at the same place."""
+
+    def __init__(self, nodes: list[Node], pages: int, common: set[str]) -> None:
+        self.nodes, self.pages, self.common = nodes, pages, common
 
+    @classmethod
+    def of(cls, page: str) -> Inferred:
+        return cls(stream(page), 1, literals([(v, p) for _, v, p in _blocks(page)]))
+
+    def join(self, other: Inferred) -> None:
+        self.nodes, self.pages, self.common = align(self.nodes, other.nodes), self.pages + other.pages, self.common & other.common
+
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(host, paths, template): the article's slots of each host's wrapper, and the texts that are its template's."""
+    schema = pa.schema([("host", pa.string()), ("part", pa.int64()), ("wrapper", pa.string()), ("pages", pa.int64()), ("common", pa.list_(pa.string()))])
+    ddl = "host string, part long, wrapper string, pages long, common array<string>"
+
+    def rows(held: dict[str, Inferred], part: int) -> dict[str, list]:
+        found = list(held.values())
+        return {"host": list(held), "part": [part] * len(held), "wrapper": [json.dumps(x.nodes) for x in found], "pages": [x.pages for x in found], "common": [sorted(x.common) for x in found]}
+
+    def infer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Inferred] = {}
+        part = TaskContext.get().partitionId()
         for batch in batches:
             for host, page in zip(batch.column("host").to_pylist(), batch.column("html"), strict=True):
-                own = stream(page.as_py())
-                known = held.get(host)
-                held[host] = [own, 1] if known is None else [align(known[0], own), known[1] + 1]
+                own = Inferred.of(page.as_py())
+                if host in held:
+                    held[host].join(own)
+                else:
+                    held[host] = own
                 if len(held) >= HOSTS_HELD:
-                    yield emit()
+                    yield table(rows(held, part), schema)
                     held = {}
         if held:
-            yield emit()
+            yield table(rows(held, part), schema)
 
-    merged_schema = pa.schema([("host", pa.string()), ("paths", pa.list_(pa.string()))])
+    def joined(part: pa.Table) -> tuple[str, int, Inferred]:
+        found = sorted(zip(*(part.column(c).to_pylist() for c in ("wrapper", "pages", "common")), strict=True))
+        out = Inferred(json.loads(found[0][0]), found[0][1], set(found[0][2]))
+        for nodes, n, common in found[1:]:
+            out.join(Inferred(json.loads(nodes), n, set(common)))
+        return part.column("host")[0].as_py(), part.column("part")[0].as_py(), out
 
     def merge(part: pa.Table) -> pa.Table:
-        rows = sorted(zip(part.column("wrapper").to_pylist(), part.column("pages").to_pylist(), strict=True))
-        wrapper = json.loads(rows[0][0])
-        for other, _ in rows[1:]:
-            wrapper = align(wrapper, json.loads(other))
-        paths = article_paths(wrapper, sum(n for _, n in rows))
-        return pa.table({"host": [part.column("host")[0].as_py()], "paths": [paths]}, schema=merged_schema)
+        host, number, out = joined(part)
+        return pa.table(rows({host: out}, number), schema=schema)
+
+    last_schema = pa.schema([("host", pa.string()), ("paths", pa.list_(pa.string())), ("template", pa.list_(pa.string()))])
+
+    def last(part: pa.Table) -> pa.Table:
+        host, _, out = joined(part)
+        template = sorted(out.common) if out.pages >= LEAST_PAGES else []
+        return pa.table({"host": [host], "paths": [article_paths(out.nodes, out.pages)], "template": [template]}, schema=last_schema)
 
-    return pages.select("host", "html").mapInArrow(infer, "host string, wrapper string, pages long").groupBy("host").applyInArrow(merge, "host string, paths array<string>")
+    found = pages.select("host", "html").mapInArrow(infer, ddl)
+    for _ in range(2):  # a tree: no task merges the wrappers of more than MERGED others, up to MERGED ** 3 tasks
+        found = found.withColumn("part", F.floor(F.col("part") / MERGED)).groupBy("host", "part").applyInArrow(merge, ddl)
+    return found.groupBy("host").applyInArrow(last, "host string, paths array<string>, template array<string>")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -387,11 +510,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     rows = pages.select(F.col("page_id"), F.col("url"), F.coalesce("html", F.lit("")).alias("html"), F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))).alias("host"))
 
     @F.pandas_udf("string")
-    def read(html_, paths):  # noqa: ANN001, ANN202
+    def read(html_, paths, template):  # noqa: ANN001, ANN202
         import pandas as pd
 
-        return pd.Series([extract(h, set(p) if p is not None else set()) for h, p in zip(html_, paths, strict=True)])
+        listed = lambda x: set(x) if x is not None else set()
+        return pd.Series([extract(h, listed(p), listed(t)) for h, p, t in zip(html_, paths, template, strict=True)])
 
     # written first: a small table is then broadcast by its size, and a host with very many pages can be split
     found = rows.join(materialize(wrappers(rows), "wrappers"), "host", "left")
-    return found.select("page_id", "url", read("html", "paths").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return found.select("page_id", "url", read("html", "paths", "template").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
