@@ -16,7 +16,8 @@ streams its range and holds two documents.
 
 Cases: null text is empty and has the empty fingerprint; a text with fewer
 than k code points has the hash of the whole; two empty fingerprints are
-alike (1.0), an empty and another are not (0.0); equal doc_ids follow each
+alike (1.0), an empty and another are not (0.0); likeness is that of the
+fingerprints as returned; equal doc_ids follow each
 other in order of their text; a null doc_id comes first; a single document
 follows itself; an empty table gives an empty result; other columns are
 ignored.
@@ -61,7 +62,12 @@ def winnow(text: str, powers: Powers, k: int = K, window: int = WINDOW) -> tuple
 
 def encoded(hashes: np.ndarray, places: np.ndarray) -> str:
     """hash:position pairs, 32 bits of the hash in hex and the position in decimal."""
-    return " ".join(f"{h:08x}:{p}" for h, p in zip((hashes >> np.uint64(32)).tolist(), places.tolist(), strict=True))
+    return " ".join(f"{h:08x}:{p}" for h, p in zip(published(hashes).tolist(), places.tolist(), strict=True))
+
+
+def published(hashes: np.ndarray) -> np.ndarray:
+    """The 32 bits of each hash that a fingerprint shows, and that are compared."""
+    return hashes >> np.uint64(32)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
@@ -111,8 +117,10 @@ def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
         earlier = F.create_map(*[F.lit(x) for p, q in before.items() for x in (p, q)])
         again = dealt.where(opening).withColumn("part", earlier[F.col("part")].cast("int")).withColumn("sentinel", F.lit(True))
     moved = dealt.withColumn("sentinel", F.lit(False)).unionByName(again)
+    order_ = F.create_map(*[F.lit(x) for i, p in enumerate(present) for x in (p, i)])[F.col("part")].cast("int") if present else F.lit(0)
     # the first document's copy stands after the last range, or after itself in a table of one range
-    moved = moved.repartition(max(parts, len(present)), "part").sortWithinPartitions("part", "sentinel", F.col("doc_id").asc_nulls_first(), "text")
+    # one range to a task: dealt by hash, some tasks would get several
+    moved = moved.withColumn("task", order_).repartitionById(max(1, len(present)), "task").drop("task").sortWithinPartitions("part", "sentinel", F.col("doc_id").asc_nulls_first(), "text")
     schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +128,7 @@ def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
 
         def marks(text: str) -> tuple[str, np.ndarray]:
             hashes, places = winnow(text, powers, k, window)
-            return encoded(hashes, places), np.unique(hashes)
+            return encoded(hashes, places), np.unique(published(hashes))
 
         held: tuple | None = None
         closed = None
