@@ -10,7 +10,10 @@ users write them. Record ids are name-based UUIDs of the content, so a lost
 task makes the same records again. Everything is row by row; nothing moves.
 
 Cases: null html is an empty payload, null url an empty target; a response
-whose block is no HTTP message is taken as a payload without headers;
+whose block is no HTTP message is taken as a payload without headers; chunked,
+gzip and deflate payloads are decoded (a broken encoding as far as it goes);
+a response that is no page (another status than 200, another type than HTML
+or plain text) has a metadata record and no conversion;
 records of another type give no derivatives; broken records raise
 ``ValueError`` in ``parse``; repeated rows each give their records, with the
 same ids; an empty table gives an empty result; other columns are ignored.
@@ -19,14 +22,16 @@ same ids; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparvane.llm import html_text
@@ -98,6 +103,64 @@ def split_http(block: bytes) -> tuple[list[str], bytes]:
     return head.decode("utf-8", "replace").split("\r\n"), payload
 
 
+def payload_of(lines: list[str], payload: bytes) -> bytes:
+    """The payload as the server meant it: chunks joined, then gzip and deflate undone.
+
+    What does not hold to its encoding is left as it is from there on.
+    """
+    headers = [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])]
+    if (get(headers, "Transfer-Encoding") or "").lower() == "chunked":
+        payload = _dechunked(payload)
+    for coding in reversed((get(headers, "Content-Encoding") or "").lower().split(",")):
+        if coding.strip() in ("gzip", "x-gzip", "deflate"):
+            payload = _inflated(payload)
+    return payload
+
+
+def _dechunked(data: bytes) -> bytes:
+    out, at = [], 0
+    while True:
+        end = data.find(b"\r\n", at)
+        try:
+            size = int(data[at:end].split(b";")[0], 16) if end >= 0 else -1
+        except ValueError:
+            size = -1
+        if size < 0:  # no chunk begins here
+            return b"".join([*out, data[at:]])
+        if size == 0:
+            return b"".join(out)
+        out.append(data[end + 2 : end + 2 + size])
+        at = end + 2 + size + 2
+        if at > len(data):
+            return b"".join(out)
+
+
+def _inflated(data: bytes) -> bytes:
+    """gzip, zlib or raw deflate, in one or several members; cut short where the data are."""
+    out = []
+    while data:
+        for kind in (47, -15):  # a gzip or zlib head, or none
+            engine = zlib.decompressobj(kind)
+            try:
+                out.append(engine.decompress(data) + engine.flush())
+                break
+            except zlib.error:
+                continue
+        else:
+            return b"".join(out) if out else data
+        data = engine.unused_data
+    return b"".join(out)
+
+
+def is_text(lines: list[str]) -> bool:
+    """Whether a response is a page: no HTTP head, or a 200 of HTML, XHTML or plain text (where it says so)."""
+    if not lines:
+        return True
+    status = lines[0].split(" ")[1:2]
+    kind = (get([(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])], "Content-Type") or "text/html").split(";")[0].strip().lower()
+    return status == ["200"] and kind in ("text/html", "application/xhtml+xml", "text/plain")
+
+
 def response(page_id: int | None, url: str, page: str) -> bytes:
     payload = page.encode("utf-8", "surrogatepass")
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
@@ -114,10 +177,12 @@ def response(page_id: int | None, url: str, page: str) -> bytes:
 
 
 def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes]]:
-    """Metadata and conversion record of one record, none for other types than response."""
+    """Metadata and conversion record of one record, none for other types than response; no conversion of what is no page."""
     if (get(headers, "WARC-Type") or "").lower() != "response":
         return []
     lines, payload = split_http(block)
+    payload_digest = get(headers, "WARC-Payload-Digest") or digest(payload)
+    payload, page_like = payload_of(lines, payload), is_text(lines)
     source, target, date = get(headers, "WARC-Record-ID") or "", get(headers, "WARC-Target-URI") or "", get(headers, "WARC-Date") or DATE
     charset = CHARSET.search("\n".join(lines)) or CHARSET.search(payload[:1024].decode("ascii", "replace"))
     name = charset[1].lower() if charset else "utf-8"
@@ -125,6 +190,7 @@ def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes]]:
         page = payload.decode(name, "replace")
     except LookupError:
         name, page = "utf-8", payload.decode("utf-8", "replace")
+    page = page if page_like else ""
     title = TITLE.search(page)
     meta = [
         *(f"http-header: {one_line(x)}" for x in lines),
@@ -132,10 +198,11 @@ def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes]]:
         f"title: {one_line(html.unescape(title[1])) if title else ''}",
         *(f"outlink: {one_line(html.unescape(''.join(m)))}" for m in LINK.findall(page)),
     ]
-    text = html_text.extract(page, set())
-    payload_digest = get(headers, "WARC-Payload-Digest") or digest(payload)
+    made = [("metadata", "\r\n".join([*meta, ""]), "application/warc-fields")]
+    if page_like:
+        made.append(("conversion", html_text.extract(page, set()), "text/plain"))
     out = []
-    for kind, body, content_type in (("metadata", "\r\n".join([*meta, ""]), "application/warc-fields"), ("conversion", text, "text/plain")):
+    for kind, body, content_type in made:
         data = body.encode("utf-8", "surrogatepass")
         out.append((
             [
@@ -170,6 +237,26 @@ def responses(pages: DataFrame) -> DataFrame:
     return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(run, "page_id long, record binary")
 
 
+def files(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, record): the records of .warc and .warc.gz files, numbered within their file; a file is read by one task."""
+    schema = pa.schema([("page_id", pa.int64()), ("record", pa.binary())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content in batch.column("content"):
+                data = content.as_py()
+                found = [encode([h for h in headers if h[0].lower() != "content-length"], block) for headers, block in parse(_inflated(data) if data[:2] == b"\x1f\x8b" else data)]
+                for at in range(0, len(found), 500):
+                    yield table({"page_id": list(range(at, min(at + 500, len(found)))), "record": found[at : at + 500]}, schema)
+
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "page_id long, record binary")
+
+
+def file_of(records: list[bytes]) -> bytes:
+    """The bytes of a .warc.gz file: each record a gzip member of its own, as readers expect."""
+    return b"".join(gzip.compress(x, mtime=0) for x in records)
+
+
 def derivatives(records: DataFrame) -> DataFrame:
     """(page_id, record) -> the derivatives of each response, with their headers as columns and their bytes in ``record``."""
     names = ["warc_type", "record_id", "refers_to", "target_uri", "source_payload_digest", "block_digest"]

@@ -59,3 +59,43 @@ def test_all_pages(spark):
     made = warc.derivatives(warc.responses(df)).collect()
     assert all(warc.parse(bytes(r.record)) and hashlib.sha256(bytes(r.record)).hexdigest() in {g.record_sha256 for g in got} for r in made)
     assert warc.digests(df.limit(0)).collect() == []
+
+
+def http(head: str, payload: bytes) -> tuple[list, bytes]:
+    return [("WARC-Type", "response"), ("WARC-Record-ID", "<urn:uuid:1>"), ("WARC-Target-URI", "http://x/")], head.replace("\n", "\r\n").encode() + b"\r\n\r\n" + payload
+
+
+def test_encoded_payloads_are_decoded():
+    import gzip
+    import zlib
+
+    page = "<p>Größe und Text</p>".encode()
+    packed = gzip.compress(page)
+    chunked = b"".join(b"%x;n=1\r\n%s\r\n" % (len(packed[i : i + 7]), packed[i : i + 7]) for i in range(0, len(packed), 7)) + b"0\r\n\r\n"
+    raw = zlib.compressobj(wbits=-15)
+    cases = [
+        ("HTTP/1.1 200 OK\nContent-Type: text/html; charset=utf-8\nContent-Encoding: gzip", packed),
+        ("HTTP/1.1 200 OK\nContent-Encoding: gzip\nTransfer-Encoding: chunked", chunked),
+        ("HTTP/1.1 200 OK\nContent-Encoding: deflate", zlib.compress(page)),
+        ("HTTP/1.1 200 OK\nContent-Encoding: deflate", raw.compress(page) + raw.flush()),
+        ("HTTP/1.1 200 OK\nContent-Encoding: gzip", page),  # says so and is not
+        ("HTTP/1.1 200 OK\nTransfer-Encoding: chunked", page),
+    ]
+    for head, payload in cases:
+        made = warc.derive(*http(head, payload))
+        assert [h[0][1] for h, _ in made] == ["metadata", "conversion"] and made[1][1].decode() == "Größe und Text", head
+
+
+def test_what_is_no_page_has_no_conversion():
+    for head in ("HTTP/1.1 301 Moved\nLocation: /y\nContent-Type: text/html", "HTTP/1.1 200 OK\nContent-Type: image/png", "HTTP/1.1 404 No"):
+        made = warc.derive(*http(head, b"\x89PNG <p>x</p>"))
+        assert [h[0][1] for h, _ in made] == ["metadata"] and b"http-header" in made[0][1]
+
+
+def test_files_round_trip(spark, tmp_path):
+    records = [warc.response(i, f"http://x/{i}", f"<p>text {i}</p>") for i in range(5)]
+    (tmp_path / "a.warc.gz").write_bytes(warc.file_of(records))
+    (tmp_path / "b.warc").write_bytes(b"".join(records[:2]))
+    got = warc.files(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r.record) for r in got) == sorted(records + records[:2])
+    assert warc.derivatives(warc.files(spark, str(tmp_path))).where("warc_type = 'conversion'").count() == 7
