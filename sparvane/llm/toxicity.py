@@ -154,8 +154,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
             columns = {c: [t and bool(s & listed) for t, s in zip(toxic, seen, strict=True)] for c, listed in CATEGORIES.items()}
             yield table(columns | {"doc_id": batch.column("doc_id"), "th": batch.column("th"), "toxic": toxic, "features": [document_features(t) for t in texts]}, schema)
 
-    # a doc_id may have several texts: the bound holds for rows, in an order that does not depend on how they are stored
-    drawn = rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id", "th"]).orderBy(F.xxhash64("doc_id", "th"), "doc_id", "th").limit(sample)
+    # a doc_id may have several texts: the bound holds for texts, in an order that does not depend on how they are stored
+    keys = rows.select("doc_id", "th").join(F.broadcast(chosen), "doc_id").distinct().orderBy(F.xxhash64("doc_id", "th"), "doc_id", "th").limit(sample)
+    drawn = rows.join(F.broadcast(keys), ["doc_id", "th"]).dropDuplicates(["doc_id", "th"])
     drawn = materialize(drawn.select("doc_id", "th", "toxic", "data").mapInArrow(featurize, ddl), "features")
     drawn = drawn.withColumn("fold", F.pmod("th", F.lit(FOLDS)).cast("int"))
     parts = drawn.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(c).alias(c) for c in CHAIN]).collect()
