@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from sparvane.llm.common import materialize, table, utf8
 from sparvane.llm.decontaminate import words
-from sparvane.llm.linear import Rows, fit, screened, sigmoid
+from sparvane.llm.linear import Rows, fit_few, screened, sigmoid
 
 #: Labelled documents that the models are fitted on.
 SAMPLE = 20_000
@@ -80,15 +80,14 @@ class Chain:
         self.known: dict[bytes, tuple[int, ...]] = {}
 
     @classmethod
-    def train(cls, features: list[np.ndarray], labels: np.ndarray, fold: np.ndarray, least_rows: int = LEAST_ROWS, l1: float = 1e-4, folds: int = FOLDS) -> Chain:
+    def train(cls, rows: Rows, labels: np.ndarray, fold: np.ndarray, l1: float = 1e-4, folds: int = FOLDS) -> Chain:
         """labels: a column for each model of the chain; fold: each document's, from 0 on."""
         self = cls()
-        rows = Rows(features, None, least_rows)
         everyone = np.ones(rows.n, bool)
 
         def model(y: np.ndarray, inside: np.ndarray, earlier: np.ndarray) -> tuple[Rows, np.ndarray, np.ndarray]:
             few = screened(rows, y, inside, LEAST_CHI)
-            return few, *fit(few, y, inside, earlier, l1, 0.0, steps=200)
+            return few, *fit_few(few, y, inside, earlier, l1, steps=200)
 
         earlier = np.zeros((rows.n, 0))
         columns = []
@@ -179,15 +178,24 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
     wanted = np.sort(pool.toArrow().column("f").to_numpy())
 
     def select(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Places in wanted instead of features."""
         for batch in batches:
-            lists = [np.array(x.as_py(), np.int32) for x in batch.column("features")]
-            yield table({c: batch.column(c) for c in ("doc_id", "th", *CHAIN)} | {"features": [x[np.isin(x, wanted)] for x in lists]}, schema)
-
-    got = drawn.drop("fold").mapInArrow(select, ddl).orderBy("doc_id", "th").toArrow()
+            lists = batch.column("features")
+            found = lists.flatten().to_numpy()
+            place = np.minimum(np.searchsorted(wanted, found), max(len(wanted) - 1, 0)).astype(np.int32)
+            keep = wanted[place] == found if len(wanted) else np.zeros(len(found), bool)
+            ends = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])]
+            places = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(place[keep], pa.int32()))
+            yield table({c: batch.column(c) for c in ("doc_id", "th", *CHAIN)} | {"features": places}, schema)
+
+    # the sample is put in order here: to sort it in the cluster would select twice
+    got = drawn.drop("fold").mapInArrow(select, ddl).toArrow()
+    got = got.take(np.lexsort((got.column("th").to_numpy(), got.column("doc_id").to_numpy()))).combine_chunks()
     y = np.column_stack([got.column(c).to_numpy(zero_copy_only=False) for c in CHAIN]).astype(float)
+    fold = got.column("th").to_numpy() % FOLDS
     lists = got.column("features").combine_chunks()
-    features = [lists[i].values.to_numpy().astype(np.int64) for i in range(len(lists))]
-    return Chain.train(features, y, got.column("th").to_numpy() % FOLDS)
+    counts, columns = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+    return Chain.train(Rows.indexed(counts, columns, wanted), y, fold)
 
 
 def scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from sparvane.llm import quality, toxicity
-from sparvane.llm.linear import Rows, fit, sigmoid
+from sparvane.llm.linear import Rows, fit, fit_few, sigmoid
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,6 +24,28 @@ def test_linear_model_finds_weights():
     assert ((sigmoid(rows.dot(w) + v[-1]) > 0.5) == (y > 0.5)).mean() > 0.99 and rows.names[np.argmax(w)] == 3
 
 
+def test_few_weights_are_those_of_a_long_fit_over_all_features():
+    rng = np.random.default_rng(4)
+    n, m, l1 = 800, 300, 2e-3
+    x = rng.random((n, m)) < rng.uniform(0.02, 0.6, m)
+    x[:, 7] = x[:, 5]  # a tie
+    y = (rng.random(n) < sigmoid(2.5 * x[:, 3] - 2.0 * x[:, 10] + 3.0 * x[:, 200] - 1.0)).astype(float)
+    inside, earlier = rng.random(n) < 0.7, rng.random((n, 1))
+    rows = Rows([np.flatnonzero(r) for r in x], None, 1)
+    assert rows.names.tolist() == list(range(m))
+
+    def loss(w, v):
+        p = np.clip(sigmoid(x @ w + earlier @ v[:-1] + v[-1]), 1e-12, 1 - 1e-12)[inside]
+        return -(y[inside] * np.log(p) + (1 - y[inside]) * np.log(1 - p)).mean() + l1 * np.abs(w).sum()
+
+    best = loss(*fit(rows, y, inside, earlier, l1, 0.0, steps=20_000))
+    w, v = fit_few(rows, y, inside, earlier, l1, steps=400, more=8)
+    assert abs(loss(w, v) - best) < 2e-3 * best
+    few = rows.only(np.arange(m) % 2 == 0)
+    assert np.allclose(few.dot(w[::2]), x[:, ::2] @ w[::2]) and np.allclose(few.transposed_dot(y), x[:, ::2].T @ y)
+    assert not fit_few(rows.only(np.zeros(m, bool)), y, inside, earlier, l1)[0].size
+
+
 def test_em_recovers_accuracies():
     rng = np.random.default_rng(1)
     n, m = 20_000, len(quality.LABELLERS)
