@@ -85,9 +85,14 @@ def bad_sentence(sentence: Column) -> Column:
     return F.coalesce(let(F.struct(bare.alias("s"), F.regexp_replace(bare, r"(?U)\s+", "").alias("dense")), lambda v: _judge(v["s"], v["dense"])), F.lit(True))
 
 
+def kept_sentences(found: Column) -> Column:
+    """Of an array of sentences, tidied, those that pass the filter, in order."""
+    return F.filter(F.transform(found, tidy), lambda s: ~bad_sentence(s))
+
+
 def clean_sentences(text: Column) -> Column:
-    """Tidied sentences that pass the filter, in order."""
-    return F.filter(F.transform(sentences(text), tidy), lambda s: ~bad_sentence(s))
+    """Tidied sentences of a text that pass the filter, in order."""
+    return kept_sentences(sentences(text))
 
 
 def judged_sentences(df: DataFrame, keys: list[str], text: Column) -> DataFrame:

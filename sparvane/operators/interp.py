@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from sparvane.functions.clean import finite
 
+#: Everything below this, 0 and negative numbers too, has one logarithmic bucket.
+LEAST = 1e-12
+
 
 def segments(grid: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     """(keys, x0, y0, x1, y1): neighbouring grid points; the last point is a segment of no length."""
@@ -19,11 +22,11 @@ def interpolate(points: DataFrame, grid: DataFrame, keys: list[str], x: str, gri
 
     Null where there is no curve or no x; outside the grid 0, null or the
     nearest end ("zero", "null", "clamp"). Points and segments meet by an
-    equality on keys and bucket (of ``width`` in x, or its decimal logarithm)
-    and a range within: a curve with very many points is many small groups,
+    equality on keys and bucket (of ``width`` in x, or its decimal logarithm
+    from LEAST on) and a range within: a curve with very many points is many small groups,
     and nothing is sorted per curve.
     """
-    bucket = lambda c: F.floor((F.log10(c) if log else c) / F.lit(width)).cast("long")
+    bucket = lambda c: F.floor((F.log10(F.greatest(c, F.lit(LEAST))) if log else c) / F.lit(width)).cast("long")
     cut = segments(grid, keys, grid_x, grid_y)
     filed = cut.withColumn("bucket", F.explode(F.sequence(bucket(F.col("x0")), bucket(F.coalesce("x1", "x0")))))
     ends = grid.groupBy(*keys).agg(F.min(grid_x).alias("lo"), F.max(grid_x).alias("hi"), F.min_by(grid_y, grid_x).alias("lo_y"), F.max_by(grid_y, grid_x).alias("hi_y"))

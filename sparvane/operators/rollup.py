@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _joined(value: str, order: str, separator: str) -> Column:
-    """Values of the group in their order, joined."""
-    seen = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
-    return F.array_join(F.transform(seen, lambda s: s["v"].cast("string")), separator)
+def _joined(rows: Column, order: str, value: str, separator: str) -> Column:
+    """Values of the group's rows that pass, in their order, joined."""
+    seen = F.array_sort(F.collect_list(F.when(rows, F.struct(F.col(order).alias("o"), F.col(value).alias("v")))))
+    return F.array_join(F.transform(seen, lambda s: s["v"]), separator)
 
 
 def subentries(df: DataFrame, key: str, firsts: list[str], order: str, energy: str = "Energy", error: str = "dData") -> DataFrame:
@@ -27,21 +27,25 @@ def subentries(df: DataFrame, key: str, firsts: list[str], order: str, energy: s
 def entries(df: DataFrame, key: str, sets: dict[str, tuple[str, str]], subentry: str, order: str, error: str = "dData") -> DataFrame:
     """One row per key: different values joined in first-seen order, and counts.
 
-    sets: new column -> (column, separator). Values are reduced to one row
-    per key and value before they are gathered, so that a key with very many
-    rows gathers only its different values.
+    sets: new column -> (column, separator). All sets go through one scan:
+    values are reduced to one row per key, set and value before they are
+    gathered, so that a key with very many rows gathers only its different
+    values.
     """
-    out = df.groupBy(key).agg(
+    counts = df.groupBy(key).agg(
         F.count_distinct(subentry).alias("Num_Subentries"),
         F.count(F.lit(1)).alias("Num_Measurements"),
         F.count_if(F.col(error).isNull()).alias("Num_Missing_Uncertainty"),
         F.bool_and(F.col(error).isNotNull()).alias("Uncertainty_Complete"),
     )
-    for name, (column, separator) in sets.items():
-        once = df.where(F.col(column).isNotNull()).groupBy(key, column).agg(F.min(order).alias("__first"))
-        joined = once.groupBy(F.col(key).alias("__key")).agg(_joined(column, "__first", separator).alias(name))
-        out = out.join(joined, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key").withColumn(name, F.coalesce(name, F.lit("")))
-    return out
+    if not sets:
+        return counts
+    each = F.array(*[F.struct(F.lit(i).alias("i"), F.col(column).cast("string").alias("v")) for i, (column, _) in enumerate(sets.values())])
+    values = df.select(F.col(key).alias("__key"), F.col(order).alias("__order"), F.inline(each).alias("__set", "__value")).where("__value is not null")
+    once = values.groupBy("__key", "__set", "__value").agg(F.min("__order").alias("__first"))
+    joined = once.groupBy("__key").agg(*[_joined(F.col("__set") == i, "__first", "__value", separator).alias(name) for i, (name, (_, separator)) in enumerate(sets.items())])
+    out = counts.join(joined, F.col(key).eqNullSafe(F.col("__key")), "left").drop("__key")
+    return out.withColumns({name: F.coalesce(name, F.lit("")) for name in sets})
 
 
 def channel_summary(df: DataFrame, channel: list[str], flags: dict[str, Column]) -> DataFrame:

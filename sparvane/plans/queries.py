@@ -159,6 +159,93 @@ def gate_all_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _imputed(lines(spark, sf_dir), ["data", "error", "energy_error"])
 
 
+# ---- whole entry points ----------------------------------------------------------------------------------------------
+
+
+def source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The measurement source from events: channels by type, targets by user; some are natural, unknown or of another projectile."""
+    k, user = F.regexp_extract("props", "[0-9]+", 0).cast("int"), F.col("user_id")
+    chosen = lambda names: F.get(F.array(*[F.lit(n) for n in names]), (user % len(names)).cast("int"))
+    reaction = F.when(F.col("event_type") == "click", "N,TOT").when(F.col("event_type") == "purchase", "N,EL").when(F.col("event_type") == "view", "N,G").otherwise("P,EL")
+    return read(spark, sf_dir, "events").select(
+        F.col("event_id").alias("measurement_id"),
+        reaction.alias("Reaction"),
+        F.lit("n").alias("Projectile"),
+        F.col("value").alias("En"),
+        F.when((k % 5 != 0) & (user % 3 != 0), F.col("value") / 100).alias("dEn"),
+        (F.col("value") * 2 + 1).alias("Sig"),
+        F.when(~((user % 4 == 0) & (k < 50)), F.col("value") * (k + 1) / 100.0).alias("dSig"),
+        F.length("event_type").cast("short").alias("MT"),
+        F.lit("d").alias("DatasetID"),
+        user.cast("string").alias("Entry"),
+        F.concat(user.cast("string"), F.lit("-"), (F.col("event_id") % 3).cast("string")).alias("Subent"),
+        (user % 30 + 1990).cast("short").alias("YearRef1"),
+        F.lit("A.").alias("Author1Ini"),
+        F.lit("B").alias("Author1"),
+        chosen(["Fe-56", "U-238", "H-1", "Xx-4", "U"]).alias("Target"),
+        F.lit("c").alias("fullCode"),
+    )
+
+
+def source_curves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Curves of two evaluations from orders: highest price by 60 points from 0 on; not every isotope and channel has one."""
+    b = (F.col("o_orderkey") % 60).cast("double")
+    points = read(spark, sf_dir, "orders").groupBy((b * b * 0.37).alias("energy")).agg((F.max("o_totalprice") / 1000).alias("xs"))
+    known = [("endf7-1", 26, 56, 1), ("endf7-1", 26, 56, 2), ("endf7-1", 1, 1, 1), ("endf8", 26, 56, 1), ("endf8", 26, 56, 102), ("endf8", 92, 238, 1), ("endf8", 92, 238, 2), ("endf8", 92, 238, 102)]
+    each = F.array(*[F.struct(F.lit(e).alias("evaluation"), *[F.lit(n).cast("short").alias(c) for c, n in (("Z", z), ("A", a), ("MT", mt))]) for e, z, a, mt in known])
+    return points.select(F.inline(each), "energy", (F.col("xs") + F.col("Z")).alias("xs"))
+
+
+SOURCE = """s0 AS (SELECT *, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS kk FROM events),
+so AS (SELECT event_id AS measurement_id, CASE event_type WHEN 'click' THEN 'N,TOT' WHEN 'purchase' THEN 'N,EL' WHEN 'view' THEN 'N,G' ELSE 'P,EL' END AS reaction, value AS energy,
+  CASE WHEN kk % 5 <> 0 AND user_id % 3 <> 0 THEN value / 100 END AS denergy, value * 2 + 1 AS data, CASE WHEN NOT (user_id % 4 = 0 AND kk < 50) THEN value * (kk + 1) / 100.0 END AS ddata,
+  ['Fe', 'U', 'H', 'Xx', 'U'][user_id % 5 + 1] AS element, [26, 92, 1, 0, 92][user_id % 5 + 1] AS z, [56, 238, 1, 4, -1][user_id % 5 + 1] AS a FROM s0),
+ch AS (SELECT *, CASE reaction WHEN 'N,TOT' THEN 1 WHEN 'N,EL' THEN 2 ELSE 102 END AS mt FROM so WHERE z >= 1 AND a >= 1 AND reaction <> 'P,EL'),
+cv AS (SELECT evaluation, z, a, mt, energy, xs + z AS xs FROM (SELECT CAST(o_orderkey % 60 AS DOUBLE) * CAST(o_orderkey % 60 AS DOUBLE) * CAST(0.37 AS DOUBLE) AS energy, max(o_totalprice) / 1000 AS xs FROM orders GROUP BY 1) CROSS JOIN
+  (VALUES ('endf7-1', 26, 56, 1), ('endf7-1', 26, 56, 2), ('endf7-1', 1, 1, 1), ('endf8', 26, 56, 1), ('endf8', 26, 56, 102), ('endf8', 92, 238, 1), ('endf8', 92, 238, 2), ('endf8', 92, 238, 102)) k(evaluation, z, a, mt)),
+sg AS (SELECT evaluation, z, a, mt, energy AS x0, xs AS y0, lead(energy) OVER w AS x1, lead(xs) OVER w AS y1 FROM cv WINDOW w AS (PARTITION BY evaluation, z, a, mt ORDER BY energy)),
+ed AS (SELECT evaluation, z, a, mt, min(energy) AS lo, max(energy) AS hi FROM cv GROUP BY ALL)"""
+CURVE_AT = """CASE WHEN d.lo IS NULL THEN NULL WHEN p.energy < d.lo OR p.energy > d.hi THEN 0.0 ELSE g.y0 + coalesce((p.energy - g.x0) * (g.y1 - g.y0) / nullif(g.x1 - g.x0, 0), 0.0) END"""
+#: One pass over an evaluation: the gate's further condition, the frame before and the names of its columns.
+PASS = """f{n} AS (SELECT z, a, reaction, CASE WHEN bool_or(ddata IS NOT NULL AND denergy IS NOT NULL{gate}) THEN least(quantile_cont(ddata / nullif(data, 0), 0.9), 10) END AS f FROM {before} GROUP BY ALL),
+a{n} AS (SELECT b.*, coalesce(ddata, data * coalesce(f, q)) AS assumed{n} FROM {before} b JOIN f{n} USING (z, a, reaction) CROSS JOIN gq),
+e{n} AS (SELECT p.*, {at} AS xs{n} FROM a{n} p LEFT JOIN (FROM ed WHERE evaluation = '{ev}') d ON p.z = d.z AND p.a = d.a AND p.mt = d.mt
+  ASOF LEFT JOIN (FROM sg WHERE evaluation = '{ev}') g ON p.z = g.z AND p.a = g.a AND p.mt = g.mt AND p.energy >= g.x0),
+m{n} AS (SELECT *, (data - xs{n}) * (data - xs{n}) / nullif(assumed{n}, 0) AS chi{n}, (data - xs{n}) / nullif(xs{n}, 0) * 100 AS rel{n} FROM e{n})"""
+PASSES = f"""{SOURCE}, gq AS (SELECT quantile_cont(ddata / nullif(data, 0), 0.9) AS q FROM so),
+{PASS.format(n=1, gate="", before="ch", ev="endf7-1", at=CURVE_AT)},
+{PASS.format(n=2, gate=" AND xs1 IS NOT NULL AND chi1 IS NOT NULL AND rel1 IS NOT NULL AND assumed1 IS NOT NULL", before="m1", ev="endf8", at=CURVE_AT)}"""
+
+
+@query(
+    f"""WITH {PASSES} SELECT measurement_id, CAST(z AS SMALLINT) AS z, CAST(a AS SMALLINT) AS a, reaction, round(assumed2, 6) AS assumed,
+{", ".join(f"round({c}{n}, {d}) AS {c}{n}" for n in (1, 2) for c, d in (("xs", 6), ("chi", 3), ("rel", 6)))} FROM m2"""
+)
+def measurements_two_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = ingest.measurements(source(spark, sf_dir), source_curves(spark, sf_dir))
+    names = [(f"`{ev}{tail}`", f"{c}{n}", d) for n, ev in enumerate(ingest.EVALUATIONS, 1) for tail, c, d in (("", "xs", 6), ("_chi_squared", "chi", 3), ("_relative_error", "rel", 6))]
+    return df.select("measurement_id", F.col("Z").alias("z"), F.col("A").alias("a"), F.col("Reaction").alias("reaction"), F.round("dData_assumed", 6).alias("assumed"), *[F.round(c, d).alias(n) for c, n, d in names])
+
+
+@query(
+    f"""WITH {SOURCE}, p AS (SELECT evaluation, z, a, mt, power(10.0::DOUBLE, -5.0::DOUBLE + 12.0::DOUBLE * i / 999) AS energy FROM (SELECT DISTINCT evaluation, z, a, mt FROM cv) CROSS JOIN range(1000) r(i))
+SELECT p.evaluation, CAST(p.z AS SMALLINT) AS z, CAST(p.a AS SMALLINT) AS a, CAST(p.mt AS SMALLINT) AS mt, round(p.energy, 6) AS energy, round({CURVE_AT}, 6) AS xs FROM p
+JOIN ed d ON p.evaluation = d.evaluation AND p.z = d.z AND p.a = d.a AND p.mt = d.mt ASOF LEFT JOIN sg g ON p.evaluation = g.evaluation AND p.z = g.z AND p.a = g.a AND p.mt = g.mt AND p.energy >= g.x0"""
+)
+def curve_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grids = ingest.curve_grids(source_curves(spark, sf_dir))
+    return grids.select("evaluation", F.col("Z").alias("z"), F.col("A").alias("a"), F.col("MT").alias("mt"), F.round("energy", 6).alias("energy"), F.round("xs", 6).alias("xs"))
+
+
+@query(
+    f"""WITH {SOURCE}, kn AS (SELECT z, a, mt, bool_or(evaluation = 'endf7-1') AS e1, bool_or(evaluation = 'endf8') AS e2 FROM cv GROUP BY ALL)
+SELECT DISTINCT CAST(z AS SMALLINT) AS z, CAST(a AS SMALLINT) AS a, element AS symbol, 'n' AS projectile, reaction, CAST(mt AS SMALLINT) AS mt, coalesce(e1, false) AS has_endf7, coalesce(e2, false) AS has_endf8 FROM ch LEFT JOIN kn USING (z, a, mt)"""
+)
+def channel_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = ingest.channel_summary(source(spark, sf_dir), source_curves(spark, sf_dir))
+    return df.select(*[F.col(c).alias(c.lower()) for c in ("Z", "A", "Symbol", "Projectile", "Reaction", "MT")], F.col("`has_endf7-1`").alias("has_endf7"), "has_endf8")
+
+
 # ---- derivations and filters -------------------------------------------------------------------------------------------
 
 
@@ -351,6 +438,20 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.crossJoin(c).select("vec_id", "template", F.round(vectors.cosine(F.col("embedding"), F.col("mean")), 6).alias("sim"))  # sentences x templates, as asked
 
 
+@query(
+    """WITH t AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, unnest(range(16)) AS token FROM embeddings),
+k AS (SELECT vec_id, e, token, CASE WHEN vec_id % 50 = 0 OR (vec_id + token) % 3 = 0 THEN 0 ELSE 1 END AS mask FROM t),
+p AS (SELECT vec_id, mask, unnest(range(4)) AS pos, unnest(e[token * 4 + 1 : token * 4 + 4]) AS v FROM k)
+SELECT vec_id, CAST(pos AS INT) AS pos, round(sum(v * mask) / greatest(sum(mask), CAST(1e-9 AS DOUBLE)), 6) + 0.0 AS v FROM p GROUP BY vec_id, pos"""
+)
+def masked_mean_pooling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each vector as 16 tokens of four dimensions, with a mask; some have no token left."""
+    tokens = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda t: F.slice("embedding", t * 4 + 1, F.lit(4)))
+    mask = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda t: F.when((F.col("vec_id") % 50 == 0) | ((F.col("vec_id") + t) % 3 == 0), 0).otherwise(1))
+    pooled = read(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(vectors.masked_mean(tokens, mask)).alias("pos", "v"))
+    return pooled.select("vec_id", "pos", (F.round("v", 6) + F.lit(0.0)).alias("v"))
+
+
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = read(spark, sf_dir, "embeddings").select(F.col("label").alias("EXFOR_Entry"), F.col("vec_id").alias("Sentence_Number"), F.col("embedding").alias("Embedding"))
     s = v.withColumn("category", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2)))).withColumn("gate", F.when(F.col("Sentence_Number") % 3 == F.col("category"), 1.0).otherwise(0.9))
@@ -423,6 +524,12 @@ def incomplete_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("measurement_id", F.col("EXFOR_Entry").alias("entry"))
 
 
+@query(f"WITH {M} SELECT measurement_id, entry FROM m ANTI JOIN supplier ON s_suppkey = entry")
+def without_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reports = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("EXFOR_Entry"))
+    return imputation.without_report(events(spark, sf_dir), reports).select("measurement_id", F.col("EXFOR_Entry").alias("entry"))
+
+
 @query(f"WITH {M}, {R} SELECT target_entry, entry, round(report_distance, 6) AS report_distance FROM rp")
 def report_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = imputation.report_pairs(_reports(spark, sf_dir), _entries(spark, sf_dir), ["s1", "s2"])

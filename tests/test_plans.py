@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import types as T
 
 from sparvane.plans import imputation, ingest, reports
-from sparvane.sources import readers, sinks
+from sparvane.sources import ace, readers, sinks
 from sparvane.streaming import incremental
 
 ROWS = [
@@ -104,7 +104,77 @@ def test_blobs(spark):
 
 def test_row_ids(spark):
     df = readers.with_row_ids(spark.createDataFrame([(3,), (1,), (2,)], "x int"))
-    assert [x.x for x in df.orderBy("measurement_id").collect()] == [1, 2, 3]
+    assert [(x.x, x.measurement_id) for x in df.orderBy("measurement_id").collect()] == [(1, 0), (2, 1), (3, 2)]
+    rows = spark.createDataFrame([(i * 7919 % 1000 // 3, i % 5) for i in range(1000)], "x int, y int")
+    ids = lambda n: sorted(tuple(r) for r in readers.with_row_ids(rows.repartition(n), ["y"]).collect())
+    assert ids(1) == ids(7) and [r[2] for r in sorted(ids(7), key=lambda r: (r[1], r[0], r[2]))] == list(range(1000))
+    assert readers.with_row_ids(rows.limit(0)).count() == 0
+
+
+def ace_table(za, xss, nes, ntr, places, new=False):
+    numbers = lambda xs, width, each: "".join("".join(f"{x:>{width}}" for x in xs[i : i + each]) + "\n" for i in range(0, len(xs), each))
+    jxs = [places.get(i, 0) for i in range(1, 33)]
+    head = f"2.0.0 {za}.800nc made\n 55.45 2.5E-08 2026-01-01 2\none\ntwo\n" if new else f" {za}.80c   55.454400  2.5301e-08   01/01/26\ncomment\n"
+    return head + "  0 0.0\n" * 4 + numbers([len(xss), za, nes, ntr, *[0] * 12], 9, 8) + numbers(jxs, 9, 8) + numbers([f"{x:.11E}" for x in xss], 20, 4)
+
+
+def test_ace(spark, tmp_path):
+    energy = [1e-11, 1.0, 2.0, 3.0]
+    esz = [*energy, 10, 11, 12, 13, 1, 1, 1, 1, 9, 8, 7, 6, 0, 0, 0, 0]
+    # three reactions: capture everywhere, two inelastic levels from the second and the third energy on
+    xss = [*esz, 102, 51, 52, 1, 7, 12, 1, 4, 0.5, 0.25, 0.125, 0.0625, 2, 3, 0.0, 2, 3, 3, 2, 0.5, 0.75]
+    places = {1: 1, 3: 21, 6: 24, 7: 27}
+    folder = tmp_path / "endf8"
+    folder.mkdir()
+    (folder / "two.ace").write_text(ace_table(26056, xss, 4, 3, places) + ace_table(95642, esz, 4, 0, {1: 1}, new=True))
+    got = {}
+    for r in readers.curves_from_files(spark, str(folder), ace.decode).collect():
+        got.setdefault((r.evaluation, r.Z, r.A, r.MT), []).append((r.energy, r.xs))
+    ev = [e * 1e6 for e in energy]
+    assert got["endf8", 26, 56, 1] == list(zip(ev, [10, 11, 12, 13], strict=True)) and got["endf8", 26, 56, 2] == list(zip(ev, [9, 8, 7, 6], strict=True))
+    assert got["endf8", 26, 56, 102] == list(zip(ev, [0.5, 0.25, 0.125, 0.0625], strict=True))
+    assert got["endf8", 26, 56, 52] == list(zip(ev[2:], [0.5, 0.75], strict=True))
+    assert got["endf8", 26, 56, 4] == [(ev[1], 0.0), (ev[2], 2.5), (ev[3], 3.75)]
+    assert {k[1:3] for k in got if k[0] == "endf8"} == {(26, 56), (95, 242)} and len(got) == 6 + 2
+
+
+def test_curve_from_zero(spark):
+    grid = spark.createDataFrame([("endf8", 1, 1, 1, 0.0, 5.0), ("endf8", 1, 1, 1, 1.0, 7.0)], readers.CURVES)
+    got = [r.xs for r in ingest.curve_grids(grid, points=13).orderBy("energy").collect()]  # 1e-5, 1e-4 and so on
+    assert math.isclose(got[0], 5.00002) and math.isclose(got[4], 5.2) and got[6] == 0.0
+
+
+def test_model_and_splitter(spark, tmp_path):
+    r = spark.createDataFrame([("E1", "first one of the longer sentences|second one of the longer sentences"), ("E2", None)], "report_id string, text string")
+    found = reports.sentences(r, splitter=lambda t: t.split("|"))
+    assert sorted(tuple(x) for x in found.collect()) == [("E1", 1, "first one of the longer sentences"), ("E1", 2, "second one of the longer sentences")]
+    marks = str(tmp_path)
+
+    def load():
+        import os
+        import tempfile
+
+        os.close(tempfile.mkstemp(dir=marks)[0])
+
+        def encode(texts, most_tokens):
+            assert len(texts) <= 32
+            n = max((len(t.split()) for t in texts), default=0)
+            mask = np.array([[i < min(len(t.split()), most_tokens) for i in range(n)] for t in texts])
+            hidden = np.array([[[float(len(t.split()[i])) if i < len(t.split()) else 99.0, 1.0] for i in range(n)] for t in texts]).reshape(len(texts), n, 2)
+            return hidden, mask
+
+        return encode
+
+    df = spark.createDataFrame([(i, " ".join("a" * (j + 1) for j in range(i % 4))) for i in range(100)] + [(100, None)], "i int, t string").coalesce(1)
+    got = {x.i: x.v for x in df.select("i", reports.embed_by_model(df.t, load).alias("v")).collect()}
+    assert got[100] == [0.0, 0.0] and got[0] == [0.0, 0.0] and got[3] == [2.0, 1.0] and got[2] == [1.5, 1.0]
+    assert len(list(tmp_path.iterdir())) == 1  # loaded once for the task, not once a batch
+
+
+def test_without_report(spark):
+    df = spark.createDataFrame([("E1",), ("E2",), ("E2",), (None,)], "EXFOR_Entry string")
+    got = imputation.without_report(df, spark.createDataFrame([("E1",), ("E1",), (None,)], "EXFOR_Entry string"))
+    assert sorted(str(x.EXFOR_Entry) for x in got.collect()) == ["E2", "E2", "None"]
 
 
 def test_append_stream(spark, tmp_path):
