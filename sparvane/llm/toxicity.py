@@ -85,9 +85,11 @@ class Chain:
         self = cls()
         everyone = np.ones(rows.n, bool)
 
-        def model(y: np.ndarray, inside: np.ndarray, earlier: np.ndarray) -> tuple[Rows, np.ndarray, np.ndarray]:
+        def model(y: np.ndarray, inside: np.ndarray, earlier: np.ndarray) -> tuple[dict[int, float], np.ndarray, np.ndarray]:
+            """Weights by feature, dense weights, and every row's probability; the model's own rows end here, before the next model's are made."""
             few = screened(rows, y, inside, LEAST_CHI)
-            return few, *fit_few(few, y, inside, earlier, l1, steps=200)
+            w, v = fit_few(few, y, inside, earlier, l1, steps=200)
+            return dict(zip(few.names.tolist(), w.tolist(), strict=True)), v, sigmoid(few.dot(w) + earlier @ v[:-1] + v[-1])
 
         earlier = np.zeros((rows.n, 0))
         columns = []
@@ -95,11 +97,10 @@ class Chain:
             y = labels[:, k]
             guess = np.zeros(rows.n)
             for f in range(folds):
-                few, w, v = model(y, fold != f, earlier)
                 out = fold == f
-                guess[out] = sigmoid(few.dot(w) + earlier @ v[:-1] + v[-1])[out]
-            few, w, v = model(y, everyone, earlier)
-            columns.append(dict(zip(few.names.tolist(), w.tolist(), strict=True)))
+                guess[out] = model(y, ~out, earlier)[2][out]
+            weights, v, _ = model(y, everyone, earlier)
+            columns.append(weights)
             self.dense.append(v)
             earlier = np.column_stack([earlier, guess])
         used = sorted({f for c in columns for f, x in c.items() if x})
