@@ -1,4 +1,4 @@
-"""The ten queries of this subpackage and, where SQL can express them, their DuckDB twins."""
+"""The queries of this subpackage and, where SQL can express them, their DuckDB twins."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparvane.llm import decontaminate, html_text, oracles, packing, quality, sharding, suffix_dedup, toxicity, warc, winnowing
+from sparvane.llm import bpe, decontaminate, html_text, oracles, packing, quality, sharding, suffix_dedup, toxicity, warc, winnowing
 from sparvane.llm.common import documents, pages
 from sparvane.llm.simhash import simhash_components
 
@@ -53,8 +53,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digests(pages(spark, sf_dir))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_packing, op3_decontaminate, op4_sharding, op5_html_text, op6_quality, op7_toxicity, op8_suffix_dedup, op9_fingerprints, op10_warc)
+    found = (op1_simhash, op2_packing, op3_decontaminate, op4_sharding, op5_html_text, op6_quality, op7_toxicity, op8_suffix_dedup, op9_fingerprints, op10_warc, op11_byte_bpe)
     return {f.__name__: f for f in found}
 
 
