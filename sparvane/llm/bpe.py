@@ -36,11 +36,11 @@ from itertools import islice
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparvane.llm.common import column_bytes
+from sparvane.llm.common import slices, without
 
 NONE = np.int32(np.iinfo(np.int32).max)
 #: Pieces of more bytes are matrices of one row.
@@ -253,33 +253,18 @@ def encoder(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
-def _without(df: DataFrame, names: set[str]) -> list[Column]:
-    return [df[f"`{c}`"] for c in df.columns if c.lower() not in names]
-
-
-def _slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stretches of rows of about ``BATCH_BYTES``, one row at least."""
-    group = np.cumsum(sizes) // BATCH_BYTES
-    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
-    for a, b in zip(starts, [*starts[1:], len(sizes)], strict=True):
-        yield batch.slice(int(a), int(b - a))
-
-
 def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text") -> DataFrame:
     """The rows without their text, with n_tokens (long) and ids (binary: little-endian unsigned 32-bit integers).
 
     vocabulary: a file of ranks, the same path on every machine; pattern: what cuts a text into pieces.
     """
-    kept = df.select(*_without(df, {text.lower(), "n_tokens", "ids"}), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
+    kept = df.select(*without(df, {text.lower(), "n_tokens", "ids"}), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("__text"))
     schema = T.StructType([*kept.schema.fields[:-1], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary, pattern)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            offsets, _ = column_bytes(batch.column(batch.num_columns - 1).cast(pa.large_string()).cast(pa.large_binary()))
-            for part in _slices(batch, np.diff(offsets)):
+            for part in slices(batch, batch.column(batch.num_columns - 1), BATCH_BYTES):
                 ids = words.encode(part.column(part.num_columns - 1).to_pylist())
                 found = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(part.columns[:-1] + found, [f.name for f in schema])
@@ -289,16 +274,13 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text") ->
 
 def decode(df: DataFrame, vocabulary: str, pattern: str, ids: str = "ids") -> DataFrame:
     """The rows with decoded (binary), the bytes of their tokens; null ids are none."""
-    kept = df.select(*_without(df, {"decoded", ids.lower()}), F.coalesce(F.col(ids), F.lit(b"")).alias(ids))
+    kept = df.select(*without(df, {"decoded", ids.lower()}), F.coalesce(F.col(ids), F.lit(b"")).alias(ids))
     schema = T.StructType([*kept.schema.fields, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(vocabulary, pattern)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            offsets, _ = column_bytes(batch.column(batch.num_columns - 1))
-            for part in _slices(batch, np.diff(offsets)):
+            for part in slices(batch, batch.column(batch.num_columns - 1), BATCH_BYTES):
                 decoded = [words.decode(np.frombuffer(x.as_py(), "<u4")) for x in part.column(part.num_columns - 1)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], [f.name for f in schema])
 

@@ -71,6 +71,21 @@ def column_bytes(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
 
 
+def without(df: DataFrame, names: set[str]) -> list[Column]:
+    """The columns of df but those of the given lower-case names."""
+    return [df[f"`{c}`"] for c in df.columns if c.lower() not in names]
+
+
+def slices(batch: pa.RecordBatch, column: pa.Array, limit: int) -> Iterator[pa.RecordBatch]:
+    """Stretches of rows with about ``limit`` bytes of a binary column, one row at least."""
+    if not batch.num_rows:
+        return
+    group = np.cumsum(np.diff(column_bytes(column)[0])) // limit
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])).tolist()
+    for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def table(columns: dict[str, pa.Array | np.ndarray | list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 

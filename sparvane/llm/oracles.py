@@ -45,3 +45,18 @@ m AS (SELECT doc_id, size, crc, row_number() OVER (ORDER BY doc_id NULLS FIRST,
 f AS (SELECT doc_id, size, crc, n, CAST(ceil(sqrt(n)) AS BIGINT) AS a, p FROM m),
 walk AS ({image.format(source="f")} UNION ALL {image.format(source="(SELECT * FROM walk WHERE p >= n)")})
 SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(p % {n_shards} AS INT) AS shard, CAST(p // {n_shards} AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard FROM walk WHERE p < n"""
+
+
+def fill_in_middle() -> str:
+    """Code points by substring, draws from the digest's first four groups."""
+    draw = lambda i: f"CAST('0x' || substring(h, {8 * i + 1}, 8) AS BIGINT)"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, {draw(0)} AS h1, {draw(1)} AS h2, {draw(2)} AS h3, {draw(3)} AS h4 FROM d),
+c AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT doc_id, t, n, form, a, b, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p"""

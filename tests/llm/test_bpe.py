@@ -116,10 +116,3 @@ def test_columns(make):
     assert there.columns == ["doc_id", "lang", "source", "n_chars", "decoded", "a b", "n_tokens", "ids"]
     back = bpe.decode(there, PATH, PATTERN)
     assert sorted((bytes(r.decoded), r["a b"]) for r in back.collect()) == [(b"", [1]), (b"a b", [1])]
-
-
-def test_slices_by_bytes(make, monkeypatch):
-    batch = bpe.pa.record_batch({"x": bpe.pa.array(range(7))})
-    monkeypatch.setattr(bpe, "BATCH_BYTES", 10)
-    parts = [p.column(0).to_pylist() for p in bpe._slices(batch, np.array([3, 3, 3, 3, 50, 1, 1]))]
-    assert sum(parts, []) == list(range(7)) and len(parts) > 2

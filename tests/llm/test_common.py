@@ -2,6 +2,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import pyarrow as pa
+
 from sparvane.llm import common
 
 
@@ -12,3 +14,10 @@ def test_tables_are_written_to_the_shared_folder_and_released(spark):
     common.release(spark)
     assert not shared.exists()
     assert common.materialize(spark.range(0), "none").count() == 0
+
+
+def test_slices_by_bytes():
+    batch = pa.record_batch({"x": pa.array(range(7)), "t": pa.array(["abc", "abc", "é", None, "x" * 50, "", "y"])})
+    parts = [p.column(0).to_pylist() for p in common.slices(batch.slice(1), batch.slice(1).column(1), 10)]
+    assert sum(parts, []) == list(range(1, 7)) and len(parts) > 1
+    assert list(common.slices(batch.slice(0, 0), batch.slice(0, 0).column(1), 10)) == []
