@@ -60,3 +60,23 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
   sha256(t) AS restored_sha256
 FROM p"""
+
+
+def collocations(least: int = 30, longest: int = 4, top: int = 2000, within: int = 80) -> str:
+    """Every contiguous run of words of every piece, counted."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{letters}', '{letters.lower()}'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS words FROM d),
+g AS (SELECT lang, words, unnest(range(1, {longest} + 1)) AS k FROM w),
+p AS (SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM g)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM p GROUP BY ALL HAVING count(*) >= {least}),
+n AS (SELECT lang, sum(len(words)) AS n FROM w GROUP BY lang),
+s AS (SELECT lang, f, array_to_string(words[i:i + m - 1], ' ') AS phrase FROM (SELECT lang, f, words, m, unnest(range(1, len(words) - m + 2)) AS i FROM (SELECT lang, f, string_split(phrase, ' ') AS words, unnest(range(2, k)) AS m FROM f WHERE k > 2))),
+x AS (SELECT lang, phrase, max(f) AS longer FROM s GROUP BY ALL),
+c AS (SELECT f.lang, f.phrase, f.f AS a, string_split(f.phrase, ' ') AS words, unnest(range(1, k)) AS cut FROM f LEFT JOIN x ON x.lang = f.lang AND x.phrase = f.phrase WHERE k > 1 AND (longer IS NULL OR 100 * longer < {within} * f.f)),
+z AS (SELECT c.lang, c.phrase, c.a, c.cut, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a) // (l.f + r.f) AS score FROM c
+  JOIN f AS l ON l.lang = c.lang AND l.phrase = array_to_string(words[1:cut], ' ') JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(words[cut + 1:], ' ')),
+b AS (SELECT * FROM z QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+t AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score FROM b QUALIFY rank <= {top})
+SELECT t.lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM t JOIN n ON n.lang = t.lang"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sparvane.llm import bpe, decontaminate, fim, html_text, oracles, packing, quality, sharding, suffix_dedup, toxicity, warc, winnowing
+from sparvane.llm import bpe, collocations, decontaminate, fim, html_text, oracles, packing, quality, sharding, suffix_dedup, toxicity, warc, winnowing
 from sparvane.llm.common import documents, pages
 from sparvane.llm.simhash import simhash_components
 
@@ -59,14 +59,18 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_simhash, op2_packing, op3_decontaminate, op4_sharding, op5_html_text, op6_quality, op7_toxicity, op8_suffix_dedup, op9_fingerprints, op10_warc, op11_byte_bpe, op13_fill_in_middle)
+    found = (op1_simhash, op2_packing, op3_decontaminate, op4_sharding, op5_html_text, op6_quality, op7_toxicity, op8_suffix_dedup, op9_fingerprints, op10_warc, op11_byte_bpe, op12_collocations, op13_fill_in_middle)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_sharding": oracles.sharding(), "op8_suffix_dedup": oracles.suffix_dedup(), "op13_fill_in_middle": oracles.fill_in_middle()}
+    return {"op4_sharding": oracles.sharding(), "op8_suffix_dedup": oracles.suffix_dedup(), "op12_collocations": oracles.collocations(), "op13_fill_in_middle": oracles.fill_in_middle()}
