@@ -2,51 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparvane.functions.clean import finite
-
-#: Everything below this, 0 and negative numbers too, has one logarithmic bucket.
-LEAST = 1e-12
-
-
-def segments(grid: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
-    """(keys, x0, y0, x1, y1): neighbouring grid points; the last point is a segment of no length."""
-    w = Window.partitionBy(*keys).orderBy(x)
-    return grid.select(*keys, F.col(x).alias("x0"), F.col(y).alias("y0"), F.lead(x).over(w).alias("x1"), F.lead(y).over(w).alias("y1"))
+from sparvane.operators.asof import between
 
 
-def interpolate(points: DataFrame, grid: DataFrame, keys: list[str], x: str, grid_x: str, grid_y: str, value: str, width: float, outside: str = "zero", log: bool = False) -> DataFrame:
+def interpolate(points: DataFrame, grid: DataFrame, keys: list[str], x: str, grid_x: str, grid_y: str, value: str, outside: str = "zero") -> DataFrame:
     """points with ``value``: the curve of their keys at x, linear between grid points.
 
     Null where there is no curve or no x; outside the grid 0, null or the
-    nearest end ("zero", "null", "clamp"). Points and segments meet by an
-    equality on keys and bucket (of ``width`` in x, or its decimal logarithm
-    from LEAST on) and a range within: a curve with very many points is many small groups,
-    and nothing is sorted per curve.
+    nearest end ("zero", "null", "clamp"). The different (keys, x) of the
+    points are merged with the grid in order, and the values join the points
+    by equality: points that share an x are looked up once.
     """
-    bucket = lambda c: F.floor((F.log10(F.greatest(c, F.lit(LEAST))) if log else c) / F.lit(width)).cast("long")
-    cut = segments(grid, keys, grid_x, grid_y)
-    filed = cut.withColumn("bucket", F.explode(F.sequence(bucket(F.col("x0")), bucket(F.coalesce("x1", "x0")))))
-    ends = grid.groupBy(*keys).agg(F.min(grid_x).alias("lo"), F.max(grid_x).alias("hi"), F.min_by(grid_y, grid_x).alias("lo_y"), F.max_by(grid_y, grid_x).alias("hi_y"))
-    p, s, e = points.alias("p"), filed.alias("s"), ends.alias("e")
-    where = [F.col(f"p.{k}") == F.col(f"s.{k}") for k in keys]
-    inside = (F.col(f"p.{x}") >= F.col("s.x0")) & ((F.col(f"p.{x}") < F.col("s.x1")) | F.col("s.x1").isNull() & (F.col(f"p.{x}") == F.col("s.x0")))
-    on = (bucket(F.col(f"p.{x}")) == F.col("s.bucket")) & inside
-    for c in where:
-        on = on & c
-    on_ends = F.lit(True)
-    for k in keys:
-        on_ends = on_ends & (F.col(f"p.{k}") == F.col(f"e.{k}"))
-    between = F.col("s.y0") + F.coalesce(F.try_divide((F.col(f"p.{x}") - F.col("s.x0")) * (F.col("s.y1") - F.col("s.y0")), F.col("s.x1") - F.col("s.x0")), F.lit(0.0))
+    near = between(points, grid.select(*keys, grid_x, F.col(grid_y).alias("y")), keys, x, grid_x, ["y"])
+    at, lower, upper = F.col(x), F.col("lower"), F.col("upper")
     beyond: Column = F.lit(None).cast("double")
     if outside == "zero":
         beyond = F.lit(0.0)
     elif outside == "clamp":
-        beyond = F.when(F.col(f"p.{x}") < F.col("e.lo"), F.col("e.lo_y")).otherwise(F.col("e.hi_y"))
-    out = F.when(F.col(f"p.{x}").isNull() | F.col("e.lo").isNull(), F.lit(None)).when((F.col(f"p.{x}") < F.col("e.lo")) | (F.col(f"p.{x}") > F.col("e.hi")), beyond).otherwise(between)
-    return p.join(s, on, "left").join(e, on_ends, "left").select("p.*", out.alias(value))
+        beyond = F.coalesce(lower["y"], upper["y"])
+    line = lower["y"] + F.coalesce(F.try_divide((at - lower["x"]) * (upper["y"] - lower["y"]), upper["x"] - lower["x"]), F.lit(0.0))
+    inside = lower.isNotNull() & (upper.isNotNull() | (at == lower["x"]))
+    values = near.select(*[F.col(k).alias(f"__{k}") for k in keys], at.alias("__at"), F.when(inside, line).when(lower.isNotNull() | upper.isNotNull(), beyond).alias(value))
+    on = reduce(lambda a, b: a & b, [points[k] == values[f"__{k}"] for k in keys], points[x] == values["__at"])
+    return points.join(values, on, "left").select(points["*"], values[value])
 
 
 def chi_squared(data: Column, curve: Column, error: Column, squared_error: bool = False) -> Column:

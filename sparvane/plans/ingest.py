@@ -40,7 +40,7 @@ def measurements(source: DataFrame, curves: DataFrame, evaluations: tuple[str, .
         columns = ["dData"] if gate == "uncertainty_only" else [*BASE, *added]
         df = impute.assume_errors(df, CHANNEL, columns, assumed="__assumed", fallback=fallback).drop("dData_assumed").withColumnRenamed("__assumed", "dData_assumed")
         grid = curves.where(F.col("evaluation") == ev).select("Z", "A", F.col("MT").alias("eval_MT"), "energy", "xs")
-        df = interp.interpolate(df, grid, ["Z", "A", "eval_MT"], "Energy", "energy", "xs", ev, width=0.1, outside=outside, log=True)
+        df = interp.interpolate(df, grid, ["Z", "A", "eval_MT"], "Energy", "energy", "xs", ev, outside=outside)
         df = interp.with_metrics(df, ev)
         added += [f"`{ev}`", f"`{ev}_chi_squared`", f"`{ev}_relative_error`", "dData_assumed"]
     tail = [c for ev in evaluations for c in (ev, f"{ev}_chi_squared", f"{ev}_relative_error")]
@@ -64,7 +64,7 @@ def curve_grids(curves: DataFrame, points: int = 1000) -> DataFrame:
 
     keys = ["evaluation", "Z", "A", "MT"]
     asked = curves.select(*keys).distinct().select(*keys, F.explode(logspace(-5, 7, points)).alias("energy"))
-    return interp.interpolate(asked, curves.withColumnRenamed("energy", "grid_energy").withColumnRenamed("xs", "grid_xs"), keys, "energy", "grid_energy", "grid_xs", "xs", width=0.1, outside="zero", log=True)
+    return interp.interpolate(asked, curves.withColumnRenamed("energy", "grid_energy").withColumnRenamed("xs", "grid_xs"), keys, "energy", "grid_energy", "grid_xs", "xs", outside="zero")
 
 
 def subentries(df: DataFrame, row_id: str = "measurement_id") -> DataFrame:

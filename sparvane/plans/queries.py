@@ -347,7 +347,7 @@ def completeness_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _interpolated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return interp.interpolate(events(spark, sf_dir), curve(spark, sf_dir), ["MT"], "Energy", "gx", "gy", "xs", width=16.0)
+    return interp.interpolate(events(spark, sf_dir), curve(spark, sf_dir), ["MT"], "Energy", "gx", "gy", "xs")
 
 
 @query(f"WITH {M}, {G} SELECT measurement_id, mt, round(xs, 6) AS xs FROM i")

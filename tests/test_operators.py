@@ -50,7 +50,7 @@ def test_global_quantile_is_numpys(spark):
 def test_interpolation(spark, outside, below, above):
     grid = spark.createDataFrame([("a", 1.0, 10.0), ("a", 2.0, 20.0), ("a", 4.0, 0.0)], "k string, gx double, gy double")
     points = spark.createDataFrame([(i, k, x) for i, (k, x) in enumerate([("a", 1.0), ("a", 1.5), ("a", 3.0), ("a", 4.0), ("a", 0.5), ("a", 5.0), ("b", 1.0), ("a", None)])], "i int, k string, x double")
-    out = interp.interpolate(points, grid, ["k"], "x", "gx", "gy", "v", width=0.7, outside=outside)
+    out = interp.interpolate(points, grid, ["k"], "x", "gx", "gy", "v", outside=outside)
     assert [r.v for r in out.orderBy("i").collect()] == [10.0, 15.0, 10.0, 0.0, below, above, None, None]
 
 
@@ -60,7 +60,7 @@ def test_interpolation_is_numpys(spark):
     gy, x = rng.uniform(0, 9, len(gx)), 10 ** rng.uniform(-4, 6, 500)
     grid = spark.createDataFrame([("a", float(a), float(b)) for a, b in zip(gx, gy, strict=True)], "k string, gx double, gy double")
     points = spark.createDataFrame([(i, "a", float(v)) for i, v in enumerate(x)], "i int, k string, x double")
-    got = [r.v for r in interp.interpolate(points, grid, ["k"], "x", "gx", "gy", "v", width=0.1, outside="clamp", log=True).orderBy("i").collect()]
+    got = [r.v for r in interp.interpolate(points, grid, ["k"], "x", "gx", "gy", "v", outside="clamp").orderBy("i").collect()]
     assert np.allclose(got, np.interp(x, gx, gy), rtol=1e-9)
 
 
