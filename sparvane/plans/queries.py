@@ -536,25 +536,27 @@ def report_pair_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("target_entry", "entry", F.round("report_distance", 6).alias("report_distance"))
 
 
-def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Targets, candidates and report pairs."""
+def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Targets, candidates, reports and entries."""
     df = knn.standardize(events(spark, sf_dir).where("Energy > 0"))
     entries, reports = _entries(spark, sf_dir), _reports(spark, sf_dir)
     df = df.join(reports.select("EXFOR_Entry"), "EXFOR_Entry", "left_semi")
     targets = df.where("dData is null").join(entries.where("not Uncertainty_Complete"), "EXFOR_Entry", "left_semi")
     candidates = df.join(entries.where("Uncertainty_Complete"), "EXFOR_Entry", "left_semi")
-    return targets, candidates, imputation.report_pairs(reports, entries, ["s1", "s2"])
+    return targets, candidates, reports, entries
 
 
 @query(f"WITH {M}, {R}, {NEAR} SELECT target, entry, candidate, round(de, 6) AS dloge FROM l1")
 def knn_level1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = knn.nearest_rows(*_sides(spark, sf_dir), "EXFOR_Entry", "MT", "measurement_id")
+    targets, candidates, reports, entries = _sides(spark, sf_dir)
+    pairs = imputation.report_pairs(reports, entries, ["s1", "s2"])  # of all reports, as asked
+    found = knn.nearest_rows(targets, candidates, pairs, "EXFOR_Entry", "MT", "measurement_id")
     return found.select("target", "entry", "candidate", F.round("dlogE", 6).alias("dloge"))
 
 
 def _neighbours(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    targets, candidates, pairs = _sides(spark, sf_dir)
-    return knn.search(targets, candidates, pairs, "EXFOR_Entry", "MT", "measurement_id"), candidates
+    targets, candidates, reports, _ = _sides(spark, sf_dir)
+    return knn.search(targets, candidates, imputation.report_vectors(reports, ["s1", "s2"]), ["s1", "s2"], "EXFOR_Entry", "MT", "measurement_id"), candidates
 
 
 @query(f"WITH {M}, {R}, {TOP} SELECT target, entry, candidate, round(distance, 6) AS distance, CAST(rank AS INT) AS rank FROM nb")

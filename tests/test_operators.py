@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparvane.functions import vectors
-from sparvane.operators import impute, interp, knn, rollup, similarity
+from sparvane.operators import impute, interp, knn, metric, rollup, similarity
 
 MEASURED = "channel string, Data double, dData double, dEnergy double"
 
@@ -121,15 +121,65 @@ def test_level1_is_brute_force(spark):
     assert {(r.target, r.entry): r.candidate for r in got} == {k: v[1] for k, v in expected.items()}
 
 
-def test_pruned_search_is_the_whole_search(spark):
-    rng = random.Random(6)
+def brute_search(rows, reports, k):
+    """All targets against all candidates. rows: (id, entry, mt, logE, Z, A); reports: entry -> (vector or None, scores)."""
+    out = []
+    for t in rows:
+        if t[1] >= 8 or t[1] not in reports:
+            continue
+        near = {}
+        for c in rows:
+            if c[1] < 8 or c[1] not in reports or c[2] != t[2]:
+                continue
+            d = [c[3] - t[3], (c[4] or 0) - (t[4] or 0), (c[5] or 0) - (t[5] or 0)]
+            inner = 0.5 * d[0] * d[0] + 1.5 * d[1] * d[1] + 1.0 * d[2] * d[2]
+            near[c[1]] = min(near.get(c[1], (9e9,)), (inner, c[0], d))
+        found = []
+        for e, (_, c, d) in near.items():
+            (u, a), (v, b) = reports[t[1]], reports[e]
+            both = np.linalg.norm(u) and np.linalg.norm(v)
+            total = np.linalg.norm(u / np.linalg.norm(u) - v / np.linalg.norm(v)) / np.sqrt(2) if both else 1.0
+            total += sum(abs(x - y) for x, y in zip(a, b, strict=True) if x is not None and y is not None)
+            found.append((total + sum(map(abs, d)), e, c))
+        out += [(t[0], t[1], e, c, round(d, 9), i) for i, (d, e, c) in enumerate(sorted(found)[:k], 1)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("n", "first", "spread"), [(400, 4, True), (400, 1, True), (60, 32, True), (200, 4, False)])
+def test_pruned_search_is_the_whole_search(spark, n, first, spread):
+    """With missing scores and vectors, entries without a report, ties, targets with too few neighbours, and no spread in Z."""
+    rng = random.Random(n + first)
     schema = "measurement_id int, e int, mt string, logE_std double, Z_std double, A_std double"
-    rows = [(i, rng.randrange(40), rng.choice("xyz"), rng.random(), float(rng.randint(0, 2)), float(rng.randint(0, 2))) for i in range(400)]
-    targets, candidates = spark.createDataFrame([r for r in rows if r[1] < 8], schema), spark.createDataFrame([r for r in rows if r[1] >= 8], schema)
-    pairs = spark.createDataFrame([(t, e, rng.choice([0.1, 0.5, 3 * rng.random()])) for t in range(8) for e in range(8, 40)], "target_entry int, entry int, report_distance double")
-    whole = knn.neighbours(knn.nearest_rows(targets, candidates, pairs, "e", "mt", "measurement_id"), pairs, 3)
-    pruned = knn.search(targets, candidates, pairs, "e", "mt", "measurement_id", 3, 4)
-    assert sorted(map(tuple, pruned.select(whole.columns).collect())) == sorted(map(tuple, whole.collect()))
+    rows = [(i, rng.randrange(80), rng.choice("xyz") if i else "alone", rng.choice([0.5, rng.random()]), float(rng.randint(0, 2)) if spread else None, float(rng.randint(0, 2))) for i in range(n)]
+    reports = {e: (np.array([0.0, 0.0, 0.0]) if e % 9 == 0 else np.array([rng.random() for _ in range(3)]), [rng.choice([None, rng.random(), 0.5]), rng.random()]) for e in range(80) if e % 13}
+    frame = spark.createDataFrame([(e, v.tolist(), *s) for e, (v, s) in reports.items()], "e int, v array<double>, s1 double, s2 double").select("e", vectors.unit(F.col("v")).alias("unit"), "s1", "s2")
+    sides = [spark.createDataFrame([r for r in rows if keep(r[1])], schema).join(frame.select("e"), "e", "left_semi") for keep in (lambda e: e < 8, lambda e: e >= 8)]
+    got = knn.search(*sides, frame, ["s1", "s2"], "e", "mt", "measurement_id", 3, first)
+    expected = brute_search(rows, reports, 3)
+    assert sorted((r.target, r.target_entry, r.entry, r.candidate, round(r.distance, 9), r.rank) for r in got.collect()) == expected and (len(expected) > 20 or n < 100)
+
+
+def test_search_of_nothing(spark):
+    schema = "measurement_id int, e int, mt string, logE_std double, Z_std double, A_std double"
+    none, some = spark.createDataFrame([], schema), spark.createDataFrame([(1, 1, "x", 0.0, 0.0, 0.0)], schema)
+    reports = spark.createDataFrame([(1, [1.0])], "e int, unit array<double>")
+    for t, c in ((none, none), (some, none), (none, some)):
+        assert knn.search(t, c, reports, [], "e", "mt", "measurement_id").collect() == []
+
+
+def test_leaves_and_boxes(spark):
+    rng = np.random.default_rng(0)
+    points = rng.random((3000, 4))
+    items = spark.createDataFrame([(i, *[float(v) for p in row for v in (p, p + 0.01)]) for i, row in enumerate(points)], "i int, " + ", ".join(f"c{j}__lo double, c{j}__hi double" for j in range(4)))
+    index, filed = metric.build(items, [["c0", "c1"], ["c2"], ["c3"]])
+    assert len(index.leaves) > 64 and index.counts.sum() == 3000 and filed.groupBy("leaf").count().agg(F.max("count")).first()[0] < 200
+    query = [(0, *[float(v) for p in rng.random(4) for v in (p, p)])]
+    row = spark.createDataFrame(query, items.schema).select(index.near_leaves().alias("l")).first().l
+    assert [x.bound for x in row] == sorted(x.bound for x in row) and {x.leaf for x in row} == set(index.leaves.tolist())
+    least = dict((x.leaf, x.bound) for x in row)
+    a = spark.createDataFrame(query, items.schema).alias("a")
+    pairs = a.crossJoin(filed.alias("b")).select("b.leaf", metric.bound(index.terms).alias("bound")).collect()
+    assert all(p.bound >= least[p.leaf] - 1e-12 for p in pairs)
 
 
 def test_cosine_term(spark):
