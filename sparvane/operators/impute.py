@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparvane.functions.clean import safe_ratio
+from sparvane.operators.quantile import quantile
 
 QUANTILE, CAP = 0.90, 10.0
 
 
 def global_quantile(df: DataFrame, data: str = "Data", error: str = "dData", q: float = QUANTILE, name: str = "global_fraction") -> DataFrame:
     """One row: the exact quantile of error / data."""
-    return df.select(safe_ratio(F.col(error), F.col(data)).alias("r")).agg(F.percentile("r", q).alias(name))
+    return quantile(df, [], safe_ratio(F.col(error), F.col(data)), q, name)
 
 
 def complete(columns: list[str]) -> Column:
@@ -25,12 +26,12 @@ def complete(columns: list[str]) -> Column:
 def channel_fractions(df: DataFrame, channel: list[str], gate: list[str], data: str = "Data", error: str = "dData", q: float = QUANTILE, cap: float = CAP) -> DataFrame:
     """(channel, fraction): the capped quantile where a row of the channel has all gate columns, else null.
 
-    A percentile over a channel is a hash aggregate with map-side counts of
-    equal values, so a channel with very many rows is combined before it moves.
+    Quantiles are by rank selection, so no task holds the ratios of a channel with very many rows.
     """
-    rows = df.select(*channel, complete(gate).alias("whole"), safe_ratio(F.col(error), F.col(data)).alias("r"))
-    stats = rows.groupBy(*channel).agg(F.bool_or("whole").alias("whole"), F.percentile("r", q).alias("q"))
-    return stats.select(*channel, F.when(F.col("whole"), F.least("q", F.lit(cap))).alias("fraction"))
+    whole = df.groupBy(*channel).agg(F.bool_or(complete(gate)).alias("whole"))
+    found = quantile(df, channel, safe_ratio(F.col(error), F.col(data)), q, "q").withColumnsRenamed({c: f"__{c}" for c in channel})
+    on = reduce(lambda a, b: a & b, [whole[c].eqNullSafe(found[f"__{c}"]) for c in channel])
+    return whole.join(found, on).select(*channel, F.when(F.col("whole"), F.least("q", F.lit(cap))).alias("fraction"))
 
 
 def assume_errors(df: DataFrame, channel: list[str], gate: list[str], data: str = "Data", error: str = "dData", assumed: str = "dData_assumed", fallback: DataFrame | None = None, q: float = QUANTILE, cap: float = CAP) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparvane.operators.quantile import quantile
+
 
 def _joined(rows: Column, order: str, value: str, separator: str) -> Column:
     """Values of the group's rows that pass, in their order, joined."""
@@ -13,15 +15,19 @@ def _joined(rows: Column, order: str, value: str, separator: str) -> Column:
 
 
 def subentries(df: DataFrame, key: str, firsts: list[str], order: str, energy: str = "Energy", error: str = "dData") -> DataFrame:
-    """One row per key: first values in row order, range and median of the energy, and counts."""
-    return df.groupBy(key).agg(
+    """One row per key: first values in row order, range and median of the energy, and counts.
+
+    Medians are by rank selection where a key has very many rows.
+    """
+    median = quantile(df, [key], F.col(energy), 0.5, "E_median").withColumnRenamed(key, "__key")
+    rolled = df.groupBy(key).agg(
         *[F.min_by(c, order).alias(c) for c in firsts],
         F.min(energy).alias("E_min"),
         F.max(energy).alias("E_max"),
-        F.percentile(energy, 0.5).alias("E_median"),
         F.count(F.lit(1)).alias("num_measurements"),
         F.count(error).alias("num_measurements_uncertainty"),
     )
+    return rolled.join(median, rolled[key].eqNullSafe(median["__key"])).select(key, *firsts, "E_min", "E_max", "E_median", "num_measurements", "num_measurements_uncertainty")
 
 
 def entries(df: DataFrame, key: str, sets: dict[str, tuple[str, str]], subentry: str, order: str, error: str = "dData") -> DataFrame:
