@@ -14,8 +14,9 @@ phrases that cover a block meet its words in one matrix operation.
 
 Counts are summed over shards for each length. A phrase can be frequent only
 where its first and its last k - 1 words are, so a shard is sent back those of
-its phrases that are frequent over all shards, and grows no others: a bigram
-grows from frequent words, a trigram from frequent bigrams, and so on.
+its phrases that are frequent over all shards, and grows no others: shards are
+first rewritten with their frequent words alone, from which bigrams grow, a
+trigram grows from frequent bigrams, and so on.
 
 A phrase's score is 2,000,000 times its count by the sum of the counts of its
 two parts, at its worst cut. Phrases that occur mostly inside a longer one are
@@ -34,7 +35,7 @@ columns are ignored.
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,10 @@ GAP = 0
 #: Bytes as read: A-Z in lower case, tab as space, ends of pieces as full stops.
 READ = bytes(ord(".") if chr(b) in ".,;:!?\n\x0b\x0c\r" else ord(" ") if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 SHARD_SCHEMA = "lang string, shard long, lead int, size long, words array<string>, counts array<long>, splits binary, blocks binary, bits binary"
+PRUNED_SCHEMA = "lang string, shard long, lead int, size long, words array<string>, splits binary, blocks binary, bits binary"
+PRUNED = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("lead", pa.int32()), ("size", pa.int64()), ("words", pa.list_(pa.string())), ("splits", pa.binary()), ("blocks", pa.binary()), ("bits", pa.binary())])
+COUNTED_SCHEMA = "lang string, shard long, phrase string, n long"
+COUNTED = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
 class Open:
@@ -201,9 +206,12 @@ def step(nodes: np.ndarray, bits: np.ndarray, words: np.ndarray, word_bits: np.n
     carry_node[row + 1, 0], carry[row + 1, 0] = nodes[row, column], 1
     nodes = np.concatenate([nodes, carry_node], axis=1)
     shifted = np.concatenate([bits << np.uint64(1), carry], axis=1)
-    both = shifted[:, :, None] & word_bits[:, None, :]
-    row, left, right = np.nonzero(both)
-    return row, nodes[row, left], words[row, right], both[row, left, right]
+    both = (shifted[:, :, None] & word_bits[:, None, :]).ravel()
+    at = np.flatnonzero(both)
+    wide = words.shape[1]
+    left = at // max(1, wide)
+    row = left // nodes.shape[1]
+    return row, nodes.ravel()[left], words.ravel()[row * wide + at - left * wide], both[at]
 
 
 class Lookup:
@@ -247,7 +255,7 @@ def grown(shard: dict, phrases: pa.Array, k: int) -> tuple[pa.Array, np.ndarray]
     suffix = ids[:, 1] if k > 2 else None
     for j in range(2, k - 1):
         suffix = levels[j - 2](suffix, ids[:, j])
-    found, weights = [], []
+    found = []
     for first in range(0, n_blocks, STRETCH):
         last, begin = min(first + STRETCH, n_blocks), max(first - 1, 0)  # one block more to the left: phrases that reach into the stretch
         word_nodes, word_bits = words.matrix(begin, last)
@@ -265,10 +273,11 @@ def grown(shard: dict, phrases: pa.Array, k: int) -> tuple[pa.Array, np.ndarray]
         if suffix is not None:  # the last k - 1 words must be frequent too
             known = levels[-1](suffix[place[head]], tail) >= 0
             head, tail, both = head[known], tail[known], both[known]
-        found.append(head * len(used) + tail)
-        weights.append(np.bitwise_count(both))
-    keys, of = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_inverse=True)
-    counts = np.bincount(of, weights=np.concatenate(weights) if weights else None, minlength=len(keys)).astype(np.int64)
+        found.append(head * len(used) + tail << 7 | np.bitwise_count(both).astype(np.int64))
+    every = np.sort(np.concatenate(found) if found else np.zeros(0, np.int64))  # phrases, each with a popcount of 0 to 64 below it
+    keys = every >> 7
+    begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    keys, counts = keys[begin], np.add.reduceat(every & 127, begin) if len(begin) else begin
     head = phrases.take(pa.array(place[keys // max(1, len(used))]))
     tail = names.take(pa.array(used[keys % max(1, len(used))]))
     return pc.binary_join_element_wise(head, tail, " "), counts
@@ -283,12 +292,16 @@ def frequent(counted: DataFrame, least: int) -> DataFrame:
 def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: int = SHARD) -> tuple[DataFrame, DataFrame]:
     """((lang, words, phrase, f) of every phrase of up to ``longest`` words that occurs ``least`` times, (lang, n) with all occurrences of words)."""
     made = materialize(shards(docs, longest, size), "shards")
-    counted = made.select("lang", "shard", F.explode(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").alias("n"))).alias("w")).select("lang", "shard", "w.phrase", "w.n")
+    counted = made.select("lang", "shard", F.posexplode(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").alias("n"))).alias("word", "w")).select("lang", "shard", "word", "w.phrase", "w.n")
     totals = made.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
-    levels = []
-    for k in range(1, longest + 1):
-        if k > 1:
-            counted = made.groupBy("shard").cogroup(levels[-1].groupBy("shard")).applyInArrow(grow_by(k), "lang string, shard long, phrase string, n long")
+    levels = [materialize(frequent(counted, least), "phrases-1")]
+    # from here on shards have frequent words only
+    kept = materialize(made.drop("words", "counts").groupBy("shard").cogroup(levels[0].select("shard", "word", "phrase").groupBy("shard")).applyInArrow(pruned, PRUNED_SCHEMA), "pruned")
+    for k in range(2, longest + 1):
+        if k == 2:
+            counted = kept.mapInArrow(pairs, COUNTED_SCHEMA)
+        else:
+            counted = kept.groupBy("shard").cogroup(levels[-1].select("shard", "phrase").groupBy("shard")).applyInArrow(grow_by(k), COUNTED_SCHEMA)
         levels.append(materialize(frequent(counted, least), f"phrases-{k}"))
     every = [x.select("lang", F.lit(k).alias("words"), "phrase", "f").distinct() for k, x in enumerate(levels, 1)]
     table = every[0]
@@ -297,15 +310,39 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: in
     return materialize(table, "counts"), totals
 
 
-def grow_by(k: int):
+def pruned(shard: pa.Table, words: pa.Table) -> pa.Table:
+    """A shard with the given of its words, in order of their numbers."""
+    if not words.num_rows:
+        return PRUNED.empty_table()
+    row, words = shard.to_pylist()[0], words.sort_by("word")
+    number = words.column("word").to_numpy()
+    splits = unpacked(row["splits"], np.uint32).astype(np.int64)
+    n = np.diff(splits)
+    kept = np.zeros(len(n), bool)
+    kept[number] = True
+    inside = np.repeat(kept, n)
+    blobs = [packed(x) for x in (np.concatenate([[0], np.cumsum(n[number])]).astype(np.uint32), unpacked(row["blocks"], np.uint32)[inside], unpacked(row["bits"], np.uint64)[inside])]
+    return pa.Table.from_pylist([{"lang": row["lang"], "shard": row["shard"], "lead": row["lead"], "size": row["size"], "words": words.column("phrase").to_pylist(), "splits": blobs[0], "blocks": blobs[1], "bits": blobs[2]}], PRUNED)
+
+
+def counted_table(shard: dict, phrases: pa.Array, k: int) -> pa.Table:
+    found, n = grown(shard, phrases, k)
+    return pa.table([pa.array([shard["lang"]] * len(n), pa.string()), pa.array([shard["shard"]] * len(n), pa.int64()), found, pa.array(n)], schema=COUNTED)
+
+
+def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Phrases of two words of shards that have frequent words only."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            yield from counted_table(row, pa.array(row["words"], pa.string()), 2).to_batches()
+
+
+def grow_by(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(shard: pa.Table, phrases: pa.Table) -> pa.Table:
-        kind = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("phrase", pa.string()), ("n", pa.int64())])
         if not phrases.num_rows:
-            return kind.empty_table()
-        row = shard.to_pylist()[0]
-        known = phrases.column("phrase").cast(pa.string()).combine_chunks()
-        found, n = grown(row, known, k)
-        return pa.table([pa.array([row["lang"]] * len(n), pa.string()), pa.array([row["shard"]] * len(n), pa.int64()), found, pa.array(n)], schema=kind)
+            return COUNTED.empty_table()
+        return counted_table(shard.to_pylist()[0], phrases.column("phrase").cast(pa.string()).combine_chunks(), k)
 
     return run
 
