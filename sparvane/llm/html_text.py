@@ -12,15 +12,18 @@ host: a host with a third of all pages costs a few rows per task.
 Long streams are first cut at keys that occur once in both, so that
 aligning takes time in proportion to their length, but for a logarithm.
 
-A wrapper's slots say which texts are the article: at the best level the
-host has (an article inside main, main, an article, an element named as
-content, any other), those whose text varies between the host's pages.
-A slot whose text is the same on all pages is part of the template, at every
-level, as is a text that stands at its place on each of ``LEAST_PAGES`` pages
-or more. Menus, headers, footers, sidebars, notices, adverts, forms and
-comments vary too; their elements, and words in the class, id or role of
-containers, tell them apart; a paragraph's own class does not.
-Each page's text is then read through its host's slots.
+A wrapper's slots say which texts are the article: those of the best level
+the host has (main, an article, an element named as content, any other).
+A text that stands at its place on all of a host's pages, of two or more, may
+be the template's, but as well a heading or a sentence that its articles
+share, so that alone drops nothing: within main, an article or named content
+it goes only where the whole block is a link, and on pages without any of
+these where no text of the page's own comes before or none after it.
+Menus, headers, footers, sidebars, notices, adverts, forms and comments vary
+too; their elements, and names in the class, id or role of containers, tell
+them apart; a name counts as a whole, so "science-form" is no form, and a
+paragraph's own does not. Each page's text is then read through its host's
+slots.
 
 Blocks: a tag that is not inline ends a block. Character references are
 decoded, white space becomes one space, empty blocks are dropped.
@@ -64,8 +67,10 @@ BOILERPLATE_WORDS = frozenset("ad ads adv advert adverts advertisement advertise
 WHOLE_TAGS = frozenset("html body main article".split())
 #: Elements of running text: their own class, id and role do not make them boilerplate inside an article.
 TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption dd dt".split())
-#: Pages of a host from which on what all of them have is its template.
-LEAST_PAGES = 3
+#: Words beside those above in names of containers.
+NEUTRAL_WORDS = frozenset("area bar block bottom box button col column container content fixed group header inner item items js left link links list main outer page panel right row section site slot the top unit wide wrap wrapper".split())
+#: The last step of the path of a block that is a link as a whole.
+LINKED = "/a"
 #: Product of the lengths of two streams up to which they are aligned without cutting them first.
 SMALL = 250_000
 MAIN_WORDS = frozenset("article articlebody entry main maincontent post postbody story".split())
@@ -108,10 +113,10 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 def events(page: str) -> Iterator[tuple[str, str | None, tuple[str, ...]]]:
-    """("tag", element, path) at block limits and ("text", text, path); path: the open block elements, with their words."""
+    """("tag", element, path) at block limits, ("text", text, path) and ("link", text, path) within a link; path: the open block elements, with their words."""
     stack: list[str] = []
     names: list[str] = []
-    raw = 0
+    raw, linked = 0, False
 
     def pop(to: int) -> None:
         nonlocal raw
@@ -124,8 +129,9 @@ def events(page: str) -> Iterator[tuple[str, str | None, tuple[str, ...]]]:
             if names and names[-1] == "head" and value.strip():
                 pop(names.index("head"))
             if not raw:
-                yield "text", value, tuple(stack)
+                yield "link" if linked else "text", value, tuple(stack)
             continue
+        linked = kind == "open" if value == "a" else linked and value in INLINE
         if kind == "open" and "head" in names and (value == "body" or names[-1] == "head" and value not in HEAD_ONLY):
             pop(names.index("head"))
         if value in INLINE and not (kind == "open" and words and set(WORDS.findall(words)) & BOILERPLATE_WORDS):
@@ -155,29 +161,35 @@ def clean(parts: list[str]) -> str:
     return " ".join(html.unescape("".join(parts)).split())
 
 
-def stream(page: str) -> list[Node]:
-    """A page as a wrapper of its own, one text per block."""
-    out: list[Node] = []
+def nodes_of(page: str) -> Iterator[Node]:
+    """A page's tags, and a text for each block."""
     held: list[str] = []
     where: tuple[str, ...] = ()
+    plain = False  # some of the block is no link
 
-    def text() -> None:
+    def text() -> Iterator[Node]:
         found = clean(held)
         held.clear()
         if found:
-            out.append(["x", found, "/".join(where)])
+            yield ["x", found, "/".join(where) + ("" if plain else LINKED)]
 
     for kind, value, path in events(page):
-        if kind == "text":
-            if path != where:
-                text()
-                where = path
-            held.append(value)
-        else:
-            text()
-            out.append(["t", value])
-    text()
-    return fold(out)
+        if kind == "tag":
+            yield from text()
+            plain = False
+            yield ["t", value]
+            continue
+        if path != where:
+            yield from text()
+            where, plain = path, False
+        held.append(value)
+        plain = plain or kind == "text" and bool(value.strip())
+    yield from text()
+
+
+def stream(page: str) -> list[Node]:
+    """A page as a wrapper of its own, one text per block."""
+    return fold(list(nodes_of(page)))
 
 
 def shape(node: Node) -> str:
@@ -363,6 +375,15 @@ def slots(wrapper: list[Node]) -> dict[str, bool]:
     return out
 
 
+def _marked(words: str) -> bool:
+    """Whether one of the names is made of words of boilerplate, but for neutral ones."""
+    for name in words.split():
+        found = set(WORDS.findall(name))
+        if found & BOILERPLATE_WORDS and found <= BOILERPLATE_WORDS | NEUTRAL_WORDS:
+            return True
+    return False
+
+
 def boilerplate(path: str) -> bool:
     steps = path.split("/")
     for at, step in enumerate(steps):
@@ -370,30 +391,28 @@ def boilerplate(path: str) -> bool:
         inside = any(x.partition(".")[0] in ("article", "main") for x in steps[:at])
         if name in BOILERPLATE_TAGS and not (name == "header" and any(x.partition(".")[0] == "article" for x in steps[:at])):
             return True
-        if words and name not in WHOLE_TAGS and not (inside and name in TEXT_TAGS) and name != "header" and set(WORDS.findall(words)) & BOILERPLATE_WORDS:
+        if words and name not in WHOLE_TAGS and not (inside and name in TEXT_TAGS) and name != "header" and _marked(words):
             return True
     return False
 
 
 def level(path: str) -> int:
-    """4: in an article inside main; 3: in main; 2: in an article; 1: in an element named as content; 0: elsewhere."""
-    found, best = False, 0
+    """3: in main; 2: in an article; 1: in an element named as content; 0: elsewhere."""
+    best = 0
     for step in path.split("/"):
         name, _, words = step.partition(".")
         if name == "main" or words == "main":
-            found, best = True, max(best, 3)
-        elif name == "article":
-            best = 4 if found else max(best, 2)
+            return 3
+        if name == "article":
+            best = 2
         elif words and set(WORDS.findall(words)) & MAIN_WORDS:
             best = max(best, 1)
     return best
 
 
-def article_paths(wrapper: list[Node], pages: int) -> list[str]:
-    """The slots that hold the article: of the best level there is, those whose text differs between pages, where there are pages to compare."""
-    found = {p: v for p, v in slots(wrapper).items() if not boilerplate(p)}
-    if pages >= LEAST_PAGES and any(found.values()):
-        found = {p: v for p, v in found.items() if v}
+def article_paths(wrapper: list[Node]) -> list[str]:
+    """The slots that hold the article: those of the best level there is."""
+    found = [p for p in slots(wrapper) if not boilerplate(p)]
     best = max(map(level, found), default=0)
     return sorted(p for p in found if level(p) == best)
 
@@ -405,33 +424,23 @@ def literals(blocks: list[tuple[str, str]]) -> set[str]:
 
 def extract(page: str, paths: set[str], template: set[str] = frozenset()) -> str:
     """The page's text in these slots, without the template's own; where it has none of them, by the general rule."""
-    own = [(v, p) for _, v, p in _blocks(page)]
+    own = _blocks(page)
     blocks = [(v, p) for v, p in own if p in paths]
     if not blocks:
         rest = [(v, p) for v, p in own if not boilerplate(p)]
         best = max((level(p) for _, p in rest), default=0)
         blocks = [(v, p) for v, p in rest if level(p) == best]
-    varied = [(v, p) for v, p in blocks if f"{p}\x1f{v}" not in template]
-    return "\n".join(v for v, _ in varied or blocks)
+    shared = [f"{p}\x1f{v}" in template for v, p in blocks]
+    if all(shared):  # copies of one page
+        return "\n".join(v for v, _ in blocks)
+    first, last = shared.index(False), len(shared) - shared[::-1].index(False)
+    drop = [s and (p.endswith(LINKED) or level(p) == 0 and not first <= i < last) for i, (s, (_, p)) in enumerate(zip(shared, blocks, strict=True))]
+    return "\n".join(v for (v, _), d in zip(blocks, drop, strict=True) if not d)
 
 
-def _blocks(page: str) -> Iterator[tuple[str, str, str]]:
-    held: list[str] = []
-    where: tuple[str, ...] = ()
-    for kind, value, path in events(page):
-        if kind == "text" and path == where:
-            held.append(value)
-            continue
-        found = clean(held)
-        held = []
-        if found:
-            yield "x", found, "/".join(where)
-        where = path
-        if kind == "text":
-            held.append(value)
-    found = clean(held)
-    if found:
-        yield "x", found, "/".join(where)
+def _blocks(page: str) -> list[tuple[str, str]]:
+    """A page's texts with their paths."""
+    return [(n[1], n[2]) for n in nodes_of(page) if n[0] == "x"]
 
 
 #: Wrappers that a task holds before it hands them on.
@@ -450,7 +459,7 @@ class Inferred:
 
     @classmethod
     def of(cls, page: str) -> Inferred:
-        return cls(stream(page), 1, literals([(v, p) for _, v, p in _blocks(page)]))
+        return cls(stream(page), 1, literals(_blocks(page)))
 
     def join(self, other: Inferred) -> None:
         self.nodes, self.pages, self.common = align(self.nodes, other.nodes), self.pages + other.pages, self.common & other.common
@@ -496,8 +505,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
     def last(part: pa.Table) -> pa.Table:
         host, _, out = joined(part)
-        template = sorted(out.common) if out.pages >= LEAST_PAGES else []
-        return pa.table({"host": [host], "paths": [article_paths(out.nodes, out.pages)], "template": [template]}, schema=last_schema)
+        template = sorted(out.common) if out.pages > 1 else []
+        return pa.table({"host": [host], "paths": [article_paths(out.nodes)], "template": [template]}, schema=last_schema)
 
     found = pages.select("host", "html").mapInArrow(infer, ddl)
     for _ in range(2):  # a tree: no task merges the wrappers of more than MERGED others, up to MERGED ** 3 tasks

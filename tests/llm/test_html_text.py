@@ -29,7 +29,7 @@ def test_words_of_the_whole_page_are_no_boilerplate():
     assert h.extract(page, set()) == "Text."
     pages = [page.replace("Text.", t) for t in ("one", "two")]
     wrapper = h.align(h.stream(pages[0]), h.stream(pages[1]))
-    assert h.extract(pages[1], set(h.article_paths(wrapper, 2))) == "two"
+    assert h.extract(pages[1], set(h.article_paths(wrapper))) == "two"
 
 
 def test_head_without_end_tag():
@@ -48,7 +48,7 @@ def test_wrappers_generalise():
     for p in pages * 3:
         wrapper = h.align(wrapper, h.stream(p))
     assert len(str(wrapper)) <= size + 100
-    assert h.article_paths(wrapper, 3) == ["html/body/article/h1", "html/body/article/p"]
+    assert h.article_paths(wrapper) == ["html/body/article/h1", "html/body/article/p"]
 
 
 def test_optional_and_repeated_groups():
@@ -63,8 +63,9 @@ def test_template_text_is_dropped_without_article():
     wrapper = h.stream(pages[0])
     for p in pages[1:]:
         wrapper = h.align(wrapper, h.stream(p))
-    paths = set(h.article_paths(wrapper, 3))
-    assert h.extract(pages[1], paths) == "two text"
+    paths = set(h.article_paths(wrapper))
+    common = set.intersection(*[h.literals(h._blocks(p)) for p in pages])
+    assert h.extract(pages[1], paths, common) == "two text"
 
 
 def test_all_pages(spark):
@@ -78,16 +79,39 @@ def test_all_pages(spark):
     assert h.main_text(df.limit(0)).collect() == []
 
 
-def test_template_inside_the_article_is_dropped(spark):
+def texts(spark, pages):
+    """Each page's text, all pages of one host."""
+    rows = [(i, f"http://a.example/{i}", p) for i, p in enumerate(pages)]
+    return [r.text for r in h.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id").collect()]
+
+
+def test_links_that_all_articles_have_are_dropped(spark):
     def page(i: int) -> str:
-        return HEAD + f"<article><h1>Title {i}</h1><p class=social>the social contract {i}</p><div class=cta>Tell a friend</div><p>Text {i}</p><p>All rights reserved here.</p></article><div class=comments>c {i}</div>" + TAIL
+        return HEAD + f"<article><h1>Title {i}</h1><p class=social>the social contract {i}</p><div class=cta><a href=/f>Tell a <b>friend</b></a></div><p>Text {i} and <a href=/x>a link</a></p><p><a href=/{i}>Source {i}</a></p><p>All rights reserved here.</p></article><div class=comments>c {i}</div>" + TAIL
+
+    # expected by hand: of what all pages have, only what is a link as a whole goes; one page alone tells nothing
+    whole = lambda i, cta: f"Title {i}\nthe social contract {i}\n{cta}Text {i} and a link\nSource {i}\nAll rights reserved here."
+    for n in (2, 3, 7):
+        assert texts(spark, [page(i) for i in range(n)]) == [whole(i, "") for i in range(n)]
+    assert texts(spark, [page(0)]) == [whole(0, "Tell a friend\n")]
+    assert h.extract(page(3), set()) == whole(3, "Tell a friend\n")
+
+
+def test_headings_and_sentences_that_a_host_repeats_stay(spark):
+    cake = lambda i: f"<main><article><h1>Cake {i}</h1><h2>Ingredients</h2><p>flour {i} grams</p><h2>Method</h2><p>mix it {i} times</p><p>Serve warm.</p></article></main>"
+    for n in (1, 2, 5):
+        assert texts(spark, [cake(i) for i in range(n)]) == [f"Cake {i}\nIngredients\nflour {i} grams\nMethod\nmix it {i} times\nServe warm." for i in range(n)]
+
+
+def test_names_count_as_a_whole():
+    assert h.extract("<main><h1>Intro</h1><article><p>a</p></article><p>after</p></main>", set()) == "Intro\na\nafter"
+    assert h.extract("<main><div class='social-science-form'><p>Real text of the article here.</p></div><p>Other.</p></main>", set()) == "Real text of the article here.\nOther."
+    assert h.extract("<main><div class='x cookie-banner'><p>Cookies!</p></div><div id=comments_section><p>c</p></div><p>Other.</p></main>", set()) == "Other."
+
 
-    rows = [(i, f"http://a.example/{i}", page(i)) for i in range(7)] + [(9, "http://b.example/", page(9))]
-    text = {r.page_id: r.text for r in h.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    # expected by hand: what varies between the host's pages stays, what all have goes; one page alone tells nothing
-    assert text[3] == "Title 3\nthe social contract 3\nText 3"
-    assert text[9] == "Title 9\nthe social contract 9\nTell a friend\nText 9\nAll rights reserved here."
-    assert h.extract(page(3), set()) != text[3]
+def test_text_between_own_texts_stays_without_article(spark):
+    page = lambda i: f"<div>Welcome</div><div><h2>Day {i}</h2><div>Weather</div><div>sun {i}</div></div><div>(c) all of us</div>"
+    assert texts(spark, [page(i) for i in range(3)]) == [f"Day {i}\nWeather\nsun {i}" for i in range(3)]
 
 
 def test_copies_of_one_page_keep_their_text(spark):
@@ -97,7 +121,7 @@ def test_copies_of_one_page_keep_their_text(spark):
 
 def test_main_before_teasers():
     assert h.extract("<main><p>m</p></main><article><p>teaser</p></article>", set()) == "m"
-    assert h.extract("<main><article><p>a</p></article><p>more</p></main>", set()) == "a"
+    assert h.extract("<main><article><p>a</p></article><p>more</p></main>", set()) == "a\nmore"
 
 
 def test_long_pages_are_aligned_in_time():
