@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparvane.functions import clean, text, vectors
-from sparvane.operators import impute, interp, knn, rollup, similarity
+from sparvane.operators import boundaries, impute, interp, knn, rollup, similarity
 from sparvane.plans import imputation, ingest
 from sparvane.sources.readers import spread
 
@@ -420,10 +420,61 @@ k AS (SELECT doc_id, unnest(['common', 'other', 'odd']) AS category, unnest([con
 SELECT doc_id, category, count(*) AS sentences, round(sum(CASE WHEN has THEN CAST(1.0 AS DOUBLE) ELSE 0.9 END), 6) AS weight FROM k GROUP BY doc_id, category"""
 )
 def keyword_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = injected(spark, sf_dir).select("doc_id", F.explode(text.clean_sentences(text.report_text(F.col("text")))).alias("Text"))
+    judged = text.judged_sentences(injected(spark, sf_dir), ["doc_id"], text.report_text(F.col("text")))
+    s = judged.where(~F.col("bad")).select("doc_id", F.col("s").alias("Text"))
     return similarity.gates(s, LEXICON).groupBy("doc_id", "category").agg(F.count(F.lit(1)).alias("sentences"), F.round(F.sum("gate"), 6).alias("weight"))
 
 
+# ---- sentence boundaries learned from the corpus -------------------------------------------------------------------------
+
+
+def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, two of three with sentences of abbreviations, initials and decimals."""
+    d = spread(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kind = F.col("doc_id") % 3
+    more = F.when(kind == 0, F.lit(" The yield of Fig. 3 was found by Smith et al. at 2.5 MeV, e.g. by J. R. Taylor. The et of it is so.")).when(kind == 1, F.lit(" It is the fig of Ref. 12 that was seen. The value is approx. 0.5 barn (see Eq. 4).")).otherwise(F.lit(""))
+    return d.select("doc_id", F.concat("text", more).alias("text"))
+
+
+B = r"""ar AS (SELECT doc_id, text || CASE doc_id % 3 WHEN 0 THEN ' The yield of Fig. 3 was found by Smith et al. at 2.5 MeV, e.g. by J. R. Taylor. The et of it is so.'
+  WHEN 1 THEN ' It is the fig of Ref. 12 that was seen. The value is approx. 0.5 barn (see Eq. 4).' ELSE '' END AS text FROM documents),
+ws AS (SELECT doc_id, list_filter(string_split_regex(text, '\s+'), lambda x: x <> '') AS ws FROM ar),
+wd AS (SELECT doc_id, i - 1 AS pos, ws[i] AS word, CASE WHEN i < len(ws) THEN ws[i + 1] END AS nw FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM ws)),
+wt AS (SELECT *, regexp_replace(word, '[)\]"''»”’]+$', '') AS closed,
+  regexp_replace(regexp_replace(lower(word), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}.]+$', '', 'g'), '[^\p{L}\p{N}]+$', '') AS type,
+  regexp_replace(regexp_replace(lower(nw), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}.]+$', '', 'g'), '[^\p{L}\p{N}]+$', '') AS nt, regexp_replace(nw, '^[^\p{L}\p{N}]+', '') AS nb FROM wd),
+wk AS (SELECT doc_id, pos, type, nw, nt, coalesce(regexp_matches(nb, '^\p{Lu}'), false) AS capital, coalesce(regexp_matches(nb, '^\p{Ll}'), false) AS small,
+  CASE WHEN closed LIKE '%.' THEN '.' WHEN regexp_matches(closed, '[!?…]$') THEN '!' ELSE '' END AS stop FROM wt),
+sh AS (SELECT avg(CASE WHEN stop = '.' THEN 1.0 ELSE 0.0 END) AS p FROM wk),
+ct AS (SELECT type, count(*) FILTER (stop = '.') AS stopped, count(*) FILTER (stop <> '.') AS plain FROM wk WHERE regexp_matches(type, '\p{L}') GROUP BY type HAVING count(*) FILTER (stop = '.') > 0),
+sc AS (SELECT type, stopped, plain, 2 * (stopped * ln(0.99::DOUBLE) + plain * ln(1 - 0.99::DOUBLE) - stopped * ln(p) - plain * ln(1 - p)) * exp(-length(replace(type, '.', ''))::DOUBLE)
+  * (length(type) - length(replace(type, '.', '')) + 1) * power(length(replace(type, '.', ''))::DOUBLE, -plain::DOUBLE) AS score FROM ct CROSS JOIN sh)"""
+
+
+@query(f"WITH {B} SELECT type, stopped, plain, round(score, 4) AS score FROM sc WHERE score >= 0.3")
+def learned_abbreviations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = boundaries.scored(boundaries.words(articles(spark, sf_dir), "doc_id", F.col("text")))
+    return found.where(F.col("score") >= boundaries.ABBREVIATION).select("type", "stopped", "plain", F.round("score", 4).alias("score"))
+
+
+@query(
+    rf"""WITH {B}, ab AS (SELECT type FROM sc WHERE score >= 0.3),
+af AS (SELECT nt AS type, count(*)::DOUBLE AS n, (count(*) FILTER (stop = '!' OR (stop = '.' AND ab.type IS NULL)))::DOUBLE AS k, count(*) FILTER (small) AS lows, count(*) FILTER (capital AND stop = '') AS inside
+  FROM wk LEFT JOIN ab ON ab.type = wk.type WHERE nt <> '' GROUP BY nt),
+tt AS (SELECT sum(n) AS n, sum(k) AS m FROM af),
+rt AS (SELECT af.type, lows, inside, af.n, k, m, tt.n AS total, m / tt.n AS p, k / af.n AS p1, (m - k) / nullif(tt.n - af.n, 0) AS p2 FROM af CROSS JOIN tt),
+st AS (SELECT type FROM rt WHERE (p1 > p AND 2 * (k * ln(greatest(p1, 1e-12)) + (n - k) * ln(greatest(1 - p1, 1e-12)) + (m - k) * ln(greatest(p2, 1e-12)) + (total - n - m + k) * ln(greatest(1 - p2, 1e-12))
+  - k * ln(p) - (n - k) * ln(1 - p) - (m - k) * ln(p) - (total - n - m + k) * ln(1 - p)) >= 30) OR (lows > 0 AND inside = 0)),
+mk AS (SELECT doc_id, pos, CASE WHEN nw IS NULL OR stop = '!' THEN true WHEN stop = '' THEN false WHEN ab.type IS NOT NULL OR regexp_matches(wk.type, '^\p{{L}}$') THEN capital AND st.type IS NOT NULL
+  WHEN regexp_matches(wk.type, '^\p{{N}}+$') THEN capital ELSE true END AS ends FROM wk LEFT JOIN ab ON ab.type = wk.type LEFT JOIN st ON st.type = wk.nt)
+SELECT doc_id, count(*) AS sentences, md5(string_agg(CAST(pos AS VARCHAR), ',' ORDER BY pos)) AS md5 FROM mk WHERE ends GROUP BY doc_id"""
+)
+def learned_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = boundaries.marked(boundaries.words(articles(spark, sf_dir), "doc_id", F.col("text"))).where("ends")
+    places = F.array_join(F.transform(F.array_sort(F.collect_list("pos")), lambda p: p.cast("string")), ",")
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("sentences"), F.md5(places.cast("binary")).alias("md5"))
+
+
 # ---- vectors -----------------------------------------------------------------------------------------------------------
 
 

@@ -6,11 +6,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparvane.functions.text import clean_sentences, kept_sentences, report_text
-from sparvane.operators import similarity
+from sparvane.functions.text import bad_sentence, clean_sentences, kept_sentences, report_text, tidy
+from sparvane.operators import boundaries, similarity
 
 #: The categories of the lexicon, in order.
 CATEGORIES = (
@@ -32,12 +32,17 @@ def split_by(text: Column, splitter: Callable[[str], list[str]]) -> Column:
     return found(text)
 
 
-def sentences(reports: DataFrame, splitter: Callable[[str], list[str]] | None = None) -> DataFrame:
+def sentences(reports: DataFrame, splitter: Callable[[str], list[str]] | None = None, learned: bool = False) -> DataFrame:
     """(EXFOR_Entry, Sentence_Number, Text) of (report_id, text): kept sentences, numbered from 1.
 
     splitter: a segmenter in place of the rule that a sentence ends at . ! or ?
+    learned: boundaries by what the reports say of their abbreviations.
     """
     text = report_text(F.col("text"))
+    if learned:
+        found = boundaries.sentences(reports, "report_id", text).select(F.col("report_id").alias("EXFOR_Entry"), "number", tidy(F.col("sentence")).alias("Text"))
+        number = F.row_number().over(Window.partitionBy("EXFOR_Entry").orderBy("number"))
+        return found.where(~bad_sentence(F.col("Text"))).select("EXFOR_Entry", number.alias("Sentence_Number"), "Text")
     kept = clean_sentences(text) if splitter is None else kept_sentences(split_by(text, splitter))
     found = reports.select(F.col("report_id").alias("EXFOR_Entry"), F.posexplode(kept).alias("pos", "Text"))
     return found.select("EXFOR_Entry", (F.col("pos") + 1).alias("Sentence_Number"), "Text")
