@@ -34,6 +34,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 
@@ -41,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparvane.llm.common import materialize, utf8
@@ -52,7 +53,9 @@ SCALE = 2_000_000
 #: A phrase goes where a longer one has at least this share of its occurrences, in percent.
 WITHIN = 80
 #: Positions of a shard, positions of all open shards of a task, blocks of a stretch, bytes of text read at a time.
-SHARD, OPEN, STRETCH, PART = 1 << 20, 1 << 22, 256, 1 << 22
+SHARD, OPEN, STRETCH, PART = 1 << 22, 1 << 23, 256, 1 << 22
+#: Bytes of input that a task reads at least: the larger a shard, the fewer of its phrases are told apart from other shards' same ones.
+READ_BYTES = 64 << 20
 UNKNOWN = "und"
 #: The id of the end of a piece.
 GAP = 0
@@ -62,8 +65,9 @@ READ = bytes(ord(".") if chr(b) in ".,;:!?\n\x0b\x0c\r" else ord(" ") if b == 9
 SHARD_SCHEMA = "lang string, shard long, lead int, size long, words array<string>, counts array<long>, splits binary, blocks binary, bits binary"
 PRUNED_SCHEMA = "lang string, shard long, lead int, size long, words array<string>, splits binary, blocks binary, bits binary"
 PRUNED = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("lead", pa.int32()), ("size", pa.int64()), ("words", pa.list_(pa.string())), ("splits", pa.binary()), ("blocks", pa.binary()), ("bits", pa.binary())])
-COUNTED_SCHEMA = "lang string, shard long, phrase string, n long"
-COUNTED = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("phrase", pa.string()), ("n", pa.int64())])
+#: A phrase as it moves, its language before a line end and before the words.
+COUNTED_SCHEMA = "phrase string, shard long, n int"
+COUNTED = pa.schema([("phrase", pa.string()), ("shard", pa.int64()), ("n", pa.int32())])
 
 
 class Open:
@@ -135,12 +139,19 @@ def words_of(text: bytes) -> Iterator[list[bytes]]:
         at = end
 
 
+def _joined_splits(docs: DataFrame) -> DataFrame:
+    """docs in fewer partitions where the session's splits of files are below ``READ_BYTES``; nothing is shuffled."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", docs.sparkSession.conf.get("spark.sql.files.maxPartitionBytes").lower()).groups()
+    times = READ_BYTES // max(1, int(number) << 10 * " kmgt".index(unit or " "))
+    return docs.coalesce(-(-docs.rdd.getNumPartitions() // times)) if times > 1 else docs
+
+
 def shards(docs: DataFrame, longest: int = LONGEST, size: int = SHARD, most: int = OPEN) -> DataFrame:
     """The corpus as position bitmaps, one row per shard.
 
     most: positions that a task holds in shards not yet full; beyond it the largest is ended.
     """
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), utf8().alias("data"))
+    rows = _joined_splits(docs).select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"), utf8().alias("data"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("lead", pa.int32()), ("size", pa.int64()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64())), ("splits", pa.binary()), ("blocks", pa.binary()), ("bits", pa.binary())])
@@ -284,8 +295,8 @@ def grown(shard: dict, phrases: pa.Array, k: int) -> tuple[pa.Array, np.ndarray]
 
 
 def frequent(counted: DataFrame, least: int) -> DataFrame:
-    """The rows (lang, phrase, shard) whose count f over all shards is at least ``least``."""
-    total = F.sum("n").over(Window.partitionBy("lang", "phrase"))
+    """The rows (phrase and shard) whose count f over all shards is at least ``least``."""
+    total = F.sum("n").over(Window.partitionBy(*[c for c in ("lang", "phrase") if c in counted.columns]))
     return counted.withColumn("f", total).where(F.col("f") >= least).drop("n")
 
 
@@ -303,7 +314,10 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: in
         else:
             counted = kept.groupBy("shard").cogroup(levels[-1].select("shard", "phrase").groupBy("shard")).applyInArrow(grow_by(k), COUNTED_SCHEMA)
         levels.append(materialize(frequent(counted, least), f"phrases-{k}"))
-    every = [x.select("lang", F.lit(k).alias("words"), "phrase", "f").distinct() for k, x in enumerate(levels, 1)]
+    # a language may hold any character, words no line end
+    lang = F.expr("substring(phrase, 1, length(phrase) - instr(reverse(phrase), '\n'))")
+    phrase = F.substring_index("phrase", "\n", -1)
+    every = [x.select(*(["lang"] if k == 1 else [lang.alias("lang")]), F.lit(k).alias("words"), phrase.alias("phrase"), "f").distinct() for k, x in enumerate(levels, 1)]
     table = every[0]
     for x in every[1:]:
         table = table.unionByName(x)
@@ -327,7 +341,8 @@ def pruned(shard: pa.Table, words: pa.Table) -> pa.Table:
 
 def counted_table(shard: dict, phrases: pa.Array, k: int) -> pa.Table:
     found, n = grown(shard, phrases, k)
-    return pa.table([pa.array([shard["lang"]] * len(n), pa.string()), pa.array([shard["shard"]] * len(n), pa.int64()), found, pa.array(n)], schema=COUNTED)
+    named = pc.binary_join_element_wise(pa.scalar(shard["lang"]), found, "\n")
+    return pa.table([named, pa.array(np.full(len(n), shard["shard"])), pa.array(n.astype(np.int32))], schema=COUNTED)
 
 
 def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +357,9 @@ def grow_by(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(shard: pa.Table, phrases: pa.Table) -> pa.Table:
         if not phrases.num_rows:
             return COUNTED.empty_table()
-        return counted_table(shard.to_pylist()[0], phrases.column("phrase").cast(pa.string()).combine_chunks(), k)
+        row = shard.to_pylist()[0]
+        known = phrases.column("phrase").cast(pa.string()).combine_chunks()
+        return counted_table(row, pc.utf8_slice_codeunits(known, len(row["lang"]) + 1), k)
 
     return run
 
