@@ -71,23 +71,24 @@ class Index:
 
         return found(_middle(self.names))
 
-    def near_leaves(self) -> Column:
-        """All leaves, the nearest first, as structs (leaf, bound, items of the nearer ones)."""
+    def near_leaves(self, first: int = 0, limit: Column | None = None) -> Column:
+        """Without a limit the nearest leaves, until they hold ``first`` items; with one those within it."""
+        bounded = limit is not None  # the function must not hold the column
         low, high, leaves, counts, starts = self.low, self.high, self.leaves, self.counts, np.cumsum([0, *[len(t) for t in self.terms]])[:-1]
 
-        @F.pandas_udf("array<struct<leaf: int, bound: double, nearer: long>>")
+        @F.pandas_udf("array<int>")
         def found(box: pd.DataFrame) -> pd.Series:
-            values = box.to_numpy(float)
-            n, out = low.shape[1], []
+            values, n, out = box.to_numpy(float), low.shape[1], []
             for row in values:
-                apart = np.nan_to_num(np.maximum(np.maximum(row[:n] - high, low - row[n:]), 0), nan=0.0)
+                apart = np.nan_to_num(np.maximum(np.maximum(row[:n] - high, low - row[n : 2 * n]), 0), nan=0.0)
                 total = np.maximum.reduceat(apart, starts, axis=1).sum(axis=1) * (1 - SLACK)
                 order = np.argsort(total, kind="stable")
-                before = np.cumsum(counts[order]) - counts[order]
-                out.append([{"leaf": int(leaves[i]), "bound": float(total[i]), "nearer": int(b)} for i, b in zip(order, before, strict=True)])
+                near = total[order] <= row[-1] if bounded else np.cumsum(counts[order]) - counts[order] < first
+                out.append(leaves[order[near]].astype(np.int32))
             return pd.Series(out, dtype=object)
 
-        return found(F.struct(*[F.col(lo(n)).cast("double").alias(lo(n)) for n in self.names], *[F.col(hi(n)).cast("double").alias(hi(n)) for n in self.names]))
+        ends = [F.col(end(n)).cast("double").alias(end(n)) for end in (lo, hi) for n in self.names]
+        return found(F.struct(*ends, *([] if limit is None else [limit.cast("double").alias("limit")])))
 
 
 def _middle(names: list[str]) -> Column:

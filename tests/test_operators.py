@@ -174,12 +174,12 @@ def test_leaves_and_boxes(spark):
     index, filed = metric.build(items, [["c0", "c1"], ["c2"], ["c3"]])
     assert len(index.leaves) > 64 and index.counts.sum() == 3000 and filed.groupBy("leaf").count().agg(F.max("count")).first()[0] < 200
     query = [(0, *[float(v) for p in rng.random(4) for v in (p, p)])]
-    row = spark.createDataFrame(query, items.schema).select(index.near_leaves().alias("l")).first().l
-    assert [x.bound for x in row] == sorted(x.bound for x in row) and {x.leaf for x in row} == set(index.leaves.tolist())
-    least = dict((x.leaf, x.bound) for x in row)
-    a = spark.createDataFrame(query, items.schema).alias("a")
-    pairs = a.crossJoin(filed.alias("b")).select("b.leaf", metric.bound(index.terms).alias("bound")).collect()
-    assert all(p.bound >= least[p.leaf] - 1e-12 for p in pairs)
+    row = spark.createDataFrame(query, items.schema)
+    pairs = row.alias("a").crossJoin(filed.alias("b")).select("b.i", "b.leaf", metric.bound(index.terms).alias("bound")).collect()
+    near = row.select(index.near_leaves(50).alias("l")).first().l
+    assert 0 < len(near) < 20 and sum(p.leaf in near for p in pairs) >= 50
+    within = row.select(index.near_leaves(limit=F.lit(0.6)).alias("l")).first().l
+    assert {p.leaf for p in pairs if p.bound <= 0.6} <= set(within) and len(within) < len(index.leaves)
 
 
 def test_cosine_term(spark):
