@@ -109,10 +109,12 @@ def payload_of(lines: list[str], payload: bytes) -> bytes:
     What does not hold to its encoding is left as it is from there on.
     """
     headers = [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])]
-    if (get(headers, "Transfer-Encoding") or "").lower() == "chunked":
-        payload = _dechunked(payload)
-    for coding in reversed((get(headers, "Content-Encoding") or "").lower().split(",")):
-        if coding.strip() in ("gzip", "x-gzip", "deflate"):
+    # content codings are applied before transfer codings, each list in its order
+    codings = ",".join(get(headers, name) or "" for name in ("Content-Encoding", "Transfer-Encoding")).lower().split(",")
+    for coding in reversed([c.strip() for c in codings]):
+        if coding == "chunked":
+            payload = _dechunked(payload)
+        elif coding in ("gzip", "x-gzip", "deflate"):
             payload = _inflated(payload)
     return payload
 
@@ -156,7 +158,7 @@ def is_text(lines: list[str]) -> bool:
     """Whether a response is a page: no HTTP head, or a 200 of HTML, XHTML or plain text (where it says so)."""
     if not lines:
         return True
-    status = lines[0].split(" ")[1:2]
+    status = lines[0].split()[1:2]
     kind = (get([(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])], "Content-Type") or "text/html").split(";")[0].strip().lower()
     return status == ["200"] and kind in ("text/html", "application/xhtml+xml", "text/plain")
 
@@ -188,7 +190,7 @@ def derive(headers: Headers, block: bytes) -> list[tuple[Headers, bytes]]:
     name = charset[1].lower() if charset else "utf-8"
     try:
         page = payload.decode(name, "replace")
-    except LookupError:
+    except (LookupError, ValueError):  # no such character set, or one that decodes nothing
         name, page = "utf-8", payload.decode("utf-8", "replace")
     page = page if page_like else ""
     title = TITLE.search(page)

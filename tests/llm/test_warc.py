@@ -86,6 +86,25 @@ def test_encoded_payloads_are_decoded():
         assert [h[0][1] for h, _ in made] == ["metadata", "conversion"] and made[1][1].decode() == "Größe und Text", head
 
 
+@pytest.mark.parametrize("charset", ["idna", "undefined", "punycode", "hex", "base64", "x\\0y", "no-such-set", ""])
+def test_any_character_set_name(charset):
+    (_, meta), (_, text) = warc.derive(*http(f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset={charset}", "<p>gr\u00fc\u00df dich</p>".encode()))
+    assert b"charset-detected: " in meta and text.startswith(b"gr")
+
+
+def test_lists_of_codings_and_odd_status_lines():
+    import gzip
+
+    page = b"<article><p>Text of some length.</p></article>"
+    chunked = lambda d: b"".join(f"{len(d[i : i + 7]):x}\r\n".encode() + d[i : i + 7] + b"\r\n" for i in range(0, len(d), 7)) + b"0\r\n\r\n"
+    for head, payload in (
+        ("HTTP/1.1 200 OK\r\nTransfer-Encoding: gzip, chunked", chunked(gzip.compress(page))),
+        ("HTTP/1.1 200 OK\r\nTransfer-Encoding: Chunked ", chunked(page)),
+        ("HTTP/1.1  200  OK\r\nContent-Encoding: gzip\r\nTransfer-Encoding: identity,chunked", chunked(gzip.compress(page))),
+    ):
+        assert warc.derive(*http(head, payload))[1][1] == b"Text of some length."
+
+
 def test_what_is_no_page_has_no_conversion():
     for head in ("HTTP/1.1 301 Moved\nLocation: /y\nContent-Type: text/html", "HTTP/1.1 200 OK\nContent-Type: image/png", "HTTP/1.1 404 No"):
         made = warc.derive(*http(head, b"\x89PNG <p>x</p>"))
