@@ -46,5 +46,5 @@ def test_short_words_are_cut_too(spark, make):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in queries.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.queries()] == [f"op{k}" for k in range(1, 14)]
     assert len(corpus_pipeline.STAGES) == 5
