@@ -1,10 +1,7 @@
-"""Shared folder, materialisation and Arrow helpers of the training-data operators."""
+"""Tables and Arrow helpers of the training-data operators."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -12,40 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used where the session names no shared folder (tests, one machine).
-LOCAL_SHARED = "file:///tmp/checkpoints"
+from sparvane.sources.shared import materialize, release, shared_dir
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or LOCAL_SHARED where that is unset and all run on one machine."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        named = LOCAL_SHARED
-        spark.conf.set("spark.checkpoint.dir", named)
-        own = f"{named.removeprefix('file://')}/{spark.sparkContext.applicationId}"
-        atexit.register(shutil.rmtree, own, ignore_errors=True)
-    return named.rstrip("/")
-
-
-def release(spark: SparkSession) -> None:
-    """Delete what this application has written to the shared folder; results not yet written elsewhere can then not be read."""
-    jvm, context = spark.sparkContext._jvm, spark.sparkContext
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{context.applicationId}")
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet in the shared folder and read it back.
-
-    Lost executors then cost a re-read, not a recomputation, and every later
-    use sees the same rows.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["column_bytes", "documents", "grouped", "materialize", "pages", "release", "shared_dir", "slices", "table", "utf8", "without"]
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
