@@ -33,6 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     only their count and checksum come to the driver. The minimum over a
     node's neighbours is a partial aggregate and the join back is one that
     AQE can split, so a node with very many neighbours fills no single task.
+    Nodes and edges never go out whole: all joins are by merge.
     """
     edges = edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges = materialize(edges, "edges")
@@ -40,9 +41,9 @@ def components(edges: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
+        large = both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(low.hint("merge"), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
         before, state = state, _state(edges)
         if before == state:

@@ -194,7 +194,7 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCK
 
     points = hot.mapInArrow(spread, "t int, fp long, point long")
     roots = points.groupBy("t", "point").agg(F.min("fp").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("t", "point", "v")
-    return near.unionByName(points.join(roots, ["t", "point"]).where("fp != v").select("t", F.col("fp").alias("u"), "v").distinct())
+    return near.unionByName(points.join(roots.hint("merge"), ["t", "point"]).where("fp != v").select("t", F.col("fp").alias("u"), "v").distinct())
 
 
 def simhash_components(docs: DataFrame, n: int = 4, seed: int = 42, max_bits: int = MAX_BITS, max_bucket: int = MAX_BUCKET) -> DataFrame:
@@ -202,10 +202,11 @@ def simhash_components(docs: DataFrame, n: int = 4, seed: int = 42, max_bits: in
     rows = materialize(fingerprints(docs, n, (seed,)).select("doc_id", F.col("fps")[0].alias("fp")), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(thin(links(nodes.select(F.lit(0).alias("t"), "fp"), max_bits, max_bucket).select("u", "v")))
+    roots = roots.hint("merge")  # as large as the table, and so are the joins below
     of = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = of.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = of.join(named, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = of.join(named.hint("merge"), "root").select("fp", "component_id")
+    return rows.join(named.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 #: The pipeline stage: words of a shingle, and the least Jaccard index of near-duplicates as a fraction.
@@ -356,9 +357,10 @@ def near_duplicate_groups(docs: DataFrame, cell: int = CELL) -> DataFrame:
     rows = materialize(signatures(docs).where("doc_id is not null"), "signatures")
     groups = materialize(rows.groupBy("set", "keys").agg(F.min("doc_id").alias("first")), "groups")
     roots = components(alike_edges(docs, groups, cell))
+    roots = roots.hint("merge")
     of = groups.join(roots, groups.set == roots.node, "left").select("set", "first", F.coalesce("root", "set").alias("root"))
-    named = of.join(of.groupBy("root").agg(F.min("first").alias("component_id")), "root").select("set", "component_id")
-    return rows.join(named, "set").select("doc_id", "component_id")
+    named = of.join(of.groupBy("root").agg(F.min("first").alias("component_id")).hint("merge"), "root").select("set", "component_id")
+    return rows.join(named.hint("merge"), "set").select("doc_id", "component_id")
 
 
 def without_near_duplicates(docs: DataFrame, cell: int = CELL) -> DataFrame:

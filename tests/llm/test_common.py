@@ -3,6 +3,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from sparvane.llm import common
 
@@ -16,6 +17,17 @@ def test_tables_are_written_to_the_shared_folder_and_released(spark):
     assert common.materialize(spark.range(0), "none").count() == 0
 
 
+def test_large_tables_that_pack_well_are_not_broadcast(spark):
+    """A file of one repeated value is tiny; unpacked it would fill the driver."""
+    n = common.FEW + 1
+    large, few = (common.materialize(spark.range(k).select((F.col("id") * 0).alias("k"), F.lit(1.5).alias("v")), "repeated") for k in (n, 3))
+    other = spark.range(5).withColumnRenamed("id", "k").repartition(2)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan(other.join(large, "k")) and "SortMergeJoin" in plan(large.where("v > 1").join(other, "k"))
+    assert "BroadcastHashJoin" in plan(other.join(few, "k")) and other.join(large, "k").count() == n
+    assert "BroadcastHashJoin" in plan(large.join(common.few(few), "k"))
+
+
 def test_slices_by_bytes():
     batch = pa.record_batch({"x": pa.array(range(7)), "t": pa.array(["abc", "abc", "é", None, "x" * 50, "", "y"])})
     parts = [p.column(0).to_pylist() for p in common.slices(batch.slice(1), batch.slice(1).column(1), 10)]

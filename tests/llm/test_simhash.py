@@ -199,3 +199,14 @@ def test_thin_keeps_components(spark):
     roots = lambda e: sorted(tuple(r) for r in simhash.components(e).collect())
     assert roots(few) == roots(edges)
     assert few.count() < 900 + 100 < len(pairs)
+
+
+def test_no_join_of_components_is_broadcast(spark):
+    """Tables of these joins grow with the corpus, and a broadcast is built in the driver."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40, 2)], "u long, v long")
+    docs = spark.createDataFrame([(1, "a b c d"), (2, "a b c d"), (3, "x")], "doc_id long, text string")
+    plans = []
+    for df in (components(edges), simhash.simhash_components(docs)):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+    assert not any("BroadcastHashJoin" in p for p in plans)
