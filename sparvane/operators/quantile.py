@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparvane.sources.shared import materialize
+from sparvane.sources.shared import few, materialize
 
 #: Rows up to which a group is counted as a whole, and the sketch's accuracy: a bracket holds some 4 / ACCURACY of a group's rows.
 WHOLE, ACCURACY = 20_000, 10_000
@@ -38,8 +38,8 @@ def quantile(df: DataFrame, keys: list[str], value: Column, q: float, name: str,
     if large.isEmpty():
         out = rows.groupBy(*own).agg(F.percentile("__v", q).alias(name))
     else:
-        names = large.select(*[F.col(o).alias(f"l{o}") for o in own], F.col("__n"))
-        some, rest = (rows.join(F.broadcast(names) if not keys else names, _same(rows, names, own, "l"), how).select(rows["*"]) for how in ("left_semi", "left_anti"))
+        names = few(large.select(*[F.col(o).alias(f"l{o}") for o in own], F.col("__n")))
+        some, rest = (rows.join(names, _same(rows, names, own, "l"), how).select(rows["*"]) for how in ("left_semi", "left_anti"))
         selected = _select(some.where("__v is not null"), large, own, q, name)
         counted = rest.groupBy(*own).agg(F.percentile("__v", q).alias(name))
         out = selected.unionByName(counted)
@@ -54,7 +54,7 @@ def _select(rows: DataFrame, sizes: DataFrame, keys: list[str], q: float, name:
     ranks = sizes.select(*keys, F.floor(at).cast("long").alias("__low"), F.ceil(at).cast("long").alias("__high"), (at - F.floor(at)).alias("__part"))
     ends = [max(0.0, q - 2 / ACCURACY), min(1.0, q + 2 / ACCURACY)]
     sketch = rows.groupBy(*keys).agg(F.percentile_approx("__v", ends, ACCURACY).alias("s"))
-    brackets = sketch.select(*keys, F.col("s")[0].alias("__a"), F.col("s")[1].alias("__b"))
+    brackets = materialize(sketch.select(*keys, F.col("s")[0].alias("__a"), F.col("s")[1].alias("__b")), "brackets")
     found = materialize(_picked(rows, brackets, ranks, keys), "quantiles")
     missed = (F.coalesce("__lo", F.lit(BELOW)) == BELOW) | F.col("__hi").isNull()
     # a sketch that is off its bound costs another pass, with all values of the group in the bracket
@@ -66,11 +66,12 @@ def _select(rows: DataFrame, sizes: DataFrame, keys: list[str], q: float, name:
 
 def _picked(rows: DataFrame, brackets: DataFrame, ranks: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, __part, __lo, __hi): the values at two ranks; BELOW or null where a rank is not in the bracket."""
-    b = brackets.select(*[F.col(k).alias(f"b{k}") for k in keys], "__a", "__b")
+    # one row for each group of very many rows goes out; the rows stay where they are
+    b = few(brackets.select(*[F.col(k).alias(f"b{k}") for k in keys], "__a", "__b"))
     # what lies below a bracket is one value; equal values are combined before they move
     inside = rows.join(b, _same(rows, b, keys, "b")).where("__v <= __b").groupBy(*[rows[k] for k in keys], F.when(F.col("__v") >= F.col("__a"), F.col("__v")).otherwise(BELOW).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     upto = F.sum("__c").over(Window.partitionBy(*keys).orderBy("__v"))
-    r = ranks.select(*[F.col(k).alias(f"r{k}") for k in keys], "__low", "__high", "__part")
+    r = few(ranks.select(*[F.col(k).alias(f"r{k}") for k in keys], "__low", "__high", "__part"))
     placed = inside.withColumn("__upto", upto)
     met = placed.join(r, _same(placed, r, keys, "r"))
     pick = lambda rank: F.min(F.when(F.col("__upto") > F.col(rank), F.col("__v")))
