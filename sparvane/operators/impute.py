@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparvane.functions.clean import safe_ratio
 from sparvane.operators.quantile import quantile
+from sparvane.sources.shared import few, materialize
 
 QUANTILE, CAP = 0.90, 10.0
 
@@ -41,6 +42,7 @@ def assume_errors(df: DataFrame, channel: list[str], gate: list[str], data: str
     """
     fallback = global_quantile(df, data, error, q) if fallback is None else fallback
     fractions = channel_fractions(df, channel, gate, data, error, q, cap).crossJoin(F.broadcast(fallback))  # one row
-    fractions = fractions.select(*channel, F.coalesce("fraction", "global_fraction").alias("fraction"))
+    # one row a channel: the rows of a channel need not meet in a task
+    fractions = few(materialize(fractions.select(*channel, F.coalesce("fraction", "global_fraction").alias("fraction")), "fractions"))
     on = reduce(lambda a, b: a & b, [df[c].eqNullSafe(fractions[c]) for c in channel])
     return df.join(fractions, on, "left").select(df["*"], F.coalesce(df[error], df[data] * fractions["fraction"]).alias(assumed))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sparvane.operators import impute
 from sparvane.operators import quantile as module
 from sparvane.operators.quantile import quantile
 
@@ -61,3 +62,12 @@ def test_a_hot_group_is_ordered_within_its_bracket_only(spark):
     rows = df.select(F.col("k"), F.col("v").alias("__v"))
     ends = rows.groupBy("k").agg(F.percentile_approx("__v", [0.9 - 2 / module.ACCURACY, 0.9 + 2 / module.ACCURACY], module.ACCURACY).alias("s")).first().s
     assert rows.where(F.col("__v").between(*ends)).count() < 20 * n / module.ACCURACY
+
+
+def test_rows_of_a_channel_need_not_meet(spark):
+    """Quantiles and fractions go to the rows: no task sorts or builds a table of a hot channel."""
+    df = spark.range(150_000).select((F.col("id") % 2).alias("c"), F.lit(2.0).alias("Data"), F.when(F.col("id") % 3 > 0, 1.0).alias("dData"))
+    out = impute.assume_errors(df, ["c"], ["dData"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BuildLeft" not in plan
+    assert {(r.c, r.dData_assumed) for r in out.distinct().collect()} == {(0, 1.0), (1, 1.0)}
