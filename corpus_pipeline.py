@@ -24,7 +24,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near-duplicates."""
+    """The document with the smallest doc_id of each group of near-duplicates: candidates by SimHash and MinHash bands, then exact."""
     return simhash.without_near_duplicates(docs)
 
 

@@ -209,7 +209,7 @@ def simhash_components(docs: DataFrame, n: int = 4, seed: int = 42, max_bits: in
     return rows.join(named.hint("merge"), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: The pipeline stage: words of a shingle, and the least Jaccard index of near-duplicates as a fraction.
+#: The pipeline stage, whose candidates meet by SimHash and by bands: words of a shingle, and the least Jaccard index of near-duplicates as a fraction.
 STAGE_SHINGLE = 5
 ALIKE = (4, 5)
 #: Bands of MinHash values, and values of a band: a pair at an index of 0.8 meets in none with a chance of (1 - 0.8 ** 4) ** 28 = 4e-7.
@@ -245,19 +245,21 @@ def band_keys(found: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, set, keys): the id of the text's shingle set and its band keys."""
-    schema = pa.schema([("doc_id", pa.int64()), ("set", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """(doc_id, fp, set, keys): the text's SimHash, the id of its shingle set and that set's band keys."""
+    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("set", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = [], []
+            fps, ids, keys = [], [], []
             for t in batch.column("data"):
-                found = shingle_set(t.as_py())
+                text = t.as_py()
+                found = shingle_set(text)
+                fps.append(_signed(fingerprint(text)))
                 ids.append(set_id(found))
                 keys.append(band_keys(found))
-            yield table({"doc_id": batch.column("doc_id"), "set": ids, "keys": keys}, schema)
+            yield table({"doc_id": batch.column("doc_id"), "fp": fps, "set": ids, "keys": keys}, schema)
 
-    return docs.select(F.col("doc_id").cast("long"), utf8().alias("data")).mapInArrow(run, "doc_id long, set long, keys array<long>")
+    return docs.select(F.col("doc_id").cast("long"), utf8().alias("data")).mapInArrow(run, "doc_id long, fp long, set long, keys array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -306,8 +308,15 @@ def _cell_links(roots: list[int], sides: list[bool], sets: list[np.ndarray]) ->
     return out
 
 
-def alike_edges(docs: DataFrame, groups: DataFrame, cell: int = CELL) -> DataFrame:
-    """(set, first, keys) distinct -> (u, v): pairs of alike sets that have the components of all alike pairs that share a band key.
+def simhash_keys(rows: DataFrame) -> DataFrame:
+    """(set, key) distinct of (set, fp): the SimHash component, at MAX_BITS bits by deletion variants, of each fingerprint a set has."""
+    roots = components(thin(links(rows.select(F.lit(0).alias("t"), "fp").distinct()).select("u", "v"))).hint("merge")
+    of = rows.select("set", "fp").distinct()
+    return of.join(roots, of.fp == roots.node, "left").select("set", F.coalesce("root", "fp").alias("key")).distinct()
+
+
+def alike_edges(docs: DataFrame, groups: DataFrame, cell: int = CELL, near_keys: DataFrame | None = None) -> DataFrame:
+    """(set, first, keys) distinct -> (u, v): pairs of alike sets that have the components of all alike pairs that share a band key, or one of near_keys (set, key).
 
     Each set of a bucket is held against the bucket's least one, which is
     linear and joins a large group of near copies. Sets of a bucket that are
@@ -316,6 +325,8 @@ def alike_edges(docs: DataFrame, groups: DataFrame, cell: int = CELL) -> DataFra
     No edge is made without an exact comparison of the sets.
     """
     filed = groups.select("set", F.explode("keys").alias("key"))
+    if near_keys is not None:
+        filed = materialize(filed.unionByName(near_keys), "filed")
     least = filed.groupBy("key").agg(F.min("set").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "least")
     met = materialize(filed.join(least, "key").where("set != least"), "met")
     pairs = met.select("set", "least").distinct()
@@ -350,13 +361,15 @@ def alike_edges(docs: DataFrame, groups: DataFrame, cell: int = CELL) -> DataFra
 def near_duplicate_groups(docs: DataFrame, cell: int = CELL) -> DataFrame:
     """(doc_id, component_id): groups of documents linked by a Jaccard index of five-word shingles of 0.8 or more.
 
-    Candidates meet in bands of MinHash values, whose chance depends on the
-    index alone, whatever the edit; each edge is an exact comparison of two
-    sets. A row whose doc_id is null has no part in it.
+    Candidates meet by SimHash, as components of fingerprints that differ in
+    at most MAX_BITS bits. Pairs at an index of 0.8 often differ in more, so
+    bands of MinHash values, whose chance depends on the index alone, whatever
+    the edit, bring further candidates. Each edge is an exact comparison of
+    two sets. A row whose doc_id is null has no part in it.
     """
     rows = materialize(signatures(docs).where("doc_id is not null"), "signatures")
     groups = materialize(rows.groupBy("set", "keys").agg(F.min("doc_id").alias("first")), "groups")
-    roots = components(alike_edges(docs, groups, cell))
+    roots = components(alike_edges(docs, groups, cell, simhash_keys(rows)))
     roots = roots.hint("merge")
     of = groups.join(roots, groups.set == roots.node, "left").select("set", "first", F.coalesce("root", "set").alias("root"))
     named = of.join(of.groupBy("root").agg(F.min("first").alias("component_id")).hint("merge"), "root").select("set", "component_id")

@@ -210,3 +210,14 @@ def test_no_join_of_components_is_broadcast(spark):
         df.collect()
         plans.append(df._jdf.queryExecution().executedPlan().toString())
     assert not any("BroadcastHashJoin" in p for p in plans)
+
+
+def test_the_stage_finds_candidates_by_simhash(make, monkeypatch):
+    """Without bands, copies with one word changed still meet by their fingerprints; documents that are not alike stay apart."""
+    text = prose(3000, 5).split()
+    other = [*text[:1500], "different", *text[1501:]]
+    assert (simhash.fingerprint(" ".join(text).encode()) ^ simhash.fingerprint(" ".join(other).encode())).bit_count() <= simhash.MAX_BITS
+    monkeypatch.setattr(simhash, "band_keys", lambda found: np.zeros(0, np.int64))
+    docs = make([" ".join(text), " ".join(other), prose(3000, 6)])
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicate_groups(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 2}
