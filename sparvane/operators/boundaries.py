@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparvane.sources.shared import few, materialize
+
 #: Fixed values of the published method: least score of an abbreviation, of a word that opens sentences, and the share of full stops that abbreviations have.
 ABBREVIATION, STARTER, CERTAIN = 0.3, 30.0, 0.99
 
@@ -28,9 +30,12 @@ def words(df: DataFrame, key: str, text: Column) -> DataFrame:
     ws = df.select(key, found.alias("ws"))
     each = F.transform("ws", lambda w, i: F.struct(i.alias("pos"), w.alias("word"), F.get(F.col("ws"), i + 1).alias("next_word")))
     out = ws.select(key, F.inline(each))
-    closed = F.regexp_replace("word", r"[)\]\"'»”’]+$", "")
-    stop = F.when(closed.endswith("."), ".").when(closed.rlike("[!?…]$"), "!").otherwise("")
-    return out.select(key, "pos", "word", type_of(F.col("word")).alias("type"), stop.alias("stop"), "next_word", type_of(F.col("next_word")).alias("next_type"))
+    return out.select(key, "pos", "word", type_of(F.col("word")).alias("type"), stop_of(F.col("word")).alias("stop"), "next_word", type_of(F.col("next_word")).alias("next_type"))
+
+
+def stop_of(word: Column) -> Column:
+    closed = F.regexp_replace(word, r"[)\]\"'»”’]+$", "")
+    return F.when(closed.endswith("."), ".").when(closed.rlike("[!?…]$"), "!").otherwise("")
 
 
 def type_of(word: Column) -> Column:
@@ -49,9 +54,12 @@ def abbreviations(found: DataFrame) -> DataFrame:
 
 def scored(found: DataFrame) -> DataFrame:
     """(type, stopped, plain, score) of the words with a letter that bear a full stop somewhere."""
-    stopped = F.col("stop") == "."
-    share = found.agg(F.avg(stopped.cast("double")).alias("p")).scalar()
-    counts = found.where(F.col("type").rlike(r"\p{L}")).groupBy("type").agg(F.count_if(stopped).alias("stopped"), F.count_if(~stopped).alias("plain")).where("stopped > 0")
+    # words as written are counted before any rule reads them: one scan, and the rules see each word once
+    n, stopped = F.col("n"), stop_of(F.col("word")) == "."
+    once = found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).select(type_of(F.col("word")).alias("type"), F.when(stopped, n).otherwise(0).alias("stopped"), F.when(stopped, 0).otherwise(n).alias("plain"))
+    types = materialize(once.groupBy("type").agg(F.sum("stopped").alias("stopped"), F.sum("plain").alias("plain")), "types")
+    share = types.agg((F.sum("stopped") / F.sum(F.col("stopped") + F.col("plain"))).alias("p")).scalar()
+    counts = types.where(F.col("type").rlike(r"\p{L}") & (F.col("stopped") > 0))
     a, b = F.col("stopped"), F.col("plain")
     apart = 2 * (a * _log(F.lit(CERTAIN)) + b * _log(F.lit(1 - CERTAIN)) - a * _log(share) - b * _log(1 - share))
     letters = F.length(F.replace(F.col("type"), F.lit("."), F.lit("")))
@@ -68,6 +76,7 @@ def starters(found: DataFrame, abbreviated: DataFrame) -> DataFrame:
     marked = found.join(abbreviated.select("type", F.lit(True).alias("short")), "type", "left")
     ends = ends | ((F.col("stop") == ".") & F.col("short").isNull())
     after = marked.where(F.col("next_type") != "").groupBy(F.col("next_type").alias("type")).agg(F.count(F.lit(1)).alias("all"), F.count_if(ends).alias("opens"), F.count_if(_begins(r"\p{Ll}")).alias("small"), F.count_if(_begins(r"\p{Lu}") & (F.col("stop") == "")).alias("inside"))
+    after = materialize(after, "followers")
     n = after.agg(F.sum("all").alias("n")).scalar()
     m = after.agg(F.sum("opens").alias("m")).scalar()
     a, k = F.col("all"), F.col("opens")
@@ -84,9 +93,13 @@ def _begins(kind: str) -> Column:
 
 def marked(found: DataFrame) -> DataFrame:
     """found with ``ends``: whether a sentence ends behind the word."""
-    short = abbreviations(found)
-    opens = starters(found, short).select(F.col("type").alias("next_type"), F.lit(True).alias("opens"))
-    known = found.join(short.select("type", F.lit(True).alias("short")), "type", "left").join(opens, "next_type", "left")
+    short = few(materialize(abbreviations(found), "abbreviations"))
+    opens = materialize(starters(found, short), "starters").select(F.col("type").alias("next_type"), F.lit(True).alias("opens"))
+    known = found.join(short.select("type", F.lit(True).alias("short")), "type", "left")
+    # openers may be as many as there are words: only what stands after an abbreviation or initial meets them, as the words are many times the text
+    asks = (F.col("stop") == ".") & F.col("next_word").isNotNull() & (F.col("short").isNotNull() | F.col("type").rlike(r"^\p{L}$"))
+    asked = known.where(asks).join(opens, "next_type", "left")
+    known = asked.unionByName(known.where(~asks).withColumn("opens", F.lit(None).cast("boolean")))
     capital = _begins(r"\p{Lu}")
     initial = F.col("type").rlike(r"^\p{L}$")
     number = F.col("type").rlike(r"^\p{N}+$")

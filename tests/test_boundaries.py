@@ -70,3 +70,14 @@ def test_reports_by_learned_boundaries(spark):
     texts = [r.Text for r in found.where("EXFOR_Entry = 5").orderBy("Sentence_Number").collect()]
     kept = [s.lower() for s in corpus(200)[5][1] if len(s) >= rules.LEAST_CHARS]
     assert texts == kept
+
+
+def test_words_do_not_move_to_meet_abbreviations(spark):
+    """Abbreviations go to the words, whatever Spark takes their size for."""
+    df = spark.createDataFrame([(1, "It is in Fig. 3 of it. We saw Fig. 4 there.")], "k long, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = boundaries.marked(boundaries.words(df, "k", F.col("text")))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan
