@@ -18,8 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Items of the sample that decides the tree, items of it in a leaf, and most levels of the tree.
-SAMPLE, LEAF, DEPTH = 20_000, 16, 10
+#: Items of the sample that decides the tree, items of it in a leaf, most levels of the tree, and levels below the nodes whose boxes are looked at first.
+SAMPLE, LEAF, DEPTH, BELOW = 100_000, 16, 12, 6
 #: Share by which bounds are lowered against rounding.
 SLACK = 1e-9
 
@@ -72,19 +72,45 @@ class Index:
         return found(_middle(self.names))
 
     def near_leaves(self, first: int = 0, limit: Column | None = None) -> Column:
-        """Without a limit the nearest leaves, until they hold ``first`` items; with one those within it."""
+        """Without a limit the nearest leaves, until they hold ``first`` items; with one those within it.
+
+        Leaves are looked at under the nodes, ``BELOW`` levels up, that can have such.
+        """
         bounded = limit is not None  # the function must not hold the column
-        low, high, leaves, counts, starts = self.low, self.high, self.leaves, self.counts, np.cumsum([0, *[len(t) for t in self.terms]])[:-1]
+        order = np.argsort(self.leaves, kind="stable")
+        low, high, leaves, counts, starts = self.low[order], self.high[order], self.leaves[order], self.counts[order], np.cumsum([0, *[len(t) for t in self.terms]])[:-1]
+        _, begin = np.unique(leaves >> BELOW, return_index=True)
+        sizes = np.diff(np.append(begin, len(leaves)))
+        wide_low, wide_high = (f.reduceat(x, begin, axis=0) if len(leaves) else x for f, x in ((np.minimum, low), (np.maximum, high)))
+        held = np.add.reduceat(counts, begin) if len(leaves) else counts
+
+        def apart(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+            gaps = np.nan_to_num(np.maximum(np.maximum(row[: low.shape[1]] - high, low - row[low.shape[1] : 2 * low.shape[1]]), 0), nan=0.0)
+            return np.maximum.reduceat(gaps, starts, axis=1).sum(axis=1) * (1 - SLACK)
+
+        def nearest(away: np.ndarray, counts: np.ndarray) -> np.ndarray:
+            order = np.argsort(away, kind="stable")
+            return order[np.cumsum(counts[order]) - counts[order] < first]
 
         @F.pandas_udf("array<int>")
         def found(box: pd.DataFrame) -> pd.Series:
-            values, n, out = box.to_numpy(float), low.shape[1], []
+            values, out = box.to_numpy(float), []
             for row in values:
-                apart = np.nan_to_num(np.maximum(np.maximum(row[:n] - high, low - row[n : 2 * n]), 0), nan=0.0)
-                total = np.maximum.reduceat(apart, starts, axis=1).sum(axis=1) * (1 - SLACK)
-                order = np.argsort(total, kind="stable")
-                near = total[order] <= row[-1] if bounded else np.cumsum(counts[order]) - counts[order] < first
-                out.append(leaves[order[near]].astype(np.int32))
+                nodes = apart(row, wide_low, wide_high)
+                under = lambda chosen: np.flatnonzero(np.repeat(chosen, sizes))
+                if bounded:
+                    some = under(nodes <= row[-1])
+                    some = some[apart(row, low[some], high[some]) <= row[-1]]
+                elif len(nodes):
+                    # what the nearest nodes hold says how far the leaves can be that count
+                    near = np.isin(np.arange(len(nodes)), nearest(nodes, held))
+                    some = under(near)
+                    away = apart(row, low[some], high[some])
+                    some = under(near | (nodes < away[nearest(away, counts[some])].max(initial=0)))
+                    some = some[nearest(apart(row, low[some], high[some]), counts[some])]
+                else:
+                    some = leaves
+                out.append(leaves[some].astype(np.int32))
             return pd.Series(out, dtype=object)
 
         ends = [F.col(end(n)).cast("double").alias(end(n)) for end in (lo, hi) for n in self.names]

@@ -159,6 +159,25 @@ def test_pruned_search_is_the_whole_search(spark, n, first, spread):
     assert sorted((r.target, r.target_entry, r.entry, r.candidate, round(r.distance, 9), r.rank) for r in got.collect()) == expected and (len(expected) > 20 or n < 100)
 
 
+def test_pivots_are_of_different_vectors(spark):
+    """Equal vectors fill no sample, however many reports have them."""
+    rows = [(10 * i + j, v) for i, v in enumerate(([1.0, 0.0], [0.0, 1.0], [-1.0, 0.0])) for j in range(10)]
+    found = knn.pivots(spark.createDataFrame(rows, "entry int, unit array<double>"), 8, 5)
+    assert sorted(found) == [[-1.0, 0.0], [0.0, 1.0], [1.0, 0.0]]
+
+
+def test_leaves_under_nodes_are_all_leaves_within(spark):
+    """More leaves than lie under one node: the same leaves as by looking at each."""
+    rng = np.random.default_rng(1)
+    low, high = np.sort(rng.random((2, 500, 2)), axis=0)
+    index = metric.Index([["c0"], ["c1"]], np.zeros(511, int), np.zeros(511), rng.permutation(500), np.full(500, 3), low, high)
+    rows = spark.createDataFrame([[float(x) for x in v for _ in (0, 1)] for v in rng.random((20, 2))], "c0__lo double, c0__hi double, c1__lo double, c1__hi double")
+    for r in rows.select("*", index.near_leaves(30).alias("near"), index.near_leaves(limit=F.lit(0.1)).alias("within")).collect():
+        away = sum(np.maximum(np.maximum(r[f"c{j}__lo"] - high[:, j], low[:, j] - r[f"c{j}__hi"]), 0) for j in (0, 1)) * (1 - metric.SLACK)
+        assert set(r.within) == set(index.leaves[away <= 0.1].tolist())
+        assert len(r.near) == 10 and np.isclose(sorted(away[np.isin(index.leaves, r.near)]), np.sort(away)[:10]).all()
+
+
 def test_search_of_nothing(spark):
     schema = "measurement_id int, e int, mt string, logE_std double, Z_std double, A_std double"
     none, some = spark.createDataFrame([], schema), spark.createDataFrame([(1, 1, "x", 0.0, 0.0, 0.0)], schema)
