@@ -183,3 +183,18 @@ def test_append_stream(spark, tmp_path):
     for _ in range(2):  # the second run finds nothing new
         incremental.append_stream(spark, f"{tmp_path}/in", df.schema, lambda b: b.where("x > 1"), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
     assert [x.x for x in incremental.appended(spark, f"{tmp_path}/out").collect()] == [2]
+
+
+def test_all_pairs_of_reports_multiply_no_vectors(spark):
+    """Equal vectors, one of zeros and a missing one; the same distances as of given pairs."""
+    from sparvane.operators import knn
+    from sparvane.plans import imputation
+
+    rows = [(i, v, i / 8) for i, v in enumerate([[3.0, 4.0], [3.0, 4.0], [0.0, 0.0], None, [1.0, 0.0], [3.0, 4.0], [0.0, 0.0], [0.0, 2.0]])]
+    reports = spark.createDataFrame(rows, "EXFOR_Entry int, mean_embedding array<double>, s double")
+    entries = spark.createDataFrame([(i, i >= 4) for i in range(8)], "EXFOR_Entry int, Uncertainty_Complete boolean")
+    found = imputation.report_pairs(reports, entries, ["s"])
+    once = imputation.report_vectors(reports, ["s"]).withColumnRenamed("EXFOR_Entry", "entry")
+    expected = knn.report_distances(found, once, ["s"])
+    assert found.count() == 16 and sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    assert "unit" not in found._jdf.queryExecution().optimizedPlan().toString()
