@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,26 +64,31 @@ def tidy(sentence: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(sentence, r"(?U)\s+", " ")))
 
 
-def _judge(s: Column, dense: Column) -> Column:
-    """The sentence filter on a stripped sentence and the same without white space; cheap tests first."""
+def _letters(s: Column) -> Column:
+    return F.length(F.regexp_replace(s, r"\P{L}+", ""))
+
+
+def _judge(s: Column, dense: Column, letters: Column) -> Column:
+    """The sentence filter on a stripped sentence, the same without white space, and its number of letters; cheap tests first."""
     n = F.length(dense)
-    # characters of a class: what is left once all others are taken out, or missing once they are
+    # characters of a class: what is missing once they are taken out
     count = lambda pattern: n - F.length(F.regexp_replace(dense, f"{pattern}+", ""))
     return (
         (F.length(s) < LEAST_CHARS)
         | (n == 0)
-        | (F.length(F.regexp_replace(dense, r"\P{L}+", "")) / n < LEAST_ALPHA)
-        | (count(r"[\p{Nd}\p{No}]") / n > MOST_DIGITS)
-        | (count(r"\p{Punct}") / n > MOST_PUNCTUATION)
+        | (letters / n < LEAST_ALPHA)
+        # where letters are more than all digits or punctuation leave room for, neither can be too many
+        | ((letters <= n * (1 - min(MOST_DIGITS, MOST_PUNCTUATION) + 0.05)) & ((count(r"[\p{Nd}\p{No}]") / n > MOST_DIGITS) | (count(r"\p{Punct}") / n > MOST_PUNCTUATION)))
         | s.rlike(r"^\[?\d+\]?\s+[A-Z][A-Za-z\-]+")
-        | (count(OPERATORS) >= MOST_OPERATORS)
+        | ((n - letters >= MOST_OPERATORS) & (count(OPERATORS) >= MOST_OPERATORS))
     )
 
 
 def bad_sentence(sentence: Column) -> Column:
     """Too short, mostly digits, punctuation or operators, or like the head of a reference."""
     bare = strip(sentence)
-    return F.coalesce(let(F.struct(bare.alias("s"), F.regexp_replace(bare, r"(?U)\s+", "").alias("dense")), lambda v: _judge(v["s"], v["dense"])), F.lit(True))
+    judged = lambda v: let(_letters(v["dense"]), lambda letters: _judge(v["s"], v["dense"], letters))
+    return F.coalesce(let(F.struct(bare.alias("s"), F.regexp_replace(bare, r"(?U)\s+", "").alias("dense")), judged), F.lit(True))
 
 
 def kept_sentences(found: Column) -> Column:
@@ -100,12 +106,15 @@ def judged_sentences(df: DataFrame, keys: list[str], text: Column) -> DataFrame:
 
     The same rules as in clean_sentences, but on rows: they are compiled,
     where those inside array functions are interpreted. Text that passes
-    tidy has no other white space than single spaces.
+    tidy has no other white space than single spaces. A filter on ``bad``
+    would be pushed below its columns and compute each anew wherever the
+    rules name it; count or sum under it instead.
     """
     found = df.select(*keys, F.explode(sentences(text)).alias("s")).select(*keys, tidy(F.col("s")).alias("s"))
     found = found.select(*keys, "s", strip(F.col("s")).alias("bare"))
     found = found.select(*keys, "s", "bare", F.replace("bare", F.lit(" "), F.lit("")).alias("dense"))
-    return found.select(*keys, "s", F.coalesce(_judge(F.col("bare"), F.col("dense")), F.lit(True)).alias("bad"))
+    found = found.select(*keys, "s", "bare", "dense", _letters(F.col("dense")).alias("letters"))
+    return found.select(*keys, "s", F.coalesce(_judge(F.col("bare"), F.col("dense"), F.col("letters")), F.lit(True)).alias("bad"))
 
 
 def keyword_pattern(keywords: list[str]) -> str:
@@ -117,7 +126,10 @@ def keyword_gate(sentence: Column, keywords: list[str], gate: float = 0.9) -> Co
     """1 where the sentence has a keyword, else the gate."""
     if not keywords:
         return F.lit(gate)
-    return F.when(F.lower(sentence).rlike("(?U)" + keyword_pattern(keywords)), F.lit(1.0)).otherwise(F.lit(gate))
+    low = F.lower(sentence)
+    # most sentences have no keyword's letters at all, which is told without the pattern
+    some = reduce(Column.__or__, [F.contains(low, F.lit(k.lower())) for k in keywords])
+    return F.when(some & low.rlike("(?U)" + keyword_pattern(keywords)), F.lit(1.0)).otherwise(F.lit(gate))
 
 
 def file_id(name: Column) -> Column:

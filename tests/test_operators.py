@@ -220,3 +220,13 @@ def test_standardize_is_sample_based(spark):
     got = [tuple(round(v, 6) for v in r) for r in knn.standardize(df).select("logE_std", "Z_std", "A_std").collect()]
     assert got == [(-1.0, -1.0, -1.0), (0.0, 0.0, 0.0), (1.0, 1.0, 1.0)]
     assert knn.standardize(df.where(F.lit(False))).collect() == []
+
+
+def test_gate_weights(spark):
+    """The same as gates of the kept sentences, summed; keys without a kept sentence have no row."""
+    rows = [(1, "the beam", True), (1, "a target", True), (1, "the beam again", False), (2, "the beam", False), (3, "beam", True), (4, None, True), (None, "beam", True)]
+    df, lexicon = spark.createDataFrame(rows, "k int, Text string, keep boolean"), {"b": ["beam"], "t": ["target", "foil"], "none": []}
+    got = similarity.gate_weights(df, lexicon, "k", F.col("keep"))
+    expected = similarity.gates(df.where("keep"), lexicon).groupBy("k", "category").agg(F.count(F.lit(1)).alias("sentences"), F.sum("gate").alias("weight"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.select(got.columns).collect()), key=repr)
+    assert got.count() == 12 and got.where("k = 1 AND category = 't'").first().weight == 1.9

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from sparvane.plans import imputation, ingest, reports
+from sparvane.plans import imputation, ingest, queries, reports
 from sparvane.sources import ace, readers, sinks
 from sparvane.streaming import incremental
 
@@ -198,3 +198,10 @@ def test_all_pairs_of_reports_multiply_no_vectors(spark):
     expected = knn.report_distances(found, once, ["s"])
     assert found.count() == 16 and sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
     assert "unit" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keyword_gate_computes_each_rule_once(spark):
+    """The filter on sentences is not pushed below the columns that it is made of, which would compute each again for every rule."""
+    df = queries.keyword_gate(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"\P{L}+") == 1 and plan.count(r"regexp_replace(s#") == 1
