@@ -45,7 +45,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparvane.llm.common import materialize, utf8
+from sparvane.llm.common import materialize, materialize_by, utf8
 
 LEAST, LONGEST, TOP = 30, 4, 2000
 #: Scores are counts by counts times this.
@@ -97,22 +97,30 @@ class Open:
         return out[::-1]
 
     def row(self, lang: str, number: int) -> dict:
-        """The shard's row: words in the order of their ids, each with its blocks."""
-        at = np.concatenate(self.parts)
-        where = np.flatnonzero(at != GAP)
-        order = np.argsort(at[where], kind="stable")
-        where = where[order]
-        word = at[where].astype(np.int64) - 1
-        key = word << 32 | where >> 6
+        """The shard's row: words in the order of their ids, each with its blocks. The shard is empty after it."""
+        # what is done with goes at once: a shard's arrays are as large as all else a task holds
+        names = [w.decode("utf-8", "replace") for w in list(self.ids)[1:]]
+        self.ids.clear()
+        at, self.parts = np.concatenate(self.parts), []
+        where = np.flatnonzero(at != GAP).astype(np.int32)
+        where = where[np.argsort(at[where], kind="stable")]
+        word = at[where] - 1
+        del at
+        key = word.astype(np.int64)
+        key <<= 32
+        key |= where >> 6
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        bits = np.uint64(1) << (where & 63).astype(np.uint64)
-        bits = np.bitwise_or.reduceat(bits, first) if len(first) else bits
-        n = len(self.ids) - 1
+        key = key[first]
+        n = len(names)
         counts = np.bincount(word[where >= self.lead], minlength=n)
-        splits = np.searchsorted(key[first] >> 32, np.arange(n + 1))
+        del word
+        bits = (where & 63).astype(np.uint64)
+        np.left_shift(np.uint64(1), bits, out=bits)
+        bits = np.bitwise_or.reduceat(bits, first) if len(first) else bits
+        splits = np.searchsorted(key >> 32, np.arange(n + 1))
         return {
-            "lang": lang, "shard": number, "lead": self.lead, "size": self.size, "words": [w.decode("utf-8", "replace") for w in list(self.ids)[1:]], "counts": counts,
-            "splits": packed(splits.astype(np.uint32)), "blocks": packed((key[first] & 0xFFFFFFFF).astype(np.uint32)), "bits": packed(bits),
+            "lang": lang, "shard": number, "lead": self.lead, "size": self.size, "words": names, "counts": counts,
+            "splits": packed(splits.astype(np.uint32)), "blocks": packed((key & 0xFFFFFFFF).astype(np.uint32)), "bits": packed(bits),
         }
 
 
@@ -306,8 +314,8 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: in
     counted = made.select("lang", "shard", F.posexplode(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").alias("n"))).alias("word", "w")).select("lang", "shard", "word", "w.phrase", "w.n")
     totals = made.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
     levels = [materialize(frequent(counted, least), "phrases-1")]
-    # from here on shards have frequent words only
-    kept = materialize(made.drop("words", "counts").groupBy("shard").cogroup(levels[0].select("shard", "word", "phrase").groupBy("shard")).applyInArrow(pruned, PRUNED_SCHEMA), "pruned")
+    # from here on shards have frequent words only, and stay where they are: their phrases come to them
+    kept = materialize_by(made.drop("words", "counts").groupBy("shard").cogroup(levels[0].select("shard", "word", "phrase").groupBy("shard")).applyInArrow(pruned, PRUNED_SCHEMA), "pruned", "shard")
     for k in range(2, longest + 1):
         if k == 2:
             counted = kept.mapInArrow(pairs, COUNTED_SCHEMA)
