@@ -12,11 +12,17 @@ phrases grow depth-first, from the bitmaps of words to those of the phrases of
 k words; these are counted, and nothing but counts leaves the stretch. The
 phrases that cover a block meet its words in one matrix operation.
 
-Counts are summed over shards for each length. A phrase can be frequent only
-where its first and its last k - 1 words are, so a shard is sent back those of
-its phrases that are frequent over all shards, and grows no others: shards are
-first rewritten with their frequent words alone, from which bigrams grow, a
-trigram grows from frequent bigrams, and so on.
+Frequent words are numbered once for all shards, so that a phrase moves as the
+numbers of its words and equal phrases have equal numbers: no text and no hash
+stands for a phrase. For each length a shard deals its phrases and their counts
+to blocks, packed columns of numbers, a block for each part that the phrase's
+numbers name; a part's blocks of all shards are added up together.
+
+A phrase can be frequent only where its first and its last k - 1 words are, so
+a shard is sent back those of its phrases that are frequent over all shards,
+and grows no others: shards are first rewritten with their frequent words
+alone, from which bigrams grow, a trigram grows from frequent bigrams, and so
+on. One of the shards that hold a phrase is sent its sum too, and spells it.
 
 A phrase's score is 2,000,000 times its count by the sum of the counts of its
 two parts, at its worst cut. Phrases that occur mostly inside a longer one are
@@ -24,8 +30,9 @@ dropped.
 
 A shard that fills within a piece is ended all the same; the next begins
 with a copy of the last words of it, whose own occurrences are not counted
-again. No driver memory, broadcast or group grows with the corpus: rows of one
-phrase are one for each shard, groups by shard are bounded by its size.
+again. No driver memory, broadcast or group grows with the corpus: groups by
+shard are bounded by its size, and there are as many parts as make some
+``PART_PHRASES`` phrases each; of one phrase a part has one for each shard.
 
 Cases: null text is empty; null language is ``und``; repeated rows count
 each; doc_ids play no part; an empty table gives an empty result; other
@@ -54,6 +61,8 @@ SCALE = 2_000_000
 WITHIN = 80
 #: Positions of a shard, positions of all open shards of a task, blocks of a stretch, bytes of text read at a time.
 SHARD, OPEN, STRETCH, PART = 1 << 22, 1 << 23, 256, 1 << 22
+#: Phrases of a part at most, as all positions of a corpus begin a different one; parts of the words' numbering for each shuffle partition.
+PART_PHRASES, NUMBERED = 1 << 22, 8
 #: Bytes of input that a task reads at least: the larger a shard, the fewer of its phrases are told apart from other shards' same ones.
 READ_BYTES = 64 << 20
 UNKNOWN = "und"
@@ -63,11 +72,16 @@ GAP = 0
 #: Bytes as read: A-Z in lower case, tab as space, ends of pieces as full stops.
 READ = bytes(ord(".") if chr(b) in ".,;:!?\n\x0b\x0c\r" else ord(" ") if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 SHARD_SCHEMA = "lang string, shard long, lead int, size long, words array<string>, counts array<long>, splits binary, blocks binary, bits binary"
-PRUNED_SCHEMA = "lang string, shard long, lead int, size long, words array<string>, splits binary, blocks binary, bits binary"
-PRUNED = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("lead", pa.int32()), ("size", pa.int64()), ("words", pa.list_(pa.string())), ("splits", pa.binary()), ("blocks", pa.binary()), ("bits", pa.binary())])
-#: A phrase as it moves, its language before a line end and before the words.
-COUNTED_SCHEMA = "phrase string, shard long, n int"
-COUNTED = pa.schema([("phrase", pa.string()), ("shard", pa.int64()), ("n", pa.int32())])
+PRUNED_SCHEMA = "lang string, shard long, lead int, size long, words array<string>, ids binary, splits binary, blocks binary, bits binary"
+PRUNED = pa.schema([("lang", pa.string()), ("shard", pa.int64()), ("lead", pa.int32()), ("size", pa.int64()), ("words", pa.list_(pa.string())), ("ids", pa.binary()), ("splits", pa.binary()), ("blocks", pa.binary()), ("bits", pa.binary())])
+#: Phrases of one shard and part: columns of word numbers one after another, and the counts in the shard.
+BLOCK_SCHEMA = "shard long, part long, numbers binary, n binary"
+BLOCK = pa.schema([("shard", pa.int64()), ("part", pa.int64()), ("numbers", pa.binary()), ("n", pa.binary())])
+#: Those of them that are frequent, with the sum over all shards where this shard spells the phrase, else 0.
+FOUND_SCHEMA = "shard long, k int, numbers binary, f binary"
+FOUND = pa.schema([("shard", pa.int64()), ("k", pa.int32()), ("numbers", pa.binary()), ("f", pa.binary())])
+SPELT_SCHEMA = "lang string, words int, phrase string, f long"
+SPELT = pa.schema([("lang", pa.string()), ("words", pa.int32()), ("phrase", pa.string()), ("f", pa.int64())])
 
 
 class Open:
@@ -249,17 +263,25 @@ class Lookup:
 
 
 def grown(shard: dict, phrases: pa.Array, k: int) -> tuple[pa.Array, np.ndarray]:
-    """The phrases of k words in a shard, and their counts, that begin and end with the given phrases of k - 1 words.
-
-    A phrase that lies within the words copied from the shard before has the count 0: longer ones grow from it.
-    """
+    """The phrases of k words in a shard, and their counts, that begin and end with the given phrases of k - 1 words; spelt."""
     names = pa.array(shard["words"], pa.string())
-    n_blocks = (shard["size"] + 63) // 64
     parts = pc.list_flatten(pc.split_pattern(phrases, " ")) if k > 2 else phrases
     ids = pc.index_in(parts, value_set=names).to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(phrases), k - 1)
+    head, tail, counts = grown_numbers(shard, ids, k)
+    return pc.binary_join_element_wise(phrases.take(pa.array(head)), names.take(pa.array(tail)), " "), counts
+
+
+def grown_numbers(shard: dict, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of ids, word behind it, count) of the phrases of k words in a shard that begin and end with those of ids.
+
+    ids: phrases of k - 1 words, a row each, by their words' places in the shard. A phrase that lies within the words
+    copied from the shard before has the count 0: longer ones grow from it.
+    """
+    n_blocks = (shard["size"] + 63) // 64
+    shape = ids.shape
     used, ids = np.unique(ids, return_inverse=True)  # from here on words are numbered among those of the phrases
-    ids = ids.reshape(len(phrases), k - 1)
-    number = np.full(len(names), -1)
+    ids = ids.reshape(shape)
+    number = np.full(len(shard["words"]), -1)
     number[used] = np.arange(len(used))
     splits = unpacked(shard["splits"], np.uint32).astype(np.int64)
     word = np.repeat(number, np.diff(splits))
@@ -297,15 +319,16 @@ def grown(shard: dict, phrases: pa.Array, k: int) -> tuple[pa.Array, np.ndarray]
     keys = every >> 7
     begin = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
     keys, counts = keys[begin], np.add.reduceat(every & 127, begin) if len(begin) else begin
-    head = phrases.take(pa.array(place[keys // max(1, len(used))]))
-    tail = names.take(pa.array(used[keys % max(1, len(used))]))
-    return pc.binary_join_element_wise(head, tail, " "), counts
+    return place[keys // max(1, len(used))], used[keys % max(1, len(used))], counts
 
 
-def frequent(counted: DataFrame, least: int) -> DataFrame:
-    """The rows (phrase and shard) whose count f over all shards is at least ``least``."""
-    total = F.sum("n").over(Window.partitionBy(*[c for c in ("lang", "phrase") if c in counted.columns]))
-    return counted.withColumn("f", total).where(F.col("f") >= least).drop("n")
+def numbered(counted: DataFrame, least: int) -> DataFrame:
+    """The rows (word and shard) whose count f over all shards is at least ``least``, with the word's number (id), the same in all shards."""
+    parts = NUMBERED * int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counted.withColumn("part", F.pmod(F.xxhash64("lang", "phrase"), F.lit(parts))).repartition("part")
+    summed = dealt.withColumn("f", F.sum("n").over(Window.partitionBy("part", "lang", "phrase"))).where(F.col("f") >= least)
+    number = F.dense_rank().over(Window.partitionBy("part").orderBy("lang", "phrase")).cast("long")
+    return summed.withColumn("id", (number - 1) * parts + F.col("part")).drop("n", "part")
 
 
 def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: int = SHARD) -> tuple[DataFrame, DataFrame]:
@@ -313,65 +336,134 @@ def counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, size: in
     made = materialize(shards(docs, longest, size), "shards")
     counted = made.select("lang", "shard", F.posexplode(F.arrays_zip(F.col("words").alias("phrase"), F.col("counts").alias("n"))).alias("word", "w")).select("lang", "shard", "word", "w.phrase", "w.n")
     totals = made.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).alias("n"))
-    levels = [materialize(frequent(counted, least), "phrases-1")]
+    parts = -(-(made.agg(F.sum("size")).first()[0] or 1) // PART_PHRASES)
+    words = materialize(numbered(counted, least), "phrases-1")
     # from here on shards have frequent words only, and stay where they are: their phrases come to them
-    kept = materialize_by(made.drop("words", "counts").groupBy("shard").cogroup(levels[0].select("shard", "word", "phrase").groupBy("shard")).applyInArrow(pruned, PRUNED_SCHEMA), "pruned", "shard")
+    kept = materialize_by(made.drop("words", "counts").groupBy("shard").cogroup(words.select("shard", "word", "phrase", "id").groupBy("shard")).applyInArrow(pruned, PRUNED_SCHEMA), "pruned", "shard")
+    levels: list[DataFrame] = []
     for k in range(2, longest + 1):
         if k == 2:
-            counted = kept.mapInArrow(pairs, COUNTED_SCHEMA)
+            blocks = kept.mapInArrow(pairs_by(parts), BLOCK_SCHEMA)
         else:
-            counted = kept.groupBy("shard").cogroup(levels[-1].select("shard", "phrase").groupBy("shard")).applyInArrow(grow_by(k), COUNTED_SCHEMA)
-        levels.append(materialize(frequent(counted, least), f"phrases-{k}"))
-    # a language may hold any character, words no line end
-    lang = F.expr("substring(phrase, 1, length(phrase) - instr(reverse(phrase), '\n'))")
-    phrase = F.substring_index("phrase", "\n", -1)
-    every = [x.select(*(["lang"] if k == 1 else [lang.alias("lang")]), F.lit(k).alias("words"), phrase.alias("phrase"), "f").distinct() for k, x in enumerate(levels, 1)]
-    table = every[0]
-    for x in every[1:]:
-        table = table.unionByName(x)
+            blocks = kept.groupBy("shard").cogroup(levels[-1].groupBy("shard")).applyInArrow(grow_by(k, parts), BLOCK_SCHEMA)
+        levels.append(materialize(blocks.groupBy("part").applyInArrow(frequent_by(k, least), FOUND_SCHEMA), f"phrases-{k}"))
+    table = words.select("lang", F.lit(1).alias("words"), "phrase", "f").distinct()
+    if levels:
+        found = levels[0]
+        for x in levels[1:]:
+            found = found.unionByName(x)
+        table = table.unionByName(kept.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(spelt, SPELT_SCHEMA))
     return materialize(table, "counts"), totals
 
 
 def pruned(shard: pa.Table, words: pa.Table) -> pa.Table:
-    """A shard with the given of its words, in order of their numbers."""
+    """A shard with the given of its words, in order of their numbers over all shards."""
     if not words.num_rows:
         return PRUNED.empty_table()
-    row, words = shard.to_pylist()[0], words.sort_by("word")
-    number = words.column("word").to_numpy()
+    row, words = shard.to_pylist()[0], words.sort_by("id")
+    at, ids = words.column("word").to_numpy(), words.column("id").to_numpy()
+    if ids[-1] >= 1 << 32:
+        raise OverflowError(f"a word's number, {ids[-1]}, is beyond 32 bits")
     splits = unpacked(row["splits"], np.uint32).astype(np.int64)
-    n = np.diff(splits)
-    kept = np.zeros(len(n), bool)
-    kept[number] = True
-    inside = np.repeat(kept, n)
-    blobs = [packed(x) for x in (np.concatenate([[0], np.cumsum(n[number])]).astype(np.uint32), unpacked(row["blocks"], np.uint32)[inside], unpacked(row["bits"], np.uint64)[inside])]
-    return pa.Table.from_pylist([{"lang": row["lang"], "shard": row["shard"], "lead": row["lead"], "size": row["size"], "words": words.column("phrase").to_pylist(), "splits": blobs[0], "blocks": blobs[1], "bits": blobs[2]}], PRUNED)
-
-
-def counted_table(shard: dict, phrases: pa.Array, k: int) -> pa.Table:
-    found, n = grown(shard, phrases, k)
-    named = pc.binary_join_element_wise(pa.scalar(shard["lang"]), found, "\n")
-    return pa.table([named, pa.array(np.full(len(n), shard["shard"])), pa.array(n.astype(np.int32))], schema=COUNTED)
+    n = np.diff(splits)[at]
+    upto = np.cumsum(n)
+    inside = np.arange(n.sum()) + np.repeat(splits[at] - upto + n, n)
+    blobs = [packed(x) for x in (ids.astype(np.uint32), np.concatenate([[0], upto]).astype(np.uint32), unpacked(row["blocks"], np.uint32)[inside], unpacked(row["bits"], np.uint64)[inside])]
+    return pa.Table.from_pylist([{"lang": row["lang"], "shard": row["shard"], "lead": row["lead"], "size": row["size"], "words": words.column("phrase").to_pylist(), "ids": blobs[0], "splits": blobs[1], "blocks": blobs[2], "bits": blobs[3]}], PRUNED)
+
+
+def dealt(shard: dict, ids: np.ndarray, k: int, parts: int) -> pa.RecordBatch:
+    """The phrases of k words that grow from those of ids, in blocks by part."""
+    head, tail, n = grown_numbers(shard, ids, k)
+    numbers = unpacked(shard["ids"], np.uint32)
+    columns = [numbers[ids[head, j]] for j in range(k - 1)] + [numbers[tail]]
+    mixed = np.zeros(len(n), np.uint64)
+    for column in columns:
+        mixed ^= column
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(32)
+    part = (mixed % np.uint64(parts)).astype(np.min_scalar_type(parts))
+    del mixed
+    order = np.argsort(part, kind="stable")
+    first = np.flatnonzero(np.bincount(part, minlength=1))
+    begin = np.searchsorted(part[order], first)
+    blocks = []
+    for p, at in zip(first.tolist(), np.split(order, begin)[1:], strict=True):
+        blocks.append({"shard": shard["shard"], "part": p, "numbers": packed(np.concatenate([c[at] for c in columns])), "n": packed(n[at].astype(np.uint32))})
+    return pa.RecordBatch.from_pylist(blocks, BLOCK)
+
+
+def pairs_by(parts: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Phrases of two words of shards that have frequent words only."""
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                yield dealt(row, np.arange(len(row["words"]))[:, None], 2, parts)
 
-def pairs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Phrases of two words of shards that have frequent words only."""
-    for batch in batches:
-        for i in range(batch.num_rows):
-            row = batch.slice(i, 1).to_pylist()[0]
-            yield from counted_table(row, pa.array(row["words"], pa.string()), 2).to_batches()
+    return run
 
 
-def grow_by(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def grow_by(k: int, parts: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def run(shard: pa.Table, phrases: pa.Table) -> pa.Table:
         if not phrases.num_rows:
-            return COUNTED.empty_table()
+            return BLOCK.empty_table()
         row = shard.to_pylist()[0]
-        known = phrases.column("phrase").cast(pa.string()).combine_chunks()
-        return counted_table(row, pc.utf8_slice_codeunits(known, len(row["lang"]) + 1), k)
+        known = np.concatenate([unpacked(x.as_py(), np.uint32).reshape(k - 1, -1) for x in phrases.column("numbers")], axis=1)
+        ids = np.searchsorted(unpacked(row["ids"], np.uint32), known).T
+        return pa.Table.from_batches([dealt(row, ids, k, parts)])
+
+    return run
+
+
+def frequent_by(k: int, least: int) -> Callable[[pa.Table], pa.Table]:
+    """Of a part's blocks, the phrases with a sum over all shards of at least ``least``."""
+
+    def run(blocks: pa.Table) -> pa.Table:
+        columns = np.concatenate([unpacked(x.as_py(), np.uint32).reshape(k, -1) for x in blocks.column("numbers")], axis=1)
+        each = [unpacked(x.as_py(), np.uint32) for x in blocks.column("n")]
+        upto = np.cumsum([len(x) for x in each])
+        n = np.concatenate(each).astype(np.int64)
+        key = columns[0].astype(np.int64)
+        for j in range(1, k):
+            if j > 1:  # two numbers fill the key, so pairs are numbered again
+                key = np.unique(key, return_inverse=True)[1]
+            key = key << 32 | columns[j]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        f = np.add.reduceat(n[order], begin)
+        enough = f >= least
+        kept, sums = np.zeros(len(n), bool), np.zeros(len(n), np.uint64)
+        kept[order] = np.repeat(enough, np.diff(np.append(begin, len(n))))
+        sums[order[begin[enough]]] = f[enough]  # the first shard that has it
+        found = []
+        for shard, a, b in zip(blocks.column("shard").to_pylist(), [0, *upto[:-1].tolist()], upto.tolist(), strict=True):
+            at = a + np.flatnonzero(kept[a:b])
+            if len(at):
+                found.append({"shard": shard, "k": k, "numbers": packed(columns[:, at].ravel()), "f": packed(sums[at])})
+        return pa.Table.from_pylist(found, FOUND)
 
     return run
 
 
+def spelt(shard: pa.Table, phrases: pa.Table) -> pa.Table:
+    """The phrases whose sums were sent to a shard, in words."""
+    if not phrases.num_rows:
+        return SPELT.empty_table()
+    lang, names = shard.column("lang")[0].as_py(), shard.column("words").chunk(0)[0].values
+    ids, found = unpacked(shard.column("ids")[0].as_py(), np.uint32), []
+    for row in phrases.to_pylist():
+        f = unpacked(row["f"], np.uint64)
+        own = np.flatnonzero(f)
+        if len(own):
+            numbers = unpacked(row["numbers"], np.uint32).reshape(row["k"], -1)[:, own]
+            words = [names.take(pa.array(np.searchsorted(ids, x))) for x in numbers]
+            found.append(pa.table([pa.array([lang] * len(own)), pa.array(np.full(len(own), row["k"], np.int32)), pc.binary_join_element_wise(*words, " "), pa.array(f[own].astype(np.int64))], schema=SPELT))
+    return pa.concat_tables(found) if found else SPELT.empty_table()
+
+
 def _exact(name: str) -> str:
     return f"CAST({name} AS DECIMAL(38, 0))"
 

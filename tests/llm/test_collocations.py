@@ -79,6 +79,30 @@ def test_equals_brute_force(spark, size):
     assert got == expected and len(got) > 30 and {r[0] for r in got} == {"en", "fr", "und", "t\nr"}
 
 
+def test_phrases_move_in_blocks(spark, monkeypatch):
+    """What is written for a length has a row for a shard and a part, not for a shard and a phrase; a phrase is spelt once."""
+    rows, wrote = corpus(3, 150), {}
+    write = collocations.materialize
+
+    def noted(df, name):
+        made = write(df, name)
+        wrote[name] = made
+        return made
+
+    monkeypatch.setattr(collocations, "materialize", noted)
+    monkeypatch.setattr(collocations, "PART_PHRASES", 1000, raising=False)
+    got = sorted(map(tuple, collocations.collocations(table(spark, rows).repartition(3), least=6, size=200).collect()))
+    assert got == slow(rows, 6)
+    n, positions = wrote["shards"].count(), wrote["shards"].agg({"size": "sum"}).first()[0]
+    parts = -(-positions // 1000)
+    assert n > 10 and parts > 1
+    for k in (2, 3, 4):
+        assert 0 < wrote[f"phrases-{k}"].count() <= n * parts
+    spelt = wrote["counts"].collect()
+    found, _ = counted(rows)
+    assert sorted((r.lang, r.words, r.phrase, r.f) for r in spelt) == sorted((lang, p.count(" ") + 1, p, c) for lang, f in found.items() for p, c in f.items() if c >= 6)
+
+
 def test_growth_in_one_shard(monkeypatch):
     """Every phrase of a shard, over block and stretch ends, from all words."""
     for stretch in (1, 2, 256):
