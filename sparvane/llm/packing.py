@@ -30,8 +30,10 @@ from __future__ import annotations
 import json
 import re
 import zlib
-from collections import deque
+from collections import defaultdict, deque
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,16 +41,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparvane.llm.common import table
+from sparvane.llm.common import slices, table
 
 SIZE = 1024
 END = 0
 SENTENCE_PENALTY = 1
 ANYWHERE_PENALTY = 16
 BLOCK_TOKENS = 1 << 20
-CACHE_WORDS = 400_000
-#: A space beside other white space: pieces on its two sides depend on each other.
-UNEVEN = re.compile(r"\s | \s")
+#: Chunks remembered by a worker, and code points in all of them.
+CACHE_WORDS, CACHE_CHARS = 400_000, 16_000_000
+#: Bytes of text encoded at a time.
+BATCH_BYTES = 4 << 20
 
 #: Fixed value: the published pattern by which the byte-level tokenizer cuts a text into pieces.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -68,8 +71,9 @@ class Vocabulary:
     vocabulary; a file whose ids do not follow its merges is refused. The
     strings of the file's added tokens stand for these tokens wherever they
     occur in a text, as the file's library reads them by default. Most of
-    a text is cut at single spaces, where its pieces are independent, and
-    chunks met before are looked up.
+    a text is cut at single spaces, where its pieces are independent. A chunk
+    between two of them is numbered when it is first met; the new ones of some
+    texts are encoded at once, and the ids of all are gathered by number.
     """
 
     def __init__(self, path: str) -> None:
@@ -88,43 +92,84 @@ class Vocabulary:
         added = {x["content"]: x["id"] for x in file.get("added_tokens") or []}
         if any(x[k] for x in file.get("added_tokens") or [] for k in ("single_word", "lstrip", "rstrip", "normalized") if k in x and not (k == "normalized" and file.get("normalizer") is None)):
             raise ValueError(f"{path}: added tokens that are not plain strings")
-        self.added = {x: np.array([i], dtype="<u4").tobytes() for x, i in added.items()}
+        self.added = {x: np.array([i], dtype="<u4") for x, i in added.items()}
         self.split = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.ends = np.zeros(max([*ranks.values(), *added.values()]) + 1, dtype=bool)
         for token, i in ranks.items():
             self.ends[i] = token.endswith((b".", b"!", b"?", b"\n"))
         self.ends[list(added.values())] = True
-        self.chunks: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self.ordinary(text), dtype="<u4").tobytes()
+        self.sizes = np.zeros(len(self.ends), np.int64)
+        for token, i in ranks.items():
+            self.sizes[i] = len(token)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.chars = 0
+        #: Of each chunk, by number: where its ids begin, how many they are, whether white space stands at one of its ends.
+        self.first, self.length, self.uneven = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.flat = np.zeros(0, "<u4")
+
+    def _learn(self) -> None:
+        """Encode the chunks that have a number and no ids yet."""
+        new = list(islice(self.numbers, len(self.first), None))
+        if not new:
+            return
+        self.chars += sum(map(len, new))
+        uneven = np.fromiter((not x or x[0].isspace() or x[-1].isspace() for x in new), bool, len(new))
+        text = "".join([" " + x for x, bad in zip(new, uneven.tolist(), strict=True) if not bad])
+        ids = self._ids(text)
+        ends = np.concatenate([[0], np.cumsum(self.sizes[ids])])
+        begin = np.searchsorted(ends, np.append(np.flatnonzero(np.frombuffer(text.encode(), np.uint8) == 32), ends[-1]))
+        first, length = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        first[~uneven], length[~uneven] = begin[:-1] + len(self.flat), np.diff(begin)
+        self.first, self.length = np.concatenate([self.first, first]), np.concatenate([self.length, length])
+        self.uneven, self.flat = np.concatenate([self.uneven, uneven]), np.concatenate([self.flat, ids])
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.ordinary(text), dtype="<u4")
 
     def encode(self, text: str) -> np.ndarray:
-        if self.split is None or not self.split.search(text):
-            return np.frombuffer(self._plain(text), dtype="<u4")
-        return np.frombuffer(b"".join(self.added.get(x) or self._plain(x) for x in self.split.split(text) if x), dtype="<u4")
-
-    def _plain(self, text: str) -> bytes:
-        """Ids of a text without added tokens."""
-        parts = text.split(" ")
-        if "" in parts or UNEVEN.search(text) or text[:1].isspace() or text[-1:].isspace():
-            return self._ids(text)
-        known = self.chunks
-        out = [self._ids(parts[0])]
-        try:
-            out += [known[x] for x in parts[1:]]
-        except KeyError:
-            del out[1:]
-            for x in parts[1:]:
-                found = known.get(x)
-                if found is None:
-                    found = self._ids(" " + x)
-                    if len(x) <= 40:
-                        if len(known) >= CACHE_WORDS:
-                            known.clear()
-                        known[x] = found
-                out.append(found)
-        return b"".join(out)
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        if not any(x in t for x in self.added for t in texts):
+            return self._plain(texts)
+        parts = [[t] if self.split is None else [x for x in self.split.split(t) if x] for t in texts]
+        plain = iter(self._plain([x for p in parts for x in p if x not in self.added]))
+        return [np.concatenate([np.zeros(0, "<u4"), *(self.added[x] if x in self.added else next(plain) for x in p)]) for p in parts]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts without added tokens."""
+        if len(self.numbers) >= CACHE_WORDS or self.chars >= CACHE_CHARS:
+            self._forget()
+        heads, chunks = [], []
+        for text in texts:
+            head, *rest = text.split(" ")
+            heads.append(head)
+            chunks.append(np.fromiter(map(self.numbers.__getitem__, rest), np.int64, len(rest)))
+        self._learn()
+        every = np.concatenate([np.zeros(0, np.int64), *chunks])
+        upto = np.cumsum([0, *map(len, chunks)])
+        n = np.concatenate([[0], np.cumsum(self.length[every])])
+        ids = self.flat[np.arange(n[-1]) + np.repeat(self.first[every] - n[:-1], np.diff(n))]
+        uneven = np.concatenate([[0], np.cumsum(self.uneven[every])])
+        out = []
+        for text, head, a, b in zip(texts, heads, upto[:-1].tolist(), upto[1:].tolist(), strict=True):
+            # with white space beside a space the pieces on its two sides depend on each other
+            if not head or head[0].isspace() or head[-1].isspace() or uneven[b] > uneven[a]:
+                out.append(self._ids(text))
+            else:
+                out.append(np.concatenate([self._ids(head), ids[n[a] : n[b]]]))
+        return out
+
+
+@lru_cache(maxsize=2)
+def vocabulary_of(path: str) -> Vocabulary:
+    """One a worker for each file."""
+    return Vocabulary(path)
 
 
 def cuts(at: np.ndarray, penalty: np.ndarray, size: int, least: int) -> list[int]:
@@ -137,8 +182,12 @@ def cuts(at: np.ndarray, penalty: np.ndarray, size: int, least: int) -> list[int
     cost = penalty.tolist()
     n = len(where)
     best, back = [0.0] * n, [0] * n
-    index = {p: k for k, p in enumerate(where)}
-    powers = [1 << k for k in range(size.bit_length()) if least <= 1 << k < size]
+    #: Cut -> cuts that lie a power of two before it
+    before: dict[int, list[int]] = {}
+    for power in (1 << k for k in range(size.bit_length()) if least <= 1 << k < size):
+        there = np.searchsorted(at, at - power)
+        for j in np.flatnonzero(at[there] == at - power).tolist():
+            before.setdefault(j, []).append(int(there[j]))
     queue: deque[int] = deque([0])
     for j in range(1, n):
         here = where[j]
@@ -146,10 +195,10 @@ def cuts(at: np.ndarray, penalty: np.ndarray, size: int, least: int) -> list[int
             queue.popleft()
         i = queue[0]
         value = best[i] + size - (here - where[i])
-        for power in powers:
-            k = index.get(here - power)
-            if k is not None and best[k] + 1 < value:  # a window more is worth a token
-                i, value = k, best[k] + 1
+        if j in before:
+            for k in before[j]:
+                if best[k] + 1 < value:  # a window more is worth a token
+                    i, value = k, best[k] + 1
         best[j], back[j] = value + cost[j], i
         key = best[j] + here
         while queue and best[queue[-1]] + where[queue[-1]] >= key:
@@ -237,16 +286,18 @@ def pack(docs: DataFrame, vocabulary: str, size: int = SIZE, block: int = BLOCK_
     schema = pa.schema([(n, pa.int64()) for n in names])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(vocabulary)
+        words = vocabulary_of(vocabulary)
         end = np.array([END], dtype="<u4")
         packer = Packer(TaskContext.get().partitionId() << 40, words.ends, size, block)
         rows: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                rows += packer.add(doc_id, np.concatenate([words.encode(text.as_py() or ""), end]))
-                if len(rows) >= 20_000:
-                    yield table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), schema)
-                    rows = []
+            for part in slices(batch, batch.column("text"), BATCH_BYTES):
+                found = words.encode_all([x or "" for x in part.column("text").to_pylist()])
+                for doc_id, ids in zip(part.column("doc_id").to_pylist(), found, strict=True):
+                    rows += packer.add(doc_id, np.concatenate([ids, end]))
+                    if len(rows) >= 20_000:
+                        yield table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), schema)
+                        rows = []
         rows += packer.flush(True)
         if rows:
             yield table(dict(zip(names, map(list, zip(*rows, strict=True)), strict=True)), schema)

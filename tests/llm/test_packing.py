@@ -27,6 +27,21 @@ def test_ids_are_the_tokenizers(tokenizer):
             assert words.encode(t).tolist() == tokenizer.encode(t, add_special_tokens=False).ids, t
 
 
+def test_new_chunks_are_encoded_at_once(tokenizer, monkeypatch):
+    """One call of the encoder, not one for each new chunk."""
+    words = packing.Vocabulary(PATH)
+    encoder, calls = words.ordinary, []
+    words.ordinary = lambda text: calls.append(text) or encoder(text)
+    text = " ".join(f"{prose(1, k)}{k}é." for k in range(300))
+    assert words.encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(calls) <= 3
+    # chunks are forgotten in between; texts of all kinds beside each other
+    monkeypatch.setattr(packing, "CACHE_WORDS", 7)
+    texts = ["", "a", text, "b  c", "x\n y", " z", "z ", "<|endoftext|>", "a <|endoftext|> b c", "\u2003 q", "a\u2003b c", prose(40, 2), "日本 \U0001f600 é"]
+    for some in (texts, texts[::-1], texts[:1], []):
+        assert [x.tolist() for x in words.encode_all(some)] == [tokenizer.encode(t, add_special_tokens=False).ids for t in some]
+
+
 def check(rows, texts, tokenizer, size):
     by_sequence, by_doc = {}, {}
     for r in rows:
