@@ -230,3 +230,26 @@ def test_gate_weights(spark):
     expected = similarity.gates(df.where("keep"), lexicon).groupBy("k", "category").agg(F.count(F.lit(1)).alias("sentences"), F.sum("gate").alias("weight"))
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, expected.select(got.columns).collect()), key=repr)
     assert got.count() == 12 and got.where("k = 1 AND category = 't'").first().weight == 1.9
+
+
+def test_search_over_places_is_the_whole_search(spark):
+    """Entries of one Z and A and few kinds of reports: rows of many entries share places and energies, and fill several runs."""
+    rng = random.Random(4)
+    schema = "measurement_id int, e int, mt string, logE_std double, Z_std double, A_std double"
+    kind = {e: (e % 2, float(e % 3), float(e % 2) if e % 5 else 1.0) for e in range(60)}
+    rows = []
+    for i in range(900):
+        e = rng.randrange(60) if i % 3 else rng.randrange(8)
+        z = kind[e][1] if e != 11 else float(rng.randint(0, 2))  # one entry is not at one place
+        rows.append((i, e, rng.choice("xx" + "y"), rng.choice([rng.random(), rng.randint(0, 4) / 4]), z, kind[e][2]))
+    reports = {e: (np.array([[3.0, 4.0], [4.0, 3.0]][e % 2]), [0.5 * (e % 4 == 0)]) for e in range(60)}
+    frame = spark.createDataFrame([(e, v.tolist(), *s) for e, (v, s) in reports.items()], "e int, v array<double>, s1 double").select("e", vectors.unit(F.col("v")).alias("unit"), "s1")
+    sides = [spark.createDataFrame([r for r in rows if keep(r[1])], schema) for keep in (lambda e: e < 8, lambda e: e >= 8)]
+    expected = brute_search(rows, reports, 4)
+    for run, together in ((3, 2), (64, 16)):
+        knn.RUN, knn.TOGETHER, before = run, together, (knn.RUN, knn.TOGETHER)
+        try:
+            got = knn.search(*sides, frame, ["s1"], "e", "mt", "measurement_id", 4, 8)
+            assert sorted((r.target, r.target_entry, r.entry, r.candidate, round(r.distance, 9), r.rank) for r in got.collect()) == expected and len(expected) > 1000
+        finally:
+            knn.RUN, knn.TOGETHER = before
