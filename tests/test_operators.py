@@ -253,3 +253,18 @@ def test_search_over_places_is_the_whole_search(spark):
             assert sorted((r.target, r.target_entry, r.entry, r.candidate, round(r.distance, 9), r.rank) for r in got.collect()) == expected and len(expected) > 1000
         finally:
             knn.RUN, knn.TOGETHER = before
+
+
+def test_all_nearest_rows_are_those_of_given_pairs(spark, monkeypatch):
+    """Ties, entries of several cells, ids that are text, missing Z, several blocks, and an entry too large for one."""
+    rng = random.Random(6)
+    schema = "measurement_id string, e string, mt string, logE_std double, Z_std double, A_std double"
+    rows = [(f"m{i}", rng.choice("ABCDEF"), rng.choice("xy"), rng.choice([0.0, 0.5, 1.0, rng.random()]), rng.choice([None, 0.0, 1.0]), float(rng.randint(0, 2))) for i in range(400)]
+    t, c = (spark.createDataFrame([r for r in rows if (r[1] in "AB") == own], schema) for own in (True, False))
+    pairs = spark.createDataFrame([(a, e) for a in "AB" for e in "CDEF"], "target_entry string, entry string")
+    names = ["target", "entry", "candidate", "dlogE", "dZ", "dA"]
+    expected = sorted(map(tuple, knn.nearest_rows(t, c, pairs, "e", "mt", "measurement_id").select(names).collect()))
+    for asked, held, out, stretch in ((2000, 4000, 100_000, 100_000), (10, 20, 30, 100_000), (10, 20, 30, 25)):
+        for name, value in (("ASKED", asked), ("HELD", held), ("OUT", out), ("STRETCH", stretch)):
+            monkeypatch.setattr(knn, name, value)
+        assert sorted(map(tuple, knn.all_nearest_rows(t, c, "e", "mt", "measurement_id").select(names).collect())) == expected and len(expected) > 400
